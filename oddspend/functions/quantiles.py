@@ -175,3 +175,13 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
             rows.append((*g, r.n, q))
         out = out.unionByName(spark.createDataFrame(rows, f"{fields}, n long, q array<double>"))
     return out.select(*names, "n", "q")
+
+
+def column_quantiles(df: DataFrame, columns, probs, small: int = SMALL):
+    """{column: [quantile, ...]}; one job for all columns while the table is small."""
+    if df.count() <= small:
+        q = F.array(*[F.lit(float(p)) for p in probs])
+        row = df.agg(*[F.percentile(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), q).alias(f"_{i}")
+                       for i, c in enumerate(columns)]).first()
+        return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
+    return {c: exact_quantiles(df, F.col(f"`{c}`"), probs, small) for c in columns}

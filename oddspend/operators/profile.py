@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from oddspend import schema as S
-from oddspend.functions.quantiles import exact_quantiles
+from oddspend.functions.quantiles import column_quantiles
 from oddspend.operators.clean import currency
 
 
@@ -72,14 +72,14 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
     one = df.agg(*[f.alias(f"{i}_{n}") for i, c in enumerate(columns) for n, f in (
         ("count", F.count(_q(c))), ("mean", F.avg(_q(c).cast("double"))), ("std", F.stddev_samp(_q(c).cast("double"))),
         ("min", F.min(_q(c)).cast("double")), ("max", F.max(_q(c)).cast("double")))])
-    quart = [exact_quantiles(df, _q(c), [0.25, 0.5, 0.75]) for c in columns]
+    quart = list(column_quantiles(df, columns, [0.25, 0.5, 0.75]).values())
 
     def lit(v):
         return F.lit(v).cast("double")
 
     rows = F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column"), F.col(f"{i}_count").alias("count"), F.round(f"{i}_mean", 6).alias("mean"),
-        F.round(f"{i}_std", 6).alias("std"), F.col(f"{i}_min").alias("min"),
+        F.lit(c).alias("column"), F.col(f"{i}_count").alias("count"), F.round(f"{i}_mean", 7).alias("mean"),
+        F.round(f"{i}_std", 7).alias("std"), F.col(f"{i}_min").alias("min"),
         F.round(lit(quart[i][0]), 6).alias("p25"), F.round(lit(quart[i][1]), 6).alias("p50"),
         F.round(lit(quart[i][2]), 6).alias("p75"), F.col(f"{i}_max").alias("max"))
         for i, c in enumerate(columns)]))
