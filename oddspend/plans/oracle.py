@@ -108,11 +108,12 @@ def r6(c, alias=None):
     return f'round("{c}", 6) AS "{alias or c}"'
 
 
-def r8(c):
-    return f'round("{c}", 8) AS "{c}"'
+def plain(c):
+    """Unrounded: both engines divide the same exact sums, so the bits agree."""
+    return f'CAST("{c}" AS DOUBLE) AS "{c}"'
 
 
-FEATURE_LIST = ", ".join(f'"{c}"' if c in INTS else r8(c) for c in S.FEATURES)
+FEATURE_LIST = ", ".join(f'"{c}"' if c in INTS else plain(c) for c in S.FEATURES)
 
 
 def split(src="feats", seed=42):
@@ -215,7 +216,7 @@ lof AS (SELECT knn.id AS id, avg(o.lrd) / any_value(s.lrd) AS lof FROM knn JOIN
 
 
 def _feature(*cols, src=TXN):
-    return with_(src, HIST) + "SELECT row_id, " + ", ".join(f'"{c}"' if c in INTS else r8(c) for c in cols) + " FROM feats"
+    return with_(src, HIST) + "SELECT row_id, " + ", ".join(f'"{c}"' if c in INTS else plain(c) for c in cols) + " FROM feats"
 
 
 def oracle_sql():

@@ -25,8 +25,8 @@ def r6(c, alias=None):
     return F.round(F.col(f"`{c}`"), 6).alias(alias or c)
 
 
-def rounded(df, columns, keep=(), places=8):
-    return df.select(*keep, *[F.col(c) if c in INTS else F.round(F.col(f"`{c}`"), places).alias(c) for c in columns])
+def rounded(df, columns, keep=(), places=None):
+    return df.select(*keep, *[F.col(c) if c in INTS else (F.round(F.col(f"`{c}`"), places).alias(c) if places else F.col(f"`{c}`")) for c in columns])
 
 
 def txn(spark, d):
