@@ -1,2 +1,121 @@
-def model_queries():
-    return {}
+"""Registered queries that fit or apply a model."""
+
+from pyspark.sql import functions as F
+
+from oddspend import schema as S
+from oddspend.operators import explain as X
+from oddspend.operators.knn import knn
+from oddspend.operators.models.linear import Mahalanobis
+from oddspend.operators.models.lof import LocalOutlierFactor, outlier_factor
+from oddspend.plans import queries as Q, scoring as P
+from oddspend.session import materialize, shared_dir
+from oddspend.sources import views, writers
+
+_fitted: dict = {}
+
+
+def model(spark, d, name):
+    """Model fitted on the training rows, once per session and folder."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _fitted:
+        _fitted[key] = P.MODELS[name]().fit(Q.encoded(spark, d).filter("split = 'train'"))
+    return _fitted[key]
+
+
+def _scores(name):
+    def run(spark, d):
+        m = model(spark, d, name)
+        return m.score_batch(Q.encoded(spark, d)).select(
+            S.ROW_ID, "split", F.round("anomaly_score", 6).alias("anomaly_score"),
+            F.round("anomaly_score_normalized", 6).alias("anomaly_score_normalized"), "is_anomaly")
+    return run
+
+
+def knn_edges(spark, d):
+    v = materialize(views.vectors(spark, d), "vectors")
+    return knn(v, v, 35).select("id", "nbr", "rank", F.round("dist", 6).alias("dist"))
+
+
+def lof_score(spark, d):
+    m = LocalOutlierFactor().fit(views.vectors(spark, d))
+    own = m.reference
+    return outlier_factor(m._edges, own, own, m._n).select(F.col("id").alias(S.ROW_ID), F.round("lof", 6).alias("lof"))
+
+
+def mahalanobis_score(spark, d):
+    f = Q.features(spark, d).select(S.ROW_ID, F.array(S.AMOUNT, "rolling_avg_amount").alias("features"))
+    m = Mahalanobis()
+    m.n_features = 2
+    m._fit(f)
+    return m.raw_score(f).select(S.ROW_ID, F.round("_raw", 5).alias("distance"))
+
+
+def train_models(spark, d):
+    names = [n for n in P.MODELS if n != "mahalanobis"]
+    return P.training_report({n: model(spark, d, n) for n in names}, spark)
+
+
+def compare_models(spark, d):
+    names = [n for n in P.MODELS if n != "mahalanobis"]
+    return P.compare_models({n: model(spark, d, n) for n in names}, Q.encoded(spark, d).filter("split = 'test'"))[0]
+
+
+def recommendation(spark, d):
+    models = {n: model(spark, d, n) for n in P.DEFAULT_MODELS}
+    return P.compare_models(models, Q.encoded(spark, d).filter("split = 'test'"))[1]
+
+
+def score_batch(spark, d):
+    """Raw rows scored with the persisted encoder and forest, written as CSV."""
+    prepared = P.Prepared(Q.encoded(spark, d), Q.encoder(spark, d), None, 0.0, None, 0)
+    out = P.score_transactions(views.raw_card(spark, d), prepared, {"isolation_forest": model(spark, d, "isolation_forest")},
+                               "isolation_forest").drop("features")
+    path = writers.scored_path(f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}.csv", "isolation_forest")
+    writers.write_csv(out, path)
+    return out
+
+
+def param_sweep(spark, d):
+    e = Q.encoded(spark, d)
+    grid = {"n_estimators": [100, 200], "max_features": [0.5, 1.0]}
+    return P.param_sweep("isolation_forest", e.filter("split = 'train'"), e.filter("split = 'test'"), grid, 4)
+
+
+def permutation_importance(spark, d):
+    m = model(spark, d, "isolation_forest")
+    return X.permutation_importance(Q.encoded(spark, d), Q.encoder(spark, d).feature_columns(), m.score)
+
+
+def _worst(spark, d):
+    m = model(spark, d, "autoencoder")
+    flagged = m.predict(Q.encoded(spark, d)).filter("is_anomaly = 1")
+    return materialize(m.feature_errors(flagged).select(S.ROW_ID, "feature_errors"), "errors"), Q.encoder(spark, d).feature_columns()
+
+
+def stream_score(spark, d):
+    from oddspend.streaming.profile_stream import replay
+
+    return replay(views.txn_events(spark, d).drop("channel", S.LABEL))
+
+
+def model_queries() -> dict:
+    return {
+        "knn_edges": knn_edges,
+        "lof_score": lof_score,
+        "mahalanobis_score": mahalanobis_score,
+        "iforest_score": _scores("isolation_forest"),
+        "local_density_score": _scores("local_outlier_factor"),
+        "ocsvm_score": _scores("one_class_svm"),
+        "autoencoder_score": _scores("autoencoder"),
+        "pca_reconstruction": _scores("pca_reconstruction"),
+        "robust_covariance_score": _scores("elliptic_envelope"),
+        "train_models": train_models,
+        "compare_models": compare_models,
+        "recommendation": recommendation,
+        "score_batch": score_batch,
+        "param_sweep": param_sweep,
+        "permutation_importance": permutation_importance,
+        "reconstruction_breakdown": lambda spark, d: X.reconstruction_breakdown(*_worst(spark, d)),
+        "reconstruction_text": lambda spark, d: X.reconstruction_text(*_worst(spark, d)),
+        "stream_score": stream_score,
+    }
