@@ -41,35 +41,49 @@ def _cells(df, block_rows):
     return {r.cell: (r.n, r.far, -(-r.n // block_rows)) for r in rows}
 
 
+def _distances(x, y):
+    acc = np.zeros((len(x), len(y)))
+    for j in range(x.shape[1]):
+        gap = x[:, j, None] - y[None, :, j]
+        acc += gap * gap
+    return np.sqrt(acc)
+
+
 def _neighbours(k, skip_same):
+    """Per query of a block pair: its k + 1 nearest reference rows, lower id first
+    among equal distances."""
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
             return pd.DataFrame({"id": [], "nbr": [], "dist": []})
-        r = r.sort_values("id")
-        x, y = np.stack(q["features"].to_numpy()), np.stack(r["features"].to_numpy())
-        qi, ri = q["id"].to_numpy(), r["id"].to_numpy()
+        r = r.sort_values("nbr")
+        x, y = np.stack(q["features"].to_numpy()), np.stack(r["point"].to_numpy())
+        qi, ri = q["id"].to_numpy(), r["nbr"].to_numpy()
         take = min(k + 1, len(r))
         out = []
-        step = max(1, 4_000_000 // max(1, y.size))
-        for at in range(0, len(x), step):
-            d = np.sqrt(((x[at:at + step, None, :] - y[None]) ** 2).sum(axis=2))
-            # a stable sort keeps the lower id first among equal distances
-            best = np.argsort(d, axis=1, kind="stable")[:, :take]
-            out.append(pd.DataFrame({"id": np.repeat(qi[at:at + step], take), "nbr": ri[best].ravel(),
-                                     "dist": np.take_along_axis(d, best, 1).ravel()}))
+        for at in range(0, len(x), 64):
+            d = _distances(x[at:at + 64], y)
+            edge = np.partition(d, take - 1, axis=1)[:, take - 1]
+            i, j = np.nonzero(d <= edge[:, None])
+            dist = d[i, j]
+            order = np.lexsort((j, dist, i))
+            i, j, dist = i[order], j[order], dist[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < take
+            out.append(pd.DataFrame({"id": qi[at + i[keep]], "nbr": ri[j[keep]], "dist": dist[keep]}))
         res = pd.concat(out)
         return res[res["id"] != res["nbr"]] if skip_same else res
     return meet
 
 
 def knn(queries: DataFrame, reference: DataFrame, k: int, row_id: str = "row_id", exclude_self: bool = True,
-        block_rows: int = 4096) -> DataFrame:
+        block_rows: int | None = None) -> DataFrame:
     """(id, nbr, rank, dist): the k nearest reference rows of every query row by
     Euclidean distance, ties by lower id. exclude_self skips a pair with equal ids."""
     spark = queries.sparkSession
     same = queries is reference
     ref0 = reference.select(F.col(row_id).cast("long").alias("id"), "features")
     n = ref0.count()
+    if block_rows is None:  # bounded blocks, and enough of them to keep the cores busy
+        block_rows = min(4096, max(256, n // (2 * spark.sparkContext.defaultParallelism)))
     m = int(min(MAX_PIVOTS, max(1, n // block_rows)))
     pivots = np.array([r.features for r in take_fixed(ref0, m, "id", 7, n).select("features").collect()])
     ref = materialize(_placed(ref0, pivots), "knn_ref")
@@ -87,18 +101,21 @@ def knn(queries: DataFrame, reference: DataFrame, k: int, row_id: str = "row_id"
         bound = min((far_a + gaps[c] + rad for c, rad in radius.items()), default=np.inf)
         pairs += [(a, b) for b, (_, far_b, _) in rc.items() if gaps[b] - far_a - far_b <= bound * (1 + 1e-9)]
 
-    blocks = spark.createDataFrame(
-        [(a, b, qc[a][2], rc[b][2]) for a, b in pairs], "a int, b int, qn int, rn int")
+    meetings = [(a, b, qc[a][2], rc[b][2]) for a, b in pairs]
+    from_query = F.broadcast(spark.createDataFrame(meetings, "a int, b int, qn int, rn int"))
+    from_ref = F.broadcast(spark.createDataFrame(meetings, "a int, b int, qn int, rn int"))
+    other = ref.select(F.col("id").alias("nbr"), F.col("features").alias("point"), F.col("cell").alias("b"))
 
-    def block(n):
-        return F.pmod(F.xxhash64("id"), n).cast("int")
+    def block(c, n):
+        return F.pmod(F.xxhash64(c), F.col(n)).cast("int")
 
-    left = qry.join(F.broadcast(blocks), F.col("cell") == F.col("a")).select(
-        "a", "b", block(F.col("qn")).alias("qb"), F.explode(F.sequence(F.lit(0), F.col("rn") - 1)).alias("rb"), "id", "features")
-    right = ref.join(F.broadcast(blocks), F.col("cell") == F.col("b")).select(
-        "a", "b", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)).alias("qb"), block(F.col("rn")).alias("rb"), "id", "features")
+    left = qry.withColumnRenamed("cell", "a").join(from_query, "a").select(
+        "a", "b", block("id", "qn").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("rn") - 1)).alias("rb"), "id", "features")
+    right = other.join(from_ref, "b").select(
+        "a", "b", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)).alias("qb"), block("nbr", "rn").alias("rb"), "nbr", "point")
     key = ["a", "b", "qb", "rb"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+    tasks = max(1, min(20_000, sum(q * r for _, _, q, r in meetings)))  # small data, heavy CPU: one task per few pairs
+    found = left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInPandas(
         _neighbours(k, exclude_self), "id long, nbr long, dist double")
     w = Window.partitionBy("id").orderBy("dist", "nbr")
     return found.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).select("id", "nbr", "rank", "dist")

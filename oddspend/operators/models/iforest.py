@@ -106,7 +106,8 @@ class IsolationForest(OffsetModel):
             f, s, v = grow_tree(np.stack(pdf["features"].to_numpy()), rng, depth, columns)
             return pd.DataFrame({"tree": [tree], "feature": [f], "split": [s], "value": [v]})
 
-        rows = sample.groupBy("tree").applyInPandas(
+        tasks = min(t, 2 * df.sparkSession.sparkContext.defaultParallelism)
+        rows = sample.repartition(tasks, "tree").groupBy("tree").applyInPandas(
             grow, "tree int, feature array<int>, split array<double>, value array<double>").orderBy("tree").collect()
         self.trees = {
             "feature": np.array([r.feature for r in rows], dtype=np.int32), "split": np.array([r.split for r in rows]),

@@ -36,7 +36,7 @@ class LocalOutlierFactor(OffsetModel):
     as neighbours; include_self=True does count them."""
     name = "local_outlier_factor"
 
-    def __init__(self, n_neighbors=35, include_self=False, block_rows=4096, contamination=0.02, seed=42):
+    def __init__(self, n_neighbors=35, include_self=False, block_rows=None, contamination=0.02, seed=42):
         super().__init__(contamination, seed)
         self.n_neighbors, self.include_self, self.block_rows = n_neighbors, include_self, block_rows
         self.reference, self._edges, self._n, self._k = None, None, 0, n_neighbors

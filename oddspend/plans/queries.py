@@ -13,11 +13,11 @@ from oddspend.sources import readers, views, writers
 _tables: dict = {}
 
 
-def shared(spark, folder, name, build) -> DataFrame:
+def shared(spark, folder, name, build, parallel=False) -> DataFrame:
     """A derived table several queries start from, written once per session and folder."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _tables:
-        _tables[key] = materialize(build(), name)
+        _tables[key] = materialize(build(), name, parallel)
     return _tables[key]
 
 
@@ -57,7 +57,7 @@ def encoder(spark, d):
 
 
 def encoded(spark, d):
-    return shared(spark, d, "encoded", lambda: encoder(spark, d).matrix(card_split(spark, d)))
+    return shared(spark, d, "encoded", lambda: encoder(spark, d).matrix(card_split(spark, d)), parallel=True)
 
 
 def two_scores(spark, d):

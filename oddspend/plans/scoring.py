@@ -53,7 +53,7 @@ def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: str
     rows = B.time_flags(B.merchant_features(B.fill_first_gap(core, gap), merchants, total))
     rows = materialize(rows.select(*[F.col(f"`{c}`") for c in cleaned.columns], *S.FEATURES), "engineered")
     enc = E.Encoder(scaler).fit(rows.filter("split = 'train'"))
-    return Prepared(materialize(enc.matrix(rows), "encoded"), enc, stats, gap, merchants, total)
+    return Prepared(materialize(enc.matrix(rows), "encoded", parallel=True), enc, stats, gap, merchants, total)
 
 
 def train_models(rows: DataFrame, names=DEFAULT_MODELS, options: dict | None = None) -> dict:

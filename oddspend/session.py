@@ -38,13 +38,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", parallel: bool = False) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back.
 
     Used where several later jobs need the same expensive result: the plan is
     computed once, later jobs read only the columns they need, and a lost
-    executor costs a re-read instead of a re-computation.
+    executor costs a re-read instead of a re-computation. With parallel, a table
+    so small that fewer scan tasks than cores would read it is spread over more
+    files, because what follows is heavy on CPU.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+
+    def write(rows):
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    table = write(df)
+    cores = spark.sparkContext.defaultParallelism
+    if parallel and table.rdd.getNumPartitions() < cores:
+        table = write(table.repartition(cores))
+    return table

@@ -48,9 +48,9 @@ class CustomerProfile(StatefulProcessor):
         else:
             n, s1, s2, mx, mn, last, days, recent, merchants = 0, 0, 0, None, None, None, 0, [], 0
         hour = {k[0]: v[0] for k, v in self.hour.iterator()}
-        pdf = pd.concat(list(rows)).sort_values(["_us", S.ROW_ID])
+        pdf = pd.concat(list(rows)).sort_values(["us", S.ROW_ID])
         stored, out = dict(hour), []
-        for rid, us, amount, merchant in zip(pdf[S.ROW_ID], pdf["_us"], pdf["_micro"], pdf["_merchant"]):
+        for rid, us, amount, merchant in zip(pdf[S.ROW_ID], pdf["us"], pdf["micro"], pdf["merchant"]):
             us, a = int(us), int(amount)
             late = last is not None and us < last
             hour = {k: v for k, v in hour.items() if k >= us - self.span} if not late else hour
@@ -93,10 +93,10 @@ def score_stream(txns: DataFrame, watermark: str = "1 hour", **options) -> DataF
     """Streaming rows (row_id, User, transaction_datetime, Amount, Merchant Name) with
     the running customer features of each, append mode. The session needs the
     RocksDB state store provider."""
-    rows = txns.withColumn("_event", F.col(S.TS).cast("timestamp")).withWatermark("_event", watermark).select(
-        S.ROW_ID, S.USER, "_event", F.unix_micros("_event").alias("_us"),
-        (F.col(S.AMOUNT).cast("decimal(18,6)") * F.lit(Decimal(1000000))).cast("long").alias("_micro"),
-        F.col(f"`{S.MERCHANT}`").cast("long").alias("_merchant"))
+    rows = txns.withColumn("event", F.col(S.TS).cast("timestamp")).withWatermark("event", watermark).select(
+        S.ROW_ID, S.USER, "event", F.unix_micros("event").alias("us"),
+        (F.col(S.AMOUNT).cast("decimal(18,6)") * F.lit(Decimal(1000000))).cast("long").alias("micro"),
+        F.col(f"`{S.MERCHANT}`").cast("long").alias("merchant"))
     return rows.groupBy(S.USER).transformWithStateInPandas(
         statefulProcessor=CustomerProfile(**options), outputStructType=OUT, outputMode="Append", timeMode="None")
 
