@@ -7,7 +7,6 @@ a per-query top-k merges them.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
@@ -16,6 +15,7 @@ from oddspend.operators.models.base import to_matrix
 from oddspend.session import materialize
 
 MAX_PIVOTS = 1024
+_SHAPE = pa.schema([("id", pa.int64()), ("nbr", pa.int64()), ("dist", pa.float64())])
 
 
 def _nearest_pivot(pivots):
@@ -52,11 +52,11 @@ def _distances(x, y):
 def _neighbours(k, skip_same):
     """Per query of a block pair: its k + 1 nearest reference rows, lower id first
     among equal distances."""
-    def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(r):
-            return pd.DataFrame({"id": [], "nbr": [], "dist": []})
-        r = r.sort_values("nbr")
-        x, y = np.stack(q["features"].to_numpy()), np.stack(r["point"].to_numpy())
+    def meet(q: pa.Table, r: pa.Table) -> pa.Table:
+        if not q.num_rows or not r.num_rows:
+            return _SHAPE.empty_table()
+        r = r.sort_by("nbr")
+        x, y = to_matrix(q["features"]), to_matrix(r["point"])
         qi, ri = q["id"].to_numpy(), r["nbr"].to_numpy()
         take = min(k + 1, len(r))
         out = []
@@ -68,9 +68,10 @@ def _neighbours(k, skip_same):
             order = np.lexsort((j, dist, i))
             i, j, dist = i[order], j[order], dist[order]
             keep = np.arange(len(i)) - np.searchsorted(i, i) < take
-            out.append(pd.DataFrame({"id": qi[at + i[keep]], "nbr": ri[j[keep]], "dist": dist[keep]}))
-        res = pd.concat(out)
-        return res[res["id"] != res["nbr"]] if skip_same else res
+            if skip_same:
+                keep &= qi[at + i] != ri[j]
+            out.append(pa.table([qi[at + i[keep]], ri[j[keep]], dist[keep]], schema=_SHAPE))
+        return pa.concat_tables(out)
     return meet
 
 
@@ -114,8 +115,9 @@ def knn(queries: DataFrame, reference: DataFrame, k: int, row_id: str = "row_id"
     right = other.join(from_ref, "b").select(
         "a", "b", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)).alias("qb"), block("nbr", "rn").alias("rb"), "nbr", "point")
     key = ["a", "b", "qb", "rb"]
-    tasks = max(1, min(20_000, sum(q * r for _, _, q, r in meetings)))  # small data, heavy CPU: one task per few pairs
-    found = left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInPandas(
+    total = sum(q * r for _, _, q, r in meetings)
+    tasks = max(1, min(20_000, total, max(4 * spark.sparkContext.defaultParallelism, total // 32)))  # few bytes, much CPU
+    found = left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInArrow(
         _neighbours(k, exclude_self), "id long, nbr long, dist double")
     w = Window.partitionBy("id").orderBy("dist", "nbr")
     return found.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).select("id", "nbr", "rank", "dist")
