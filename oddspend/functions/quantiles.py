@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F, Window
 
-SMALL = 2_000_000
+SMALL = 250_000
 _GRID = 1000
 
 
@@ -39,35 +39,28 @@ def _join_targets(vals, targets, keys, on_range):
     return vals.join(F.broadcast(t), cond).select(*[vals[k] for k in keys], "_t", "_v", "_lo", "_hi")
 
 
-def _select_ranks(vals, keys, targets, small):
+def _select_ranks(vals, keys, targets, small, sizes):
     """targets: {(group..., t): rank}; group keys on the driver are the big ones
-    only, at most total rows / small of them. Returns {(group..., t): value}."""
+    only, at most total rows / small of them. sizes: {group: (rows, min, max)}.
+    Returns {(group..., t): value}."""
     done, state = {}, {}
-    ext = {tuple(r[k] for k in keys): (r.lo, r.hi)
-           for r in vals.groupBy(*keys).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
     for key, rank in targets.items():
-        lo, hi = ext[key[:-1]]
-        state[key] = (rank, lo, hi)
+        n, lo, hi = sizes[key[:-1]]
+        state[key] = (rank, lo, hi, 0, n)  # lo <= answer <= hi, rows below lo, rows inside
     while state:
-        for key in [k for k, (_, lo, hi) in state.items() if lo == hi]:
+        for key in [k for k, v in state.items() if v[1] == v[2]]:
             done[key] = state.pop(key)[1]
         if not state:
             break
-        rows = [(*key, lo, hi) for key, (_, lo, hi) in state.items()]
-        counts = _join_targets(vals, rows, keys, False).groupBy(*keys, "_t").agg(
-            F.sum((F.col("_v") < F.col("_lo")).cast("long")).alias("below"),
-            F.sum(F.col("_v").between(F.col("_lo"), F.col("_hi")).cast("long")).alias("inside"),
-        )
-        counts = {(*[r[k] for k in keys], r["_t"]): (r.below, r.inside) for r in counts.collect()}
+        rows = [(*key, lo, hi) for key, (_, lo, hi, _, _) in state.items()]
         inside = _join_targets(vals, rows, keys, True)
-        if max(c[1] for c in counts.values()) <= small:
+        if max(v[4] for v in state.values()) <= small:
             by_value = inside.groupBy(*keys, "_t", "_v").count()
             w = Window.partitionBy(*keys, "_t").orderBy("_v")
             run = by_value.withColumn("_end", F.sum("count").over(w))
-            spark = vals.sparkSession
             fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vals.schema if f.name in keys)
-            want = spark.createDataFrame(
-                [(*k, state[k][0] - counts[k][0]) for k in state], f"{fields}, _t long, _want long")
+            want = vals.sparkSession.createDataFrame(
+                [(*k, v[0] - v[3]) for k, v in state.items()], f"{fields}, _t long, _want long")
             cond = run["_t"] == want["_t"]
             for k in keys:
                 cond = cond & run[k].eqNullSafe(want[k])
@@ -82,28 +75,32 @@ def _select_ranks(vals, keys, targets, small):
         fresh = {}
         for r in grids.collect():
             key = (*[r[k] for k in keys], r["_t"])
-            rank, lo, hi = state[key]
-            below, n = counts[key]
+            rank, lo, hi, below, n = state[key]
             at = (rank - below) / max(1, n - 1) * _GRID
-            fresh[key] = (rank, max(lo, r.grid[max(0, int(at) - 1)]),
-                          min(hi, r.grid[min(_GRID, math.ceil(at) + 1)]))
-        # a bracket that missed its rank falls back to the parent on that side
-        rows = [(*key, lo, hi) for key, (_, lo, hi) in fresh.items()]
+            fresh[key] = (max(lo, r.grid[max(0, int(at) - 1)]), min(hi, r.grid[min(_GRID, math.ceil(at) + 1)]))
+        rows = [(*key, lo, hi) for key, (lo, hi) in fresh.items()]
         check = _join_targets(vals, rows, keys, False).groupBy(*keys, "_t").agg(
             F.sum((F.col("_v") < F.col("_lo")).cast("long")).alias("below"),
             F.sum((F.col("_v") <= F.col("_hi")).cast("long")).alias("upto"))
         for r in check.collect():
             key = (*[r[k] for k in keys], r["_t"])
-            rank, lo, hi = fresh[key]
-            plo, phi = state[key][1:]
+            lo, hi = fresh[key]
+            rank, plo, phi, pbelow, pn = state[key]
+            # a bracket that missed its rank gives way to the rest of its parent
             if rank < r.below:
-                lo, hi = plo, math.nextafter(lo, -math.inf)
+                state[key] = (rank, plo, math.nextafter(lo, -math.inf), pbelow, r.below - pbelow)
             elif rank >= r.upto:
-                lo, hi = math.nextafter(hi, math.inf), phi
-            state[key] = (rank, lo, hi)
+                state[key] = (rank, math.nextafter(hi, math.inf), phi, r.upto, pbelow + pn - r.upto)
+            else:
+                state[key] = (rank, lo, hi, r.below, r.upto - r.below)
     return done
 
 
+def _size(vals):
+    r = vals.agg(F.count("*"), F.min("_v"), F.max("_v")).first()
+    return r[0], r[1], r[2]
+
+
 def _ranks_for(n, p):
     at = p * (n - 1)
     k = int(math.floor(at))
@@ -113,7 +110,8 @@ def _ranks_for(n, p):
 def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
     """Linear-interpolated quantiles of one column as Python floats (None if empty)."""
     vals = _clean(df, value, [])
-    n = vals.count()
+    size = _size(vals)
+    n = size[0]
     if n == 0:
         return [None] * len(probs)
     if n <= small:
@@ -122,7 +120,7 @@ def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
     for i, p in enumerate(probs):
         k, k1, _ = _ranks_for(n, p)
         targets[(0, 2 * i)], targets[(0, 2 * i + 1)] = k, k1
-    got = _select_ranks(vals, ["_g0"], targets, small)
+    got = _select_ranks(vals, ["_g0"], targets, small, {(0,): size})
     out = []
     for i, p in enumerate(probs):
         a, b = got[(0, 2 * i)], got[(0, 2 * i + 1)]
@@ -133,7 +131,7 @@ def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
 def order_statistic(df: DataFrame, value, rank: int, small: int = SMALL):
     """The value at 0-based rank of the ascending order."""
     vals = _clean(df, value, [])
-    return _select_ranks(vals, ["_g0"], {(0, 0): rank}, small)[(0, 0)]
+    return _select_ranks(vals, ["_g0"], {(0, 0): rank}, small, {(0,): _size(vals)})[(0, 0)]
 
 
 def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -> DataFrame:
@@ -141,7 +139,7 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
     vals = _clean(df, value, groups)
     keys = _keys(groups)
     names = [F.col(k).alias(g) for k, g in zip(keys, groups)]
-    sizes = vals.groupBy(*keys).agg(F.count("*").alias("n"))
+    sizes = vals.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     big = sizes.filter(F.col("n") > small).collect()  # at most rows / small groups
     direct = vals
     if big:
@@ -164,7 +162,7 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
             for i, p in enumerate(probs):
                 k, k1, _ = _ranks_for(r.n, p)
                 targets[(*g, 2 * i)], targets[(*g, 2 * i + 1)] = k, k1
-        got = _select_ranks(heavy, keys, targets, small)
+        got = _select_ranks(heavy, keys, targets, small, {tuple(r[k] for k in keys): (r.n, r.lo, r.hi) for r in big})
         rows = []
         for r in big:
             g = tuple(r[k] for k in keys)

@@ -49,12 +49,13 @@ def _time_chunk(df, cuts, us):
     return bucket_of(df.withColumn("_cut_at", us.cast("double")), "_cut_at", cuts, "_chunk").drop("_cut_at")
 
 
-def _spend(df):
-    a = F.col("_amt")
-    return (a * a).cast("decimal(36,12)")
+def _measures(df):
+    """Exact amount, its square, and the day; made after the shuffle, not carried through it."""
+    a = F.col(S.AMOUNT).cast(_AMT)
+    return df.withColumns({"_amt": a, "_sq": (a * a).cast("decimal(36,12)"), "_day": F.to_date(S.TS)})
 
 
-def _carry(rows, marks, horizon, window_rows, cuts, keep):
+def _carry(rows, marks, horizon, window_rows):
     """Per (customer, chunk): what the chunks before it contribute."""
     key = [S.USER, "_chunk"]
     base = rows.groupBy(*key).agg(
@@ -77,7 +78,7 @@ def _carry(rows, marks, horizon, window_rows, cuts, keep):
         *key, F.col("n").isNotNull().alias("_real"),
         F.coalesce(before("n"), F.lit(0)).alias("c_n"), before("s1").alias("c_s1"), before("s2").alias("c_s2"),
         before("mx", F.max).alias("c_mx"), before("mn", F.min).alias("c_mn"),
-        before("last_us", F.max).alias("c_us"), before("last_day", F.max).alias("c_day"),
+        before("last_us", F.max).alias("c_us"),
         F.coalesce(before("nd"), F.lit(0)).alias("c_nd"), F.coalesce(before("nm"), F.lit(0)).alias("c_nm"),
         F.coalesce(before("ne"), F.lit(0)).alias("c_ne")).filter("_real").drop("_real")
 
@@ -99,9 +100,7 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
     if absent:
         raise ValueError(f"features need the columns {absent}; clean the rows first")
     hour = int(velocity_hours * 3600) * 1_000_000
-    base = txns.withColumns({
-        "_us": _micros(F.col(S.TS)), "_day": F.to_date(S.TS), "_amt": F.col(S.AMOUNT).cast(_AMT)})
-    base = base.withColumn("_sq", _spend(base))
+    base = txns.withColumn("_us", _micros(F.col(S.TS)))
     rank = F.col("_us").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col(S.ROW_ID)
     marks = base.select(S.USER, F.col(f"`{S.MERCHANT}`"), "_us", S.ROW_ID).groupBy(S.USER, S.MERCHANT).agg(
         F.min("_us").alias("_us"), F.min_by(S.ROW_ID, rank.cast("decimal(38,0)")).alias(S.ROW_ID)).drop(S.MERCHANT)
@@ -122,10 +121,10 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
             return out.withColumn("_chunk", F.when(F.col("_hot"), F.col("_chunk")).otherwise(-1)).drop("_hot")
 
         base, marks = cut(base, F.col("_us")), cut(marks, F.col("_us"))
-        hot_rows_df = base.filter("_chunk >= 0").select(S.USER, "_chunk", "_us", S.ROW_ID, "_amt", "_sq", "_day")
+        hot_rows_df = _measures(base.filter("_chunk >= 0")).select(S.USER, "_chunk", "_us", S.ROW_ID, "_amt", "_sq", "_day")
         ends = hot_rows_df.select(S.USER, (F.col("_us") + hour + 1).alias("_us"), F.col("_chunk").alias("_from"))
         horizon = _time_chunk(ends, cuts, F.col("_us"))
-        carry = _carry(hot_rows_df, marks.filter("_chunk >= 0"), horizon, rolling_window, cuts, hour)
+        carry = _carry(hot_rows_df, marks.filter("_chunk >= 0"), horizon, rolling_window)
         # a payment that leaves the velocity hour in a later chunk shows up there as an end marker
         ends = horizon.filter("_chunk > _from").select(
             S.USER, "_chunk", "_us", F.lit(-1).cast("long").alias(S.ROW_ID), F.lit(-1).alias("_kind"))
@@ -137,72 +136,73 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
         stream = stream.unionByName(marks.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     if hot:
         stream = stream.unionByName(ends, allowMissingColumns=True)
+    # first scan: what the neighbours in the merged order say
     part = Window.partitionBy(S.USER, "_chunk")
     merged = part.orderBy("_us", S.ROW_ID, "_kind")
-    extra = {}
+    before = merged.rowsBetween(Window.unboundedPreceding, -1)
+    extra = {"_prev": F.last(F.when(F.col("_kind") == 0, F.col("_us")), ignorenulls=True).over(before)}
     if with_merchants:
         extra["_new_m"] = F.coalesce((F.lead("_kind").over(merged) == 1).cast("long"), F.lit(0))
     if hot:
-        extra["_ended"] = F.sum((F.col("_kind") == -1).cast("long")).over(
-            merged.rowsBetween(Window.unboundedPreceding, 0))
-    rows = stream.withColumns(extra).filter("_kind = 0") if extra else stream
+        extra["_ended"] = F.sum((F.col("_kind") == -1).cast("long")).over(before)
+    rows = stream.withColumns(extra).filter("_kind = 0").drop("_kind")
+    if hot:
+        # co-partitioned with the window output: only the small side moves
+        rows = rows.join(carry, [S.USER, "_chunk"], "left").withColumn("_prev", F.coalesce("_prev", "c_us"))
+    rows = _measures(rows)
+    day_before = F.to_date(F.timestamp_micros("_prev"))
+    rows = rows.withColumn("_new_d", (day_before.isNull() | (day_before != F.col("_day"))).cast("long"))
 
+    # second scan: running values over the customer's rows, then the velocity hour
     o = part.orderBy("_us", S.ROW_ID)
     p = o.rowsBetween(Window.unboundedPreceding, -1)
     expired = part.orderBy("_us").rangeBetween(Window.unboundedPreceding, -(hour + 1))
-    rows = rows.withColumns({
+    running = {
         "_pos": (F.row_number().over(o) - 1).cast("long"),
         "_s1": F.sum("_amt").over(p), "_s2": F.sum("_sq").over(p),
         "_mx": F.max("_amt").over(p), "_mn": F.min("_amt").over(p),
-        "_prev": F.lag("_us").over(o), "_prev_day": F.lag("_day").over(o),
         "_roll": F.sum("_amt").over(o.rowsBetween(-rolling_window, -1)),
-        "_left": F.count(F.lit(1)).over(expired),
-    })
+        "_nd": F.coalesce(F.sum("_new_d").over(p), F.lit(0)),
+    }
+    if with_merchants:
+        running["_nm"] = F.coalesce(F.sum("_new_m").over(p), F.lit(0))
+    rows = rows.withColumns(running).withColumn("_left", F.count(F.lit(1)).over(expired))
     if hot:
-        # co-partitioned with the window output: only the small side moves
-        rows = rows.join(carry, [S.USER, "_chunk"], "left")
-        c0 = {c: F.coalesce(c, F.lit(0)) for c in ("c_n", "c_nd", "c_nm", "c_ne")}
         short = F.greatest(F.lit(0), F.lit(rolling_window) - F.col("_pos")).cast("int")
         tail = F.coalesce("c_tail", F.array().cast(f"array<{_AMT}>"))
         used = F.slice(tail, F.greatest(F.lit(1), F.size(tail) - short + 1).cast("int"), short)
-        rows = rows.withColumns({
-            "_first_day": F.col("_prev_day").isNull() & F.col("c_day").isNull(),
-            "_prev_day": F.coalesce("_prev_day", "c_day"), "_prev": F.coalesce("_prev", "c_us"),
+        none = F.lit(0).cast("long")
+        joined = {
+            "_n": F.col("_pos") + F.coalesce("c_n", none), "_nd": F.col("_nd") + F.coalesce("c_nd", none),
             "_s1": F.coalesce(F.col("_s1") + F.col("c_s1"), "_s1", "c_s1").cast(_SUM),
             "_s2": F.coalesce(F.col("_s2") + F.col("c_s2"), "_s2", "c_s2").cast(_SQ),
             "_mx": F.greatest("_mx", "c_mx"), "_mn": F.least("_mn", "c_mn"),
             "_roll": F.coalesce(F.col("_roll"), F.lit(0).cast(_SUM)) + F.aggregate(
                 used, F.lit(0).cast(_SUM), lambda s, x: (s + x).cast(_SUM)),
             "_roll_n": F.least(F.col("_pos"), F.lit(rolling_window)) + F.size(used),
-            "_left": F.col("_left") + F.col("_ended") + c0["c_ne"], "_c_n": c0["c_n"],
-            "_c_nd": c0["c_nd"], "_c_nm": c0["c_nm"],
-        })
+            "_left": F.col("_left") + F.coalesce("_ended", none) + F.coalesce("c_ne", none),
+        }
+        if with_merchants:
+            joined["_nm"] = F.col("_nm") + F.coalesce("c_nm", none)
     else:
-        rows = rows.withColumns({"_roll_n": F.least(F.col("_pos"), F.lit(rolling_window)),
-                                 "_c_n": F.lit(0), "_c_nd": F.lit(0), "_c_nm": F.lit(0)})
-    new_day = (F.col("_prev_day").isNull() | (F.col("_prev_day") != F.col("_day"))).cast("long")
-    rows = rows.withColumn("_new_d", new_day)
-    sums = {"_nd": F.coalesce(F.sum("_new_d").over(p), F.lit(0)) + F.col("_c_nd")}
-    if with_merchants:
-        sums["_nm"] = F.coalesce(F.sum("_new_m").over(p), F.lit(0)) + F.col("_c_nm")
-    rows = rows.withColumns(sums).withColumn("_n", F.col("_pos") + F.col("_c_n"))
+        joined = {"_n": F.col("_pos"), "_roll_n": F.least(F.col("_pos"), F.lit(rolling_window))}
+    rows = rows.withColumns(joined)
 
-    n, a = F.col("_n"), F.col(S.AMOUNT).cast("double")
+    n, a = F.col("_n"), _guard(F.col(S.AMOUNT).cast("double"))
     s1, s2 = F.col("_s1").cast("double"), F.col("_s2").cast("double")
     mean = F.when(n > 0, s1 / n)
     var = F.when((n > 1) & (F.col("_mx") > F.col("_mn")), (n * s2 - s1 * s1) / (n * (n - 1)))
     days = F.greatest(F.col("_nd"), F.lit(1))
-    guard = _guard
     out = {
-        "customer_avg_amount": guard(F.coalesce(mean, a)),
-        "customer_max_amount": guard(F.coalesce(F.col("_mx").cast("double"), a)),
+        "customer_avg_amount": F.coalesce(mean, a),
+        "customer_max_amount": F.coalesce(F.col("_mx").cast("double"), a),
         "customer_txn_count": n.cast("long"),
-        "avg_daily_spending": guard(F.coalesce(s1, F.lit(0.0)) / days),
+        "avg_daily_spending": F.coalesce(s1, F.lit(0.0)) / days,
         "time_since_prev_txn": (F.col("_us") - F.col("_prev")) / F.lit(6e7),
-        "rolling_avg_amount": guard(F.when(F.col("_roll_n") > 0, F.col("_roll").cast("double") / F.col("_roll_n")).otherwise(a)),
+        "rolling_avg_amount": F.when(F.col("_roll_n") > 0, F.col("_roll").cast("double") / F.col("_roll_n")).otherwise(a),
         "transaction_velocity": (n - F.col("_left")).cast("long"),
-        "customer_activity_frequency": guard(n.cast("double") / days),
-        "amount_deviation_from_customer_mean": guard(F.when(var > 0, (a - mean) / F.sqrt(var)).otherwise(0.0)),
+        "customer_activity_frequency": n.cast("double") / days,
+        "amount_deviation_from_customer_mean": F.when(var > 0, (a - mean) / F.sqrt(var)).otherwise(0.0),
     }
     if with_merchants:
         out["merchant_diversity"] = F.col("_nm").cast("long")
