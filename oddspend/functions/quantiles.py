@@ -18,8 +18,8 @@ _GRID = 1000
 def _clean(df, value, groups):
     cols = [F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(groups)]
     v = F.col(value) if isinstance(value, str) else value
-    out = df.select(*(cols or [F.lit(0).alias("_g0")]), v.cast("double").alias("_v"))
-    return out.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # NaN counts as missing; aggregates and range conditions skip nulls by themselves
+    return df.select(*(cols or [F.lit(0).alias("_g0")]), F.nanvl(v.cast("double"), F.lit(None).cast("double")).alias("_v"))
 
 
 def _keys(groups):
@@ -97,7 +97,7 @@ def _select_ranks(vals, keys, targets, small, sizes):
 
 
 def _size(vals):
-    r = vals.agg(F.count("*"), F.min("_v"), F.max("_v")).first()
+    r = vals.agg(F.count("_v"), F.min("_v"), F.max("_v")).first()
     return r[0], r[1], r[2]
 
 
@@ -139,7 +139,7 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
     vals = _clean(df, value, groups)
     keys = _keys(groups)
     names = [F.col(k).alias(g) for k, g in zip(keys, groups)]
-    sizes = vals.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    sizes = vals.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     big = sizes.filter(F.col("n") > small).collect()  # at most rows / small groups
     direct = vals
     if big:
@@ -153,8 +153,8 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
         direct = vals.join(hot, cond, "left_anti")
         heavy = vals.join(hot, cond, "left_semi")
     out = direct.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+        F.count("_v").alias("n"),
+        F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).filter("n > 0")
     if big:
         targets = {}
         for r in big:

@@ -24,21 +24,20 @@ class CleanStats:
 
 def currency(col):
     """Number in a '$1,234.50' text, null where there is none."""
-    v = F.regexp_replace(col.cast("string"), "[$,]", "").try_cast("double")
-    return F.when(~F.isnan(v), v)
+    v = F.translate(col.cast("string"), "$,", "").try_cast("double")
+    return F.nanvl(v, F.lit(None).cast("double"))
 
 
 def parse_amount(df: DataFrame, strict: bool = True, col: str = S.AMOUNT) -> DataFrame:
     """Amount as DOUBLE. strict raises on text that is no number; else it becomes null."""
     raw = F.col(col)
     if isinstance(df.schema[col].dataType, T.NumericType):
-        v = raw.cast("double")
-        return df.withColumn(col, F.when(~F.isnan(v), v))
+        return df.withColumn(col, F.nanvl(raw.cast("double"), F.lit(None).cast("double")))
     v = currency(raw)
     if strict:
-        is_nan = F.lower(F.trim(raw)) == "nan"
-        v = F.when(v.isNull() & raw.isNotNull() & ~is_nan,
-                   F.raise_error(F.concat(F.lit("not an amount: "), raw)).cast("double")).otherwise(v)
+        # every step refers to the parsed value once, so it is parsed once
+        v = F.coalesce(v, F.when(raw.isNotNull() & (F.lower(F.trim(raw)) != "nan"),
+                                 F.raise_error(F.concat(F.lit("not an amount: "), raw)).cast("double")))
     return df.withColumn(col, v)
 
 
@@ -47,10 +46,9 @@ def parse_datetime(df: DataFrame) -> DataFrame:
 
     Hour and minute that are no numbers count as 0 and are clipped to their
     range; rows with an impossible date are dropped."""
-    parts = F.split(F.col("Time"), ":")
-
     def piece(i, top):
-        v = F.coalesce(F.nanvl(F.get(parts, F.lit(i)).try_cast("double"), F.lit(0.0)), F.lit(0.0))
+        text = F.split_part(F.col("Time"), F.lit(":"), F.lit(i + 1))
+        v = F.coalesce(F.nanvl(text.try_cast("double"), F.lit(0.0)), F.lit(0.0))
         return F.least(F.greatest(v, F.lit(0.0)), F.lit(float(top))).cast("int")
 
     ts = F.expr("try_make_timestamp_ntz(`Year`, `Month`, `Day`, _hh, _mi, 0)")

@@ -34,13 +34,9 @@ def _micros(c):
 
 
 def _hot_users(df, hot_rows):
-    """Customers with more rows than one task should sort: at most rows / hot_rows.
-    Beyond 10,000 customers the threshold rises with the table, which bounds the list."""
-    total = df.count()
-    limit = max(hot_rows, total // 10_000) if hot_rows >= 1_000_000 else hot_rows
-    if total <= limit:
-        return {}
-    sizes = df.groupBy(S.USER).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    """{customer: rows} of customers one task should not sort alone: at most
+    total rows / hot_rows of them."""
+    sizes = df.groupBy(S.USER).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
     return {r[0]: r[1] for r in sizes.collect()}
 
 
