@@ -97,25 +97,32 @@ def describe_text(df: DataFrame, columns) -> DataFrame:
 
 
 def report(df: DataFrame) -> DataFrame:
-    """The whole profile as tidy rows (metric, column, value)."""
-    def row(frame, metric, value, column=F.lit(None).cast("string")):
-        return frame.select(F.lit(metric).alias("metric"), column.alias("column"), F.col(value).cast("double").alias("value"))
-
-    parts = [
-        row(counts(df), "n_rows", "n_rows"), row(counts(df), "n_cols", "n_cols"),
-        row(missing(df), "missing", "missing", F.col("column")), row(missing(df), "missing_pct", "pct", F.col("column")),
-        row(duplicates(df), "duplicate_rows", "n_duplicate_rows"),
-        row(cardinality(df), "cardinality", "n_distinct", F.col("column")),
-    ]
+    """The whole profile as tidy rows (metric, column, value). Everything countable
+    row by row comes from one scan; repeats and cardinality are one shuffle each."""
+    facts = {("n_rows", None): F.count("*"), ("n_cols", None): F.max(F.lit(len(df.columns)))}
+    nulls = {c: F.sum(_q(c).isNull().cast("bigint")) for c in df.columns}
+    facts |= {("missing", c): v for c, v in nulls.items()}
+    facts |= {("missing_pct", c): F.round(100.0 * v / F.count("*"), 3) for c, v in nulls.items()}
+    always = {("n_rows", None), ("n_cols", None)}
     if S.AMOUNT in df.columns:
-        parts += [row(amounts(df), "negative", "n_negative", F.lit(S.AMOUNT)),
-                  row(amounts(df), "non_numeric", "n_non_numeric", F.lit(S.AMOUNT))]
+        v = currency(F.col(S.AMOUNT))
+        facts[("negative", S.AMOUNT)] = F.sum((v < 0).cast("bigint"))
+        facts[("non_numeric", S.AMOUNT)] = F.sum(v.isNull().cast("bigint"))
+        always |= {("negative", S.AMOUNT), ("non_numeric", S.AMOUNT)}
     if S.LABEL_RAW in df.columns:
-        parts.append(row(labels(df), "unexpected_labels", "n_unexpected_labels", F.lit(S.LABEL_RAW)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        c = _q(S.LABEL_RAW)
+        facts[("unexpected_labels", S.LABEL_RAW)] = F.sum((~c.isin("Yes", "No") & c.isNotNull()).cast("bigint"))
+        always.add(("unexpected_labels", S.LABEL_RAW))
+    one = df.agg(*[v.cast("double").alias(f"_{i}") for i, v in enumerate(facts.values())])
+    rows = one.select(F.explode(F.array(*[F.struct(
+        F.lit(m).alias("metric"), F.lit(c).cast("string").alias("column"),
+        (F.coalesce(F.col(f"_{i}"), F.lit(0.0)) if (m, c) in always else F.col(f"_{i}")).alias("value"))
+        for i, (m, c) in enumerate(facts)])).alias("r")).select("r.*")
+    rows = rows.filter(~F.col("metric").isin("missing", "missing_pct") | (F.col("value") > 0))
+    again = duplicates(df).select(F.lit("duplicate_rows").alias("metric"), F.lit(None).cast("string").alias("column"),
+                                  F.col("n_duplicate_rows").cast("double").alias("value"))
+    sizes = cardinality(df).select(F.lit("cardinality").alias("metric"), "column", F.col("n_distinct").cast("double").alias("value"))
+    return rows.unionByName(again).unionByName(sizes)
 
 
 def validate(df: DataFrame) -> DataFrame:

@@ -243,6 +243,11 @@ SELECT row_id, "User" FROM raw WHERE "User" IN (SELECT u FROM pick WHERE rk <= {
         "profile_cardinality": R + CARDINAL,
         "profile_amount": RJ + f"SELECT count(*) FILTER (WHERE {AMT} < 0) AS n_negative, count(*) FILTER (WHERE {AMT} IS NULL) AS n_non_numeric FROM raw",
         "profile_labels": R + "SELECT count(*) FILTER (WHERE \"Is Fraud?\" NOT IN ('Yes', 'No')) AS n_unexpected_labels FROM raw",
+        "profile_report": RJ + f"""SELECT 'n_rows' AS metric, NULL::VARCHAR AS "column", count(*)::DOUBLE AS "value" FROM raw UNION ALL SELECT 'n_cols', NULL, 15
+UNION ALL SELECT 'missing', "column", missing FROM ({MISSING}) WHERE missing > 0 UNION ALL SELECT 'missing_pct', "column", pct FROM ({MISSING}) WHERE missing > 0
+UNION ALL SELECT 'duplicate_rows', NULL, n_duplicate_rows FROM ({DUPES}) UNION ALL SELECT 'cardinality', "column", n_distinct FROM ({CARDINAL})
+UNION ALL SELECT 'negative', 'Amount', count(*) FILTER (WHERE {AMT} < 0) FROM raw UNION ALL SELECT 'non_numeric', 'Amount', count(*) FILTER (WHERE {AMT} IS NULL) FROM raw
+UNION ALL SELECT 'unexpected_labels', 'Is Fraud?', count(*) FILTER (WHERE "Is Fraud?" NOT IN ('Yes', 'No')) FROM raw""",
         "describe_numeric": L + describe_sql("txn", ["Amount", "l_quantity", "l_discount", "l_tax"]),
         "describe_text": R + describe_text_sql("raw", ["Use Chip", "Merchant City", "Merchant State", "Errors?", "Is Fraud?"]),
         "clean_amount": R + f'SELECT row_id, {AMT} AS "Amount" FROM raw',
