@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list = []
+
 
 def local_session(cpus=8, partitions=None, memory="12g"):
     return (
@@ -52,6 +54,7 @@ def materialize(df: DataFrame, name: str = "step", parallel: bool = False) -> Da
     def write(rows):
         path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         rows.write.parquet(path)
+        _written.append(path)
         return spark.read.schema(df.schema).parquet(path)
 
     table = write(df)
@@ -59,3 +62,15 @@ def materialize(df: DataFrame, name: str = "step", parallel: bool = False) -> Da
     if parallel and table.rdd.getNumPartitions() < cores:
         table = write(table.repartition(cores))
     return table
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes every intermediate table this process wrote; frames built on them
+    can no longer be used. Returns how many there were."""
+    n = 0
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _written:
+        path = hadoop(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        n += 1
+    return n

@@ -105,3 +105,16 @@ def test_csv_stream(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("csv_in").count() == 5
+
+
+def test_release_removes_only_intermediate_tables(spark, tmp_path, monkeypatch):
+    import os
+
+    from oddspend import session
+
+    monkeypatch.setattr(session, "_written", [])
+    df = session.materialize(spark.range(5), "gone")
+    kept = writers.write_table(spark.range(3), str(tmp_path / "kept"))
+    path = session._written[0]
+    assert df.count() == 5 and session.release(spark) == 1
+    assert not os.path.exists(path.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
