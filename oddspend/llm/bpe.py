@@ -286,7 +286,7 @@ def encode_chunks(m: Merges, text: str | None):
     """The ids of a text, as byte strings of little-endian unsigned 32-bit integers."""
     runs = [text or ""]
     for name in m.special:
-        runs = [y for x in runs for y in ([x] if x in m.special else _around(x, name))]
+        runs = [y for x in runs for y in ([x] if x in m.special else around(x, name))]
     for run in runs:
         if run in m.special:
             yield np.array([m.special[run]], dtype="<u4").tobytes()
@@ -295,7 +295,7 @@ def encode_chunks(m: Merges, text: str | None):
             yield b"".join([m.words.get(w) or word_ids(m, w) for w in spaced_words(piece)])
 
 
-def _around(text: str, name: str) -> list[str]:
+def around(text: str, name: str) -> list[str]:
     out = []
     for k, x in enumerate(text.split(name)):
         out += [name] * (k > 0) + [x]
