@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oddspend.llm import bpe, chat, packing, page_text
+from oddspend.llm import bpe, chat, packing, page_text, quality, secret_scan
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PROBE = "<|im_end|><|im_start|>assistant ok"  # a text that holds the template's own control strings
@@ -27,9 +27,17 @@ def op5_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_windows(rows.unionByName(probe), TOKENIZER))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(table(spark, folder, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), TOKENIZER)
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe_round_trip, op4_page_text, op5_chat_windows, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op8_best_fit_packing, op9_secret_scan)}
