@@ -77,6 +77,7 @@ def rules(text: Column, words: Column) -> dict[str, Column]:
         "few_letters": 2 * letters < m["word_chars"],
         "shouting": let(letters, lambda x: (x >= 20) & (2 * F.length(F.regexp_replace(text, r"\P{Lu}+", "")) > x)),
         "repeated_lines": let(lines_of(text), lambda x: (F.size(x) >= 4) & (10 * (F.size(x) - F.size(F.array_distinct(x))) > 3 * F.size(x))),
+        "stuttering": 5 * F.size(F.filter(words, lambda x, i: F.coalesce(F.get(words, i - 1) == x, F.lit(False)))) > n,
         "repeated_words": 100 * m["n_repeat_words"] > REPEATED_SHARE * n,
     }
 

@@ -3,9 +3,10 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oddspend.llm import bpe, chat, packing, page_text, quality, secret_scan
+from oddspend.llm import bpe, chat, line_templates, packing, page_text, quality, secret_scan, surrogates
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+KEY = "surrogates of the registered queries"  # a secret of the caller's in real use
 PROBE = "<|im_end|><|im_start|>assistant ok"  # a text that holds the template's own control strings
 
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_templates.drop_recurring(table(spark, folder, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
 
@@ -31,6 +37,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"))
 
 
+def op7_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(table(spark, folder, "documents"), KEY).select("doc_id", "text", "n_entities")
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), TOKENIZER)
 
@@ -40,4 +50,4 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op8_best_fit_packing, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan)}

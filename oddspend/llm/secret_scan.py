@@ -29,13 +29,13 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Character classes, narrowest first, with the entropy in bits that a window must reach.
-CLASSES = ((r"^[0-9]+$", math.inf), (r"^[0-9a-fA-F]+$", 2.9), (r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.4), (r"^[0-9A-Za-z]+$", 3.6), (r"", 3.8))
+CLASSES = ((r"^[0-9]+$", math.inf), (r"^[0-9a-fA-F]+$", 2.9), (r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.4), (r"^[0-9A-Za-z]+$", 3.5), (r"", 3.5))
 #: Candidates that are no secrets: placeholders, identifiers of known form, runs of words, paths.
 ALLOWED = (
     r"(?i)example|placeholder|changeme|dummy|sample|xxxx|test_?key",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[^0-9]*$",
-    r"^[A-Za-z]+(?:[-_/=+][A-Za-z]*|[-_/=+][0-9]{1,4})*$",
+    r"^(?:[A-Za-z]+|[0-9]{1,8})(?:[-_/=+]+(?:[A-Za-z]+|[0-9]{1,8}))*[-_/=+]*$",
     r"(.)\1{5}",
 )
 
@@ -106,7 +106,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def joined(kinds) -> Column:
     """kind:start:end, by start and then kind, comma-joined."""
-    every = F.concat(*[F.transform(kind, lambda s, k=KINDS.index(kind): F.struct(s["start"], F.lit(k).alias("kind"), s["end"])) for kind in kinds])
+    def numbered(kind):
+        return F.transform(kind, lambda s: F.struct(s["start"], F.lit(KINDS.index(kind)).alias("kind"), s["end"]))
+
+    every = F.concat(*map(numbered, kinds))
     names = F.array(*map(F.lit, KINDS))
     return F.concat_ws(",", F.transform(F.sort_array(every), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])))
 
