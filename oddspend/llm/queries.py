@@ -1,9 +1,9 @@
 """One registered query for each operator; each reads its whole table."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oddspend.llm import bpe, chat, line_templates, packing, page_text, quality, secret_scan, surrogates
+from oddspend.llm import bpe, chat, line_templates, ngram_join, packing, page_text, quality, secret_scan, surrogates
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 KEY = "surrogates of the registered queries"  # a secret of the caller's in real use
@@ -49,5 +49,11 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.links(table(spark, folder, "documents"))
+    named = lambda c: F.nullif(c, F.lit(ngram_join.NO_ID))
+    return found.select(named(F.col("id")).alias("doc_id"), named(F.col("class_id")).alias("class_id"), named(F.col("head.id")).alias("group_id"), F.col("copies").alias("n_copies"), "n_links")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan, op10_ngram_join)}
