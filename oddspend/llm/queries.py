@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oddspend.llm import bpe, chat, line_templates, ngram_join, packing, page_text, quality, secret_scan, surrogates
+from oddspend.llm import bpe, chat, line_templates, ngram_join, packing, page_text, permutation_index, quality, secret_scan, surrogates
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 KEY = "surrogates of the registered queries"  # a secret of the caller's in real use
@@ -14,6 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op2_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     found = line_templates.drop_recurring(table(spark, folder, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_dropped")
@@ -55,5 +59,11 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(named(F.col("id")).alias("doc_id"), named(F.col("class_id")).alias("class_id"), named(F.col("head.id")).alias("group_id"), F.col("copies").alias("n_copies"), "n_links")
 
 
+OPERATORS = (
+    op1_permutation_index, op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows,
+    op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan, op10_ngram_join,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows, op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan, op10_ngram_join)}
+    return {f.__name__: f for f in OPERATORS}
