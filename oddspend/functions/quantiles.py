@@ -1,10 +1,12 @@
 """Exact quantiles and order statistics that never gather a column in one task.
 
-Spark's `percentile` keeps a value-to-count map of the whole group in the final
-task. That is fine up to a known number of rows. Beyond it, the answer is
-bracketed with the mergeable approximate sketch, the rows inside the bracket are
-counted exactly, and the bracket is narrowed until few enough rows are left.
-Every pass is a map-side combined aggregation, so hot groups do no harm.
+A quantile is made of two order statistics and one formula, whatever the size. Up
+to a known number of rows, a group's values are counted and the counts added up in
+one task. Beyond it, the answer is bracketed with the mergeable approximate sketch,
+the rows inside the bracket are counted exactly, and the bracket is narrowed until
+few enough rows are left. Every pass is a map-side combined aggregation, so hot
+groups do no harm. Integer columns are selected as integers, so that no id is
+rounded on the way.
 """
 
 import math
@@ -15,9 +17,11 @@ SMALL = 250_000
 _GRID = 1000
 
 
-def _clean(df, value, groups):
+def _clean(df, value, groups, keep_type=False):
     cols = [F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(groups)]
     v = F.col(value) if isinstance(value, str) else value
+    if keep_type and df.select(v.alias("v")).schema["v"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return df.select(*(cols or [F.lit(0).alias("_g0")]), v.cast("bigint").alias("_v"))
     # NaN counts as missing; aggregates and range conditions skip nulls by themselves
     return df.select(*(cols or [F.lit(0).alias("_g0")]), F.nanvl(v.cast("double"), F.lit(None).cast("double")).alias("_v"))
 
@@ -26,10 +30,15 @@ def _keys(groups):
     return [f"_g{i}" for i in range(max(1, len(groups)))]
 
 
+def _next(value, side):
+    return value + side if isinstance(value, int) else math.nextafter(value, side * math.inf)
+
+
 def _join_targets(vals, targets, keys, on_range):
     spark = vals.sparkSession
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vals.schema if f.name in keys)
-    t = spark.createDataFrame(targets, f"{fields}, _t long, _lo double, _hi double")
+    kind = vals.schema["_v"].dataType.simpleString()
+    t = spark.createDataFrame(targets, f"{fields}, _t long, _lo {kind}, _hi {kind}")
     cond = None
     for k in keys:
         c = vals[k].eqNullSafe(t[k])
@@ -71,13 +80,18 @@ def _select_ranks(vals, keys, targets, small, sizes):
                 done[(*[r[k] for k in keys], r["_t"])] = r["_v"]
             break
         probs = [i / _GRID for i in range(_GRID + 1)]
-        grids = inside.groupBy(*keys, "_t").agg(F.percentile_approx("_v", probs, 20000).alias("grid"))
+        # the sketch works on doubles: integers are taken from the bracket's lower end
+        offset = F.col("_v") - F.col("_lo") if vals.schema["_v"].dataType.typeName() == "long" else F.col("_v")
+        grids = inside.groupBy(*keys, "_t").agg(F.percentile_approx(offset, probs, 20000).alias("grid"))
         fresh = {}
         for r in grids.collect():
             key = (*[r[k] for k in keys], r["_t"])
             rank, lo, hi, below, n = state[key]
             at = (rank - below) / max(1, n - 1) * _GRID
-            fresh[key] = (max(lo, r.grid[max(0, int(at) - 1)]), min(hi, r.grid[min(_GRID, math.ceil(at) + 1)]))
+            first, last = r.grid[max(0, int(at) - 1)], r.grid[min(_GRID, math.ceil(at) + 1)]
+            if isinstance(lo, int):
+                first, last = lo + first, lo + last
+            fresh[key] = (max(lo, first), min(hi, last))
         rows = [(*key, lo, hi) for key, (lo, hi) in fresh.items()]
         check = _join_targets(vals, rows, keys, False).groupBy(*keys, "_t").agg(
             F.sum((F.col("_v") < F.col("_lo")).cast("long")).alias("below"),
@@ -88,9 +102,9 @@ def _select_ranks(vals, keys, targets, small, sizes):
             rank, plo, phi, pbelow, pn = state[key]
             # a bracket that missed its rank gives way to the rest of its parent
             if rank < r.below:
-                state[key] = (rank, plo, math.nextafter(lo, -math.inf), pbelow, r.below - pbelow)
+                state[key] = (rank, plo, _next(lo, -1), pbelow, r.below - pbelow)
             elif rank >= r.upto:
-                state[key] = (rank, math.nextafter(hi, math.inf), phi, r.upto, pbelow + pn - r.upto)
+                state[key] = (rank, _next(hi, 1), phi, r.upto, pbelow + pn - r.upto)
             else:
                 state[key] = (rank, lo, hi, r.below, r.upto - r.below)
     return done
@@ -107,6 +121,25 @@ def _ranks_for(n, p):
     return k, min(k + 1, n - 1), at - k
 
 
+def _between(a, b, share):
+    """The one interpolation of all sizes; works on numbers and on columns."""
+    return a + (b - a) * share
+
+
+def _counted_quantiles(vals, keys, probs):
+    """n and q for each small group, from running counts of its values."""
+    values = vals.filter("_v is not null").groupBy(*keys, "_v").count()
+    run = values.withColumn("_end", F.sum("count").over(Window.partitionBy(*keys).orderBy("_v"))).withColumn(
+        "_n", F.sum("count").over(Window.partitionBy(*keys)))
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+
+    def value(rank):
+        return F.min(F.when(F.col("_end") > rank, F.col("_v")))
+
+    parts = [(value(F.floor(x)), value(F.least(F.floor(x) + 1, F.col("_n") - 1)), F.first(x - F.floor(x))) for x in at]
+    return run.groupBy(*keys).agg(F.first("_n").alias("n"), F.array(*[_between(*x) for x in parts]).alias("q"))
+
+
 def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
     """Linear-interpolated quantiles of one column as Python floats (None if empty)."""
     vals = _clean(df, value, [])
@@ -114,8 +147,6 @@ def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
     n = size[0]
     if n == 0:
         return [None] * len(probs)
-    if n <= small:
-        return list(vals.agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).first().q)
     targets = {}
     for i, p in enumerate(probs):
         k, k1, _ = _ranks_for(n, p)
@@ -124,13 +155,13 @@ def exact_quantiles(df: DataFrame, value, probs, small: int = SMALL):
     out = []
     for i, p in enumerate(probs):
         a, b = got[(0, 2 * i)], got[(0, 2 * i + 1)]
-        out.append(a + (b - a) * _ranks_for(n, p)[2])
+        out.append(_between(a, b, _ranks_for(n, p)[2]))
     return out
 
 
 def order_statistic(df: DataFrame, value, rank: int, small: int = SMALL):
     """The value at 0-based rank of the ascending order."""
-    vals = _clean(df, value, [])
+    vals = _clean(df, value, [], keep_type=True)
     return _select_ranks(vals, ["_g0"], {(0, 0): rank}, small, {(0,): _size(vals)})[(0, 0)]
 
 
@@ -152,9 +183,7 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
             cond = c if cond is None else cond & c
         direct = vals.join(hot, cond, "left_anti")
         heavy = vals.join(hot, cond, "left_semi")
-    out = direct.groupBy(*keys).agg(
-        F.count("_v").alias("n"),
-        F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).filter("n > 0")
+    out = _counted_quantiles(direct, keys, probs)
     if big:
         targets = {}
         for r in big:
@@ -169,17 +198,15 @@ def grouped_quantiles(df: DataFrame, groups, value, probs, small: int = SMALL) -
             q = []
             for i, p in enumerate(probs):
                 a, b = got[(*g, 2 * i)], got[(*g, 2 * i + 1)]
-                q.append(a + (b - a) * _ranks_for(r.n, p)[2])
+                q.append(_between(a, b, _ranks_for(r.n, p)[2]))
             rows.append((*g, r.n, q))
         out = out.unionByName(spark.createDataFrame(rows, f"{fields}, n long, q array<double>"))
     return out.select(*names, "n", "q")
 
 
 def column_quantiles(df: DataFrame, columns, probs, small: int = SMALL):
-    """{column: [quantile, ...]}; one job for all columns while the table is small."""
-    if df.count() <= small:
-        q = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), q).alias(f"_{i}")
-                       for i, c in enumerate(columns)]).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
-    return {c: exact_quantiles(df, F.col(f"`{c}`"), probs, small) for c in columns}
+    """{column: [quantile, ...]}; all columns share every pass, as groups of one table."""
+    number = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)])
+    rows = df.select(F.explode(number).alias("x")).select(F.col("x.i").alias("i"), F.col("x.v").alias("v"))
+    got = {r["i"]: list(r["q"]) for r in grouped_quantiles(rows, ["i"], "v", probs, small).collect()}
+    return {c: got.get(i, [None] * len(probs)) for i, c in enumerate(columns)}

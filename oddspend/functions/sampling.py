@@ -5,34 +5,43 @@ from pyspark.sql import DataFrame, functions as F, Window
 from oddspend.functions.quantiles import order_statistic
 
 PRIME = 2147483647
-MULT = 1103515245
+WORD = 2147483648
+MULT, CARRY, FOLD = 1103515245, 69621, 48271
+SPAN = PRIME * WORD  # hashes are below this
 
 
 def id_hash(col, seed: int):
-    """Congruential hash of an integer id; any SQL engine can compute it."""
-    c = F.col(f"`{col}`") if isinstance(col, str) else col
-    return F.pmod(F.pmod(c, F.lit(PRIME)) * F.lit(MULT) + F.lit(seed), F.lit(PRIME))
+    """Hash of an integer id to about 62 bits, made of its high and its low 31-bit word by
+    congruences; any SQL engine can compute it. Ids of different scan partitions differ in
+    the high word and get hashes of their own."""
+    c = (F.col(f"`{col}`") if isinstance(col, str) else col).cast("bigint")
+    low = F.pmod(c, F.lit(WORD))
+    high = F.pmod(F.shiftright(c, 31), F.lit(PRIME))
+    x = F.pmod(low * F.lit(MULT) + F.pmod(high * F.lit(CARRY), F.lit(PRIME)) + F.lit(seed), F.lit(PRIME))
+    return x * F.lit(WORD) + F.pmod(x * F.lit(FOLD) + high, F.lit(PRIME))
+
+
+def _smallest(df: DataFrame, h, row_id: str, k: int):
+    """Condition for the k rows of df with the smallest (hash, id), 0 < k <= rows."""
+    cut = order_statistic(df.select(h.alias("_h")), "_h", k - 1)
+    upto, below = df.agg(F.count_if(h <= cut), F.count_if(h < cut)).first()
+    if upto == k:
+        return h <= F.lit(cut)
+    last = order_statistic(df.filter(h == F.lit(cut)), f"`{row_id}`", k - below - 1)
+    return (h < F.lit(cut)) | ((h == F.lit(cut)) & (F.col(f"`{row_id}`") <= F.lit(last)))
 
 
 def take_fixed(df: DataFrame, k: int, row_id: str, seed: int = 42, n: int | None = None) -> DataFrame:
     """Exactly min(k, rows) rows with the smallest (hash, id).
 
-    The k-th smallest hash is found by distributed selection and rows are kept
-    by comparing with it, so no task sorts or holds the sample. Ids that share
-    the cut-off hash differ by a multiple of the modulus; the lowest are kept.
-    """
-    h = id_hash(row_id, seed)
+    The k-th smallest hash, and the id among equal hashes, are found by distributed
+    selection and rows are kept by comparing with them: no task sorts or holds the sample."""
     n = df.count() if n is None else n
     if k >= n:
         return df
     if k <= 0:
         return df.limit(0)
-    cut = int(order_statistic(df.select(h.alias("_h")), "_h", k - 1))
-    hashed = df.withColumn("_h", h)
-    below = hashed.filter(F.col("_h") < cut)
-    need = k - below.count()
-    at_cut = hashed.filter(F.col("_h") == cut).orderBy(f"`{row_id}`").limit(need)
-    return below.unionByName(at_cut).drop("_h")
+    return df.filter(_smallest(df, id_hash(row_id, seed), row_id, k))
 
 
 def sample_users(df: DataFrame, user: str, frac: float, seed: int = 42) -> DataFrame:
@@ -44,8 +53,8 @@ def sample_users(df: DataFrame, user: str, frac: float, seed: int = 42) -> DataF
 
 
 def stratified_split(df: DataFrame, row_id: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds `split`: in every label class the ceil(test_size * n) rows with the
-    smallest hash are 'test'. One class only means a plain split of all rows."""
+    """Adds `split`: in every label class (null is one) exactly the ceil(test_size * n)
+    rows with the smallest (hash, id) are 'test'. One class only means a plain split of all rows."""
     import math
 
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # two classes
@@ -55,9 +64,8 @@ def stratified_split(df: DataFrame, row_id: str, label: str, test_size: float =
         k = math.ceil(round(n * test_size, 9))
         if k == 0:
             continue
-        sub = df.filter(F.col(label) == cls).select(h.alias("_h"))
-        cut = int(order_statistic(sub, "_h", k - 1))
-        test = test | ((F.col(label) == cls) & (h <= cut))
+        own = F.col(label).eqNullSafe(F.lit(cls))
+        test = test | (own & _smallest(df.filter(own), h, row_id, k))
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 

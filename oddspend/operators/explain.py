@@ -1,9 +1,11 @@
 """Why a row was flagged, and which inputs drive a model."""
 
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F
 
 from oddspend import schema as S
-from oddspend.functions.sampling import id_hash, take_fixed
+from oddspend.functions.running import running_totals
+from oddspend.functions.sampling import take_fixed
+from oddspend.session import materialize
 
 
 def base_feature(col):
@@ -59,27 +61,39 @@ def explain_text(rows: DataFrame, stats, row_id: str = S.ROW_ID) -> DataFrame:
 
 
 def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID, n_repeats: int = 5,
-                           sample_size: int = 5000, seed: int = 42) -> DataFrame:
-    """Mean |score change| when one input is shuffled among a sample of rows.
-
-    score maps a frame with `features` to the frame plus `anomaly_score`. The
-    shuffle pairs rows ranked by id with rows ranked by a hash, inside each
-    (input, repeat): groups of at most sample_size rows."""
-    sample = take_fixed(df.select(row_id, "features"), sample_size, row_id, seed)
-    base = score(sample).select(row_id, F.col("anomaly_score").alias("_base"))
-    d = len(names)
-    runs = sample.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(d - 1)))).withColumn(
-        "_r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
-    by_id = Window.partitionBy("_j", "_r").orderBy(row_id)
-    mixed = id_hash(F.col(row_id) + F.col("_j") * 7919 + F.col("_r") * 104729, seed)
-    mixed = id_hash(mixed, seed + 1)
-    by_hash = Window.partitionBy("_j", "_r").orderBy("_mix", row_id)
-    left = runs.withColumn("_k", F.row_number().over(by_id))
-    right = runs.withColumn("_mix", mixed).withColumn("_k", F.row_number().over(by_hash)).select(
-        "_j", "_r", "_k", F.get("features", F.col("_j")).alias("_new"))
-    shuffled = left.join(right, ["_j", "_r", "_k"]).withColumn("features", F.transform(
-        "features", lambda x, i: F.when(i == F.col("_j"), F.col("_new")).otherwise(x)))
-    delta = score(shuffled.select(row_id, "_j", "_r", "features")).join(base, row_id)
+                           sample_size: int | None = None, seed: int = 42) -> DataFrame:
+    """Mean |score change| when one input is shuffled among all rows (or, if the caller
+    gives sample_size, among so many).
+
+    score maps a frame with `features` to the frame plus `anomaly_score`. Rows are
+    numbered once. Each (input, repeat) takes the values of the rows at (a k + b) mod n,
+    with a and n coprime: a permutation that is a join on row numbers, so no window holds
+    the rows of a run."""
+    import math
+    import random
+
+    rows = df.select(row_id, "features")
+    rows = rows if sample_size is None else take_fixed(rows, sample_size, row_id, seed)
+    rows = running_totals(rows.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0)), ["_all"], row_id, ["_one"])
+    rows = materialize(rows.select(row_id, "features", (F.col("cum__one") - 1).cast("long").alias("_k")), "ranked")
+    n, rng, d = rows.count(), random.Random(seed), len(names)
+    base = score(rows).select("_k", F.col("anomaly_score").alias("_base"))
+    base = materialize(base, "base_scores")
+    shifts = []
+    for j in range(d):
+        for r in range(n_repeats):
+            a = rng.randrange(1, max(2, n))
+            while math.gcd(a, max(n, 1)) != 1:
+                a = rng.randrange(1, max(2, n))
+            shifts.append((j, r, a, rng.randrange(max(1, n))))
+    shifts = F.broadcast(rows.sparkSession.createDataFrame(shifts, "_j int, _r int, _a long, _b long"))  # inputs x repeats
+    runs = rows.join(base, "_k").crossJoin(shifts)
+    # exact products: row numbers may have more than 31 bits
+    target = ((F.col("_a").cast("decimal(19,0)") * F.col("_k") + F.col("_b")) % F.lit(max(n, 1))).cast("long")
+    moved = rows.select(F.col("_k").alias("_from"), F.col("features").alias("_other"))
+    shuffled = runs.withColumn("_from", target).join(moved, "_from").withColumn("_new", F.get("_other", F.col("_j")))
+    shuffled = shuffled.withColumn("features", F.transform("features", lambda x, i: F.when(i == F.col("_j"), F.col("_new")).otherwise(x)))
+    delta = score(shuffled.select("_j", "_r", "_base", "features"))
     per_run = delta.groupBy("_j", "_r").agg(F.avg(F.abs(F.col("anomaly_score") - F.col("_base"))).alias("_d"))
     feature = F.get(F.array(*[F.lit(c) for c in names]), F.col("_j"))
     return per_run.groupBy("_j").agg(F.avg("_d").alias("importance")).select(

@@ -8,10 +8,11 @@ from oddspend.operators.knn import knn
 from oddspend.operators.models.linear import Mahalanobis
 from oddspend.operators.models.lof import LocalOutlierFactor, outlier_factor
 from oddspend.plans import queries as Q, scoring as P
-from oddspend.session import materialize, shared_dir
+from oddspend.session import materialize, on_release, shared_dir
 from oddspend.sources import views, writers
 
 _fitted: dict = {}
+on_release(_fitted.clear)
 
 
 def model(spark, d, name):

@@ -9,7 +9,9 @@ P = "OVER (PARTITION BY \"User\" ORDER BY transaction_datetime, row_id ROWS BETW
 W = "(PARTITION BY \"User\" ORDER BY transaction_datetime, row_id)"
 DEC = 'CAST("Amount" AS DECIMAL(18,6))'
 SQ = 'CAST(CAST("Amount" AS DECIMAL(30,6)) * CAST("Amount" AS DECIMAL(30,6)) AS DECIMAL(38,12))'
-HASH = "(({c} % 2147483647) * 1103515245 + {seed}) % 2147483647"
+_HIGH = "(({c} // 2147483648) % 2147483647)"
+_MIXED = "((({c} % 2147483648) * 1103515245 + (" + _HIGH + " * 69621) % 2147483647 + {seed}) % 2147483647)"
+HASH = "(" + _MIXED + " * 2147483648 + (" + _MIXED + " * 48271 + " + _HIGH + ") % 2147483647)"
 
 TXN = """txn AS (SELECT event_id AS row_id, user_id AS "User", ts AS transaction_datetime, value AS "Amount",
  CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS "Merchant Name", event_type AS channel,

@@ -1,5 +1,7 @@
 """Registered queries: each takes (spark, folder) and reads the folder's tables."""
 
+import zlib
+
 from pyspark.sql import DataFrame, functions as F
 
 from oddspend import schema as S
@@ -7,10 +9,11 @@ from oddspend.functions import sampling
 from oddspend.functions.quantiles import exact_quantiles, grouped_quantiles
 from oddspend.operators import clean as C, encode as E, evaluate as A, explain as X, features as B, insights as I, profile as V
 from oddspend.plans.oracle import CORR_COLS, INTS
-from oddspend.session import materialize, shared_dir
+from oddspend.session import materialize, on_release, shared_dir
 from oddspend.sources import readers, views, writers
 
 _tables: dict = {}
+on_release(_tables.clear)
 
 
 def shared(spark, folder, name, build, parallel=False) -> DataFrame:
@@ -101,7 +104,7 @@ def suspicious_now(spark, d):
 
 
 def scan_project(spark, d):
-    path = f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    path = f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"
     writers.write_csv(views.raw_card(spark, d).drop(S.ROW_ID), path)
     return readers.read_csv(spark, path).drop(S.ROW_ID)
 
@@ -115,7 +118,7 @@ def head_n(spark, d):
 
 
 def parquet_roundtrip(spark, d):
-    path = f"{shared_dir(spark)}/engineered-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    path = f"{shared_dir(spark)}/engineered-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"
     writers.write_table(features(spark, d), path)
     return rounded(readers.read_table(spark, path), S.FEATURES, (S.ROW_ID, S.LABEL))
 

@@ -7,6 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list = []
+_caches: list = []
+
+
+def on_release(forget):
+    """Registers what empties a cache of frames built on intermediate tables."""
+    _caches.append(forget)
 
 
 def local_session(cpus=8, partitions=None, memory="12g"):
@@ -66,8 +72,10 @@ def materialize(df: DataFrame, name: str = "step", parallel: bool = False) -> Da
 
 def release(spark: SparkSession) -> int:
     """Deletes every intermediate table this process wrote; frames built on them
-    can no longer be used. Returns how many there were."""
+    can no longer be used, and caches of them are emptied. Returns how many there were."""
     n = 0
+    for forget in _caches:
+        forget()
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     while _written:
         path = hadoop(_written.pop())

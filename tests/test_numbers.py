@@ -26,6 +26,39 @@ def test_selected_quantiles_equal_numpy(spark, kind):
         np.testing.assert_allclose(Q.exact_quantiles(df, "v", probs, small=small), want, rtol=1e-12)
 
 
+def test_quantiles_are_bit_equal_at_every_size(spark):
+    rng = np.random.default_rng(11)
+    v = rng.normal(0, 3, 1237)
+    df, probs = frame(spark, v), [i / 14 for i in range(15)]
+    small = Q.exact_quantiles(df, "v", probs, small=10_000)
+    assert small == Q.exact_quantiles(df, "v", probs, small=50)
+    for limit in (10_000, 50):
+        assert small == list(Q.grouped_quantiles(df, ["g"], "v", probs, small=limit).first()["q"])
+        assert small == Q.column_quantiles(df, ["v"], probs, small=limit)["v"]
+
+
+def test_integers_are_selected_without_rounding(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(big + i,) for i in range(9)], "row_id long")
+    assert [r.row_id - big for r in sampling.head_rows(df, 4, "row_id").orderBy("row_id").collect()] == [0, 1, 2, 3]
+    assert Q.order_statistic(df, "row_id", 5, small=2) == big + 5
+
+
+def test_ids_of_many_scan_partitions_hash_apart(spark):
+    ids = spark.range(200_000).select(((F.col("id") % 1000) * (1 << 33) + F.floor(F.col("id") / 1000)).alias("row_id"), (F.col("id") % 2).alias("g"))
+    assert ids.select(sampling.id_hash("row_id", 42)).distinct().count() > 199_900
+    got = {(r.g, r.split): r["count"] for r in sampling.stratified_split(ids, "row_id", "g").groupBy("g", "split").count().collect()}
+    assert got == {(0, "test"): 20_000, (1, "test"): 20_000, (0, "train"): 80_000, (1, "train"): 80_000}
+    assert sampling.take_fixed(ids, 777, "row_id").count() == 777
+
+
+def test_equal_hashes_are_cut_by_id(spark, monkeypatch):
+    df = frame(spark, range(500))
+    monkeypatch.setattr(sampling, "id_hash", lambda c, seed: F.pmod(F.col("row_id"), F.lit(3)))
+    assert sampling.take_fixed(df, 200, "row_id").count() == 200
+    assert sampling.stratified_split(df, "row_id", "g").filter("split = 'test'").count() == 100
+
+
 def test_grouped_quantiles_with_a_hot_group(spark):
     rng = np.random.default_rng(2)
     g = np.where(rng.random(4000) < 0.6, 0, rng.integers(1, 9, 4000))
