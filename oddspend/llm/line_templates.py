@@ -27,6 +27,7 @@ an empty result.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from oddspend.llm.expressions import BLANKS, let
+from oddspend.session import materialize
 
 DEPTH, BANDS, LONG, LEAST = 2, 3, 8, 3
 NO_ID = -(1 << 63)
@@ -58,6 +59,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False,
     lines = docs.filter(F.col(text).isNotNull()).select(
         F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), templates).alias("lines")
     )
+    lines = materialize(lines, "line_templates")  # hashes only; counted first, joined back next
     counts = lines.select("id", F.explode(F.array_distinct(F.flatten("lines"))).alias("template"))
     counts = counts.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     recurring = counts.filter((F.col("n") >= min_docs) & (F.col("first") < F.col("last"))).select("template", "first")
