@@ -1,21 +1,26 @@
-"""Small hand-made tables with known answers."""
+"""Small tables of our own with answers worked out by hand, and slices of the test tables."""
 
 import datetime as dt
 
-import numpy as np
+from pyspark.sql import functions as F
 
+from conftest import TINY
 from oddspend import schema as S
+from oddspend.sources import views
 
+# A trip through three countries: a commuter, a refund after midnight, a row that came twice.
 CLEAN_ROWS = [
-    (1, 0, 2020, 1, 1, "10:30", "$100.50", "Chip Transaction", 111, "A", "NY", 10001.0, 5411, None, "No"),
-    (1, 0, 2020, 1, 2, "23:15", "$-20.00", None, 222, "ONLINE", None, None, 5812, None, "No"),
-    (1, 0, 2020, 1, 2, "23:15", "$-20.00", None, 222, "ONLINE", None, None, 5812, None, "No"),
-    (2, 1, 2020, 1, 4, "08:05", "$5000000.00", "Swipe Transaction", 333, "B", "CA", 90001.0, 5999, "Bad PIN", "Yes"),
-    (2, 1, 2020, 1, 5, "12:00", "$45.00", "Online Transaction", 444, "ONLINE", None, None, 5311, None, "No"),
+    (7, 2, 2019, 6, 14, "07:45", "$12.40", "Swipe Transaction", 9001, "Oslo", "NO", 150.0, 5814, None, "No"),
+    (7, 2, 2019, 6, 14, "19:20", "$310.00", "Chip Transaction", 9002, "Bergen", "NO", 5003.0, 4511, "Bad Zipcode", "Yes"),
+    (8, 0, 2019, 6, 15, "00:05", "$-310.00", "Online Transaction", 9002, "ONLINE", None, None, 4511, None, "No"),
+    (9, 1, 2019, 6, 16, "13:59", "$12.40", None, 9001, None, None, None, None, None, None),
+    (9, 1, 2019, 6, 16, "13:59", "$12.40", None, 9001, None, None, None, None, None, None),
+    (9, 1, 2019, 6, 17, "21:30", "$1,900.25", "Chip Transaction", 9003, "Lyon", "FR", 69001.0, 5732, None, "No"),
 ]
+# A Friday morning with three payments inside an hour, a Sunday night far above them, and a second customer.
 PAYMENTS = [
-    (1, "2020-01-01 09:00", 50.0, 111), (1, "2020-01-01 09:30", 55.0, 111), (1, "2020-01-02 10:00", 5000.0, 222),
-    (1, "2020-01-02 20:00", 60.0, 111), (2, "2020-01-01 12:00", 20.0, 333), (2, "2020-01-05 12:00", 25.0, 444),
+    (11, "2021-03-05 08:10", 12.0, 70), (11, "2021-03-05 08:55", 18.0, 71), (11, "2021-03-05 09:05", 30.0, 70),
+    (11, "2021-03-07 23:40", 900.0, 72), (12, "2021-03-06 10:00", 5.0, 71), (12, "2021-03-08 10:00", 7.0, 71),
 ]
 
 
@@ -33,25 +38,21 @@ def payments(spark, rows=PAYMENTS):
         data, f"row_id long, `{S.USER}` long, {S.TS} timestamp_ntz, {S.AMOUNT} double, `{S.MERCHANT}` long"))
 
 
-def clusters(spark):
-    """200 rows around 0 and 10 around 15 in five dimensions."""
-    rng = np.random.default_rng(0)
-    x = np.vstack([rng.normal(0, 1, (200, 5)), rng.normal(15, 1, (10, 5))])
-    rows = [(i, v.tolist(), int(i >= 200)) for i, v in enumerate(x)]
-    return spark.createDataFrame(rows, "row_id long, features array<double>, is_fraud int")
-
-
-def card_rows(users=15, per_user=20):
-    """Random raw rows: not ordered by time inside a day."""
-    rng = np.random.default_rng(42)
-    out = []
-    for u in range(users):
-        base, day = rng.uniform(10, 100), dt.date(2020, 1, 1)
-        for _ in range(per_user):
-            day += dt.timedelta(days=int(rng.integers(0, 3)))
-            amount = max(0.5, rng.normal(base, 0.3 * base)) * (50 if rng.random() < 0.03 else 1)
-            m = int(rng.integers(0, 50))
-            out.append((u, 0, day.year, day.month, day.day, f"{rng.integers(0, 24):02d}:{rng.integers(0, 60):02d}", f"${amount:.2f}",
-                        ["Chip Transaction", "Swipe Transaction", "Online Transaction"][m % 3], m, f"C{m % 9}", None if m % 3 == 2 else "NY",
-                        None if m % 3 == 2 else 10000.0 + m, 5000 + m % 7, None, "Yes" if rng.random() < 0.02 else "No"))
-    return out
+def shifted_vectors(spark):
+    """312 vectors of the embeddings table, six components each; every 26th is moved far out."""
+    far = F.col("vec_id") % 26 == 25
+    x = F.transform(F.slice("embedding", 1, 6), lambda v, i: 8.0 * v.cast("double") + F.when(far, 14.0 - 2.0 * (i % 3)).otherwise(0.0))
+    rows = spark.read.parquet(f"{TINY}/embeddings.parquet").filter("vec_id < 312")
+    return rows.select(F.col("vec_id").alias("row_id"), x.alias("features"), far.cast("int").alias("is_fraud"))
+
+
+def card_rows(spark, n=300):
+    """The first n different raw rows with a date that exists, from the events table."""
+    out = {}
+    for r in views.raw_card(spark, TINY).orderBy("row_id").drop("row_id").select(*S.RAW_COLUMNS).collect():
+        try:
+            dt.date(r["Year"], r["Month"], r["Day"])
+        except ValueError:
+            continue
+        out.setdefault(tuple(r))
+    return list(out)[:n]

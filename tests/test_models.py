@@ -17,7 +17,7 @@ OPTIONS = {"autoencoder": {"epochs": 15, "batch_size": 32, "learning_rate": 0.00
 
 @pytest.fixture(scope="module")
 def data(spark):
-    return fixtures.clusters(spark).repartition(4).cache()
+    return fixtures.shifted_vectors(spark).repartition(4).cache()
 
 
 @pytest.mark.parametrize("name", sorted(MODELS))
@@ -29,7 +29,7 @@ def test_contract(spark, data, name, tmp_path):
     model.fit(data if name not in ("pca_reconstruction", "autoencoder", "local_outlier_factor", "one_class_svm", "mahalanobis")
               else data.filter("is_fraud = 0"))
     out = model.score_batch(data).orderBy("row_id").toPandas()
-    assert len(out) == 210 and set(out.is_anomaly) <= {0, 1}
+    assert len(out) == 312 and set(out.is_anomaly) <= {0, 1}
     assert out.anomaly_score_normalized.min() == 0 and out.anomaly_score_normalized.max() == 1
     assert (out.is_anomaly == (out.anomaly_score >= model.threshold)).all()
     long = model.score(data).select(F.lit(name).alias("model"), "row_id", F.col("anomaly_score").alias("score"), F.col("is_fraud").alias("label"))
@@ -38,7 +38,7 @@ def test_contract(spark, data, name, tmp_path):
     again = MODELS[name].load(spark, str(tmp_path)).score_batch(data).orderBy("row_id").toPandas()
     np.testing.assert_allclose(again.anomaly_score, out.anomaly_score, rtol=1e-9, atol=1e-12)
     assert (again.is_anomaly == out.is_anomaly).all()
-    assert model.params()["n_features"] == 5
+    assert model.params()["n_features"] == 6
 
 
 def test_constant_batch_normalizes_to_zero(spark):
@@ -54,7 +54,7 @@ def test_path_length():
 
 def test_forest_depth_counts_isolated_row_first(spark, data):
     m = IsolationForest(n_estimators=80)
-    m.n_features = 5
+    m.n_features = 6
     m._fit(data)
     assert m.trees["feature"].shape[0] == 80
     got = m.raw_score(data).groupBy("is_fraud").agg(F.avg("_raw").alias("s")).collect()
@@ -64,7 +64,7 @@ def test_forest_depth_counts_isolated_row_first(spark, data):
 
 def test_forest_rejects_unbounded_samples(spark, data):
     m = IsolationForest(max_samples=100_000)
-    m.n_features = 5
+    m.n_features = 6
     m._fit(data)  # capped by the table
     import oddspend.operators.models.iforest as mod
     old, mod.LARGEST_SAMPLE = mod.LARGEST_SAMPLE, 100
@@ -86,12 +86,12 @@ def test_svm_flags_about_nu_of_the_training_rows(spark, data):
 def test_autoencoder_errors_and_history(spark, data):
     m = MODELS["autoencoder"](epochs=4, batch_size=32).fit(data)
     e = m.feature_errors(data).join(m.score(data).select("row_id", "anomaly_score"), "row_id").collect()
-    assert all(len(r.feature_errors) == 5 for r in e)
+    assert all(len(r.feature_errors) == 6 for r in e)
     np.testing.assert_allclose([np.mean(r.feature_errors) for r in e], [r.anomaly_score for r in e], rtol=1e-9)
     assert [h[0] for h in m.history] == [0, 1, 2, 3] and all(h[1] > 0 and h[2] > 0 for h in m.history)
     assert m.history[-1][2] < m.history[0][2]
-    worst = X.reconstruction_breakdown(m.feature_errors(data), [f"f{i}_scaled" for i in range(5)], 2)
-    assert worst.count() == 420
+    worst = X.reconstruction_breakdown(m.feature_errors(data), [f"f{i}_scaled" for i in range(6)], 2)
+    assert worst.count() == 624
 
 
 def test_autoencoder_gradient():
@@ -144,7 +144,7 @@ def test_permutation_importance_of_a_linear_score(spark, data):
     def score(df):
         return df.withColumn("anomaly_score", 3.0 * F.get("features", F.lit(0)) + F.get("features", F.lit(1)))
 
-    names = ["a_scaled", "b_freq", "c", "d", "e"]
+    names = ["a_scaled", "b_freq", "c", "d", "e", "f"]
     got = X.permutation_importance(data, names, score).collect()
     assert [r.feature for r in got[:2]] == ["a_scaled", "b_freq"] and [r.base_feature for r in got[:2]] == ["a", "b"]
     assert all(r.importance == 0 for r in got[2:])
