@@ -1,7 +1,13 @@
 """Isolation forest (Liu, Ting, Zhou 2008).
 
-Every tree grows in its own group of at most max_samples rows, drawn by hash.
-Trees are full binary arrays, so scoring is a fixed number of array look-ups.
+Every tree is drawn by hash. A tree on few rows grows in a group of its own. A tree on
+more grows its upper levels over all tasks: the range of every input in every node is a
+partial aggregate, a node's split is drawn from it by hash, and its rows move on; what is
+left below, at most GROUP rows in the mean, grows in groups of single nodes. A node that
+stays large for lack of luck is divided further, so no group is unbounded.
+
+A tree is a list of nodes with the places of their children, so its size follows the
+nodes it has. Scoring walks all trees from their roots.
 """
 
 import math
@@ -12,8 +18,9 @@ from pyspark.sql import functions as F
 
 from oddspend.functions.sampling import take_fixed, top_per_group
 from oddspend.operators.models.base import OffsetModel, matrix_udf
+from oddspend.session import materialize
 
-LARGEST_SAMPLE = 8192  # rows one tree may grow on: bounds a group and the tree arrays
+GROUP = 8192  # rows that grow in one task; larger nodes are split over all tasks first
 
 
 def path_length(n):
@@ -24,46 +31,41 @@ def path_length(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
-def grow_tree(x, rng, depth, columns):
-    """(feature, split) for the inner slots and value for the 2**depth leaf slots."""
-    feature = np.zeros(2 ** depth - 1, dtype=np.int32)
-    split = np.full(2 ** depth - 1, np.inf)
-    value = np.zeros(2 ** depth)
-    todo = [(0, 0, np.arange(len(x)))]
+def grow_tree(x, rng, level, depth, columns):
+    """Nodes (feature, split, left, right, value); leaves have feature -1, roots place 0."""
+    nodes = [None]
+    todo = [(0, level, np.arange(len(x)))]
     while todo:
-        slot, level, rows = todo.pop()
+        place, level, rows = todo.pop()
         part = x[rows][:, columns]
         usable = np.flatnonzero(part.max(axis=0) > part.min(axis=0)) if len(rows) > 1 and level < depth else []
         if len(usable) == 0:
-            # a leaf above the bottom: infinite splits lead every row down to one leaf slot
-            for _ in range(level, depth):
-                slot = 2 * slot + 1
-            value[slot - (2 ** depth - 1)] = level + path_length(len(rows))
+            nodes[place] = (-1, 0.0, place, place, level + float(path_length(len(rows))))
             continue
         j = rng.choice(usable)
-        lo, hi = part[:, j].min(), part[:, j].max()
-        cut = rng.uniform(lo, hi)
-        feature[slot], split[slot] = columns[j], cut
+        cut = rng.uniform(part[:, j].min(), part[:, j].max())
+        nodes[place] = (int(columns[j]), cut, len(nodes), len(nodes) + 1, 0.0)
         left = part[:, j] <= cut
-        todo.append((2 * slot + 1, level + 1, rows[left]))
-        todo.append((2 * slot + 2, level + 1, rows[~left]))
-    return feature, split, value
+        todo += [(len(nodes), level + 1, rows[left]), (len(nodes) + 1, level + 1, rows[~left])]
+        nodes += [None, None]
+    return nodes
 
 
-def forest_depths(x, feature, split, value, depth):
-    """Sum over the trees of the path length of every row."""
+def forest_depths(x, roots, feature, split, child, value, depth):
+    """Sum over the trees of the path length of every row. child holds the left and right
+    places of each node in turn; leaves lead to themselves."""
     n, d = x.shape
     total = np.zeros(n)
     for at in range(0, n, 4096):
         part = np.ascontiguousarray(x[at:at + 4096])
         flat, base = part.ravel(), np.arange(len(part)) * d
         acc = np.zeros(len(part))
-        for t in range(len(feature)):
-            slot = np.zeros(len(part), dtype=np.int64)
+        for root in roots:
+            place = np.full(len(part), root, dtype=np.int64)
             for _ in range(depth):
-                right = flat.take(base + feature[t].take(slot)) > split[t].take(slot)
-                slot = 2 * slot + 1 + right
-            acc += value[t].take(slot - (2 ** depth - 1))
+                high = flat.take(base + feature.take(place)) > split.take(place)
+                place = child.take(2 * place + high)
+            acc += value.take(place)
         total[at:at + 4096] = acc
     return total
 
@@ -82,8 +84,6 @@ class IsolationForest(OffsetModel):
             psi = min(256, n)
         else:
             psi = int(self.max_samples * n) if isinstance(self.max_samples, float) else min(int(self.max_samples), n)
-        if psi > LARGEST_SAMPLE:
-            raise ValueError(f"max_samples gives {psi} rows per tree; at most {LARGEST_SAMPLE} are supported")
         psi = max(psi, 1)
         depth = max(1, math.ceil(math.log2(max(psi, 2))))
         t = self.n_estimators
@@ -93,37 +93,104 @@ class IsolationForest(OffsetModel):
         draws = pool.withColumn("tree", F.explode(F.filter(
             F.sequence(F.lit(0), F.lit(t - 1)),
             lambda i: F.pmod(F.xxhash64("row_id", i, F.lit(self.seed)), F.lit(2 ** 31)) < F.lit(limit))))
-        order = F.xxhash64("row_id", "tree", F.lit(self.seed + 1))
-        sample = top_per_group(draws, ["tree"], [order, F.col("row_id")], psi)
+        if psi <= GROUP:
+            order = F.xxhash64("row_id", "tree", F.lit(self.seed + 1))
+            sample = top_per_group(draws, ["tree"], [order, F.col("row_id")], psi)
+        else:  # large samples are drawn by their share of the rows alone: psi rows in the mean
+            sample = draws.filter(F.pmod(F.xxhash64("row_id", "tree", F.lit(self.seed + 1)), F.lit(2 ** 31)) < F.lit(int(min(1.0, psi / (share * n)) * 2 ** 31)))
         k = max(1, int(self.max_features * self.n_features)) if isinstance(self.max_features, float) else int(self.max_features)
         seed, width = self.seed, self.n_features
 
+        def columns_of(tree):
+            return np.sort(np.random.default_rng((seed, tree)).choice(width, size=k, replace=False))
+
+        rows = sample.select("row_id", "features", "tree", F.lit(0).cast("long").alias("node"))
+        upper, rows = self._upper_levels(rows, [columns_of(i) for i in range(t)], depth) if psi > GROUP else ({}, rows)
+
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            tree = int(pdf["tree"].iloc[0])
+            tree, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
             pdf = pdf.sort_values("row_id")
-            rng = np.random.default_rng((seed, tree))
-            columns = np.sort(rng.choice(width, size=k, replace=False))
-            f, s, v = grow_tree(np.stack(pdf["features"].to_numpy()), rng, depth, columns)
-            return pd.DataFrame({"tree": [tree], "feature": [f], "split": [s], "value": [v]})
-
-        tasks = min(t, 2 * df.sparkSession.sparkContext.defaultParallelism)
-        rows = sample.repartition(tasks, "tree").groupBy("tree").applyInPandas(
-            grow, "tree int, feature array<int>, split array<double>, value array<double>").orderBy("tree").collect()
-        self.trees = {
-            "feature": np.array([r.feature for r in rows], dtype=np.int32), "split": np.array([r.split for r in rows]),
-            "value": np.array([r["value"] for r in rows]), "shape": np.array([depth, psi])}
+            # a node's level follows from its number: the root is 0, children of i are 2 i + 1 and 2 i + 2
+            level = (node + 1).bit_length() - 1
+            found = grow_tree(np.stack(pdf["features"].to_numpy()), np.random.default_rng((seed, tree, node)), level, depth, columns_of(tree))
+            return pd.DataFrame({"tree": [tree], "node": [node], **{c: [[x[i] for x in found]] for i, c in enumerate(("feature", "split", "left", "right", "value"))}})
+
+        tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+        parts = rows.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInPandas(
+            grow, "tree int, node long, feature array<int>, split array<double>, left array<int>, right array<int>, value array<double>").collect()
+        self._join_parts(t, upper, {(r.tree, r.node): r for r in parts})
+        self.trees["shape"] = np.array([depth, psi])
+
+    def _upper_levels(self, rows, columns, depth):
+        """({(tree, node): (feature, split)}, rows in the nodes below) while nodes hold over GROUP rows."""
+        spark, splits, done = rows.sparkSession, {}, None
+        rows = materialize(rows, "forest_rows")
+        while True:
+            ranges = [F.min(F.get("features", F.lit(j))).alias(f"lo{j}") for j in range(self.n_features)]
+            ranges += [F.max(F.get("features", F.lit(j))).alias(f"hi{j}") for j in range(self.n_features)]
+            fresh = []
+            for r in rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), *ranges).filter(F.col("n") > GROUP).collect():
+                usable = [j for j in columns[r.tree] if r[f"hi{j}"] > r[f"lo{j}"]]
+                if usable and (r.node + 1).bit_length() - 1 < depth:
+                    rng = np.random.default_rng((self.seed, r.tree, r.node))
+                    j = int(rng.choice(usable))
+                    fresh.append((r.tree, r.node, j, float(rng.uniform(r[f"lo{j}"], r[f"hi{j}"]))))
+                else:  # copies of one row, or the lowest level: a leaf, known by its number of rows
+                    splits[r.tree, r.node] = (int(r.n),)
+                    fresh.append((r.tree, r.node, -1, 0.0))
+            if not fresh:
+                return splits, rows if done is None else done.unionByName(rows)
+            splits.update({(t, i): (j, cut) for t, i, j, cut in fresh if j >= 0})
+            cuts = F.broadcast(spark.createDataFrame(fresh, "tree int, node long, j int, cut double"))  # rows / GROUP at most
+            low = F.get("features", F.col("j")) <= F.col("cut")
+            moved = rows.join(cuts, ["tree", "node"], "left").filter("j is null or j >= 0")
+            small = materialize(moved.filter("j is null").select("row_id", "features", "tree", "node"), "forest_small")
+            done = small if done is None else done.unionByName(small)
+            rows = moved.filter("j >= 0").select("row_id", "features", "tree", (2 * F.col("node") + F.when(low, 1).otherwise(2)).alias("node"))
+            rows = materialize(rows, "forest_rows")
+
+    def _join_parts(self, t, upper, parts):
+        """One list of nodes for all trees: upper nodes first, then the trees below them."""
+        flat = {c: [] for c in ("feature", "split", "left", "right", "value")}
+
+        def add(tree, node):
+            base = len(flat["feature"])
+            known = upper.get((tree, node))
+            if known is not None and len(known) == 2:
+                for c, x in zip(flat, (known[0], known[1], 0, 0, 0.0)):
+                    flat[c].append(x)
+                flat["left"][base] = add(tree, 2 * node + 1)
+                flat["right"][base] = add(tree, 2 * node + 2)
+                return base
+            part = parts.get((tree, node))
+            if part is None:  # a leaf of many copies, or a side that drew no row
+                level = (node + 1).bit_length() - 1
+                leaf = (-1, 0.0, base, base, level + float(path_length(known[0] if known else 0)))
+                for c, x in zip(flat, leaf):
+                    flat[c].append(x)
+                return base
+            for c in flat:
+                flat[c] += [x + base for x in part[c]] if c in ("left", "right") else list(part[c])
+            return base
+
+        roots = [add(tree, 0) for tree in range(t)]
+        kinds = {"feature": np.int32, "split": float, "left": np.int64, "right": np.int64, "value": float}
+        self.trees = {"roots": np.array(roots, np.int64), **{c: np.array(v, kinds[c]) for c, v in flat.items()}}
 
     def raw_score(self, df):
         if self.trees is None:
             raise RuntimeError(f"{self.name} is not fitted")
-        depth, psi = (int(v) for v in self.trees["shape"])
-        shared = df.sparkSession.sparkContext.broadcast(
-            (self.trees["feature"].astype(np.int32), self.trees["split"], self.trees["value"]))
+        t, leaf = self.trees, np.asarray(self.trees["feature"]) < 0
+        depth, psi = (int(v) for v in t["shape"])
+        shared = df.sparkSession.sparkContext.broadcast({
+            "roots": t["roots"].astype(np.int64), "feature": np.where(leaf, 0, t["feature"]).astype(np.int32),
+            "split": np.where(leaf, np.inf, t["split"]), "value": t["value"], "depth": depth,
+            "child": np.stack([t["left"], t["right"]], axis=1).ravel().astype(np.int64)})
         norm = float(path_length(psi)) or 1.0
 
         def score(x):
-            f, s, v = shared.value
-            return 2.0 ** (-forest_depths(x, f, s, v, depth) / len(f) / norm)
+            f = shared.value
+            return 2.0 ** (-forest_depths(x, **f) / len(f["roots"]) / norm)
 
         return df.withColumn("_raw", matrix_udf(score)("features"))
 

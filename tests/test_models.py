@@ -56,23 +56,33 @@ def test_forest_depth_counts_isolated_row_first(spark, data):
     m = IsolationForest(n_estimators=80)
     m.n_features = 6
     m._fit(data)
-    assert m.trees["feature"].shape[0] == 80
+    assert len(m.trees["roots"]) == 80
     got = m.raw_score(data).groupBy("is_fraud").agg(F.avg("_raw").alias("s")).collect()
     s = {r.is_fraud: r.s for r in got}
     assert 0 < s[0] < s[1] < 1
 
 
-def test_forest_rejects_unbounded_samples(spark, data):
-    m = IsolationForest(max_samples=100_000)
-    m.n_features = 6
-    m._fit(data)  # capped by the table
+def test_large_samples_grow_over_all_tasks(spark, data, monkeypatch):
+    """Trees on half of the rows, with groups so small that most levels are split by aggregates."""
     import oddspend.operators.models.iforest as mod
-    old, mod.LARGEST_SAMPLE = mod.LARGEST_SAMPLE, 100
-    try:
-        with pytest.raises(ValueError, match="at most 100"):
-            m._fit(data)
-    finally:
-        mod.LARGEST_SAMPLE = old
+
+    monkeypatch.setattr(mod, "GROUP", 10)
+    copies = data.unionByName(data.filter("row_id < 40").withColumn("row_id", F.col("row_id") + 1000).withColumn(
+        "features", F.array(*[F.lit(0.5)] * 6)))  # many rows that no split can part
+    m = IsolationForest(n_estimators=40, max_samples=0.5).fit(copies)
+    assert len(m.trees["roots"]) == 40
+    s = {r.is_fraud: r.s for r in m.raw_score(data).groupBy("is_fraud").agg(F.avg("_raw").alias("s")).collect()}
+    assert 0 < s[0] < s[1] < 1
+
+
+def test_default_search_space_runs_at_any_size(spark, data, monkeypatch):
+    import oddspend.operators.models.iforest as mod
+    from oddspend.plans import scoring
+
+    monkeypatch.setattr(mod, "GROUP", 100)
+    settings = scoring.SEARCH["isolation_forest"][0]
+    small = {**settings, "n_estimators": [5]}
+    assert scoring.param_sweep("isolation_forest", data, data, small, 9).count() == 9
 
 
 def test_svm_flags_about_nu_of_the_training_rows(spark, data):
