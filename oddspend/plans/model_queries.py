@@ -1,15 +1,19 @@
 """Registered queries that fit or apply a model."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from oddspend import schema as S
 from oddspend.operators import explain as X
+from oddspend.operators.encode import Encoder
 from oddspend.operators.knn import knn
+from oddspend.operators.models.iforest import IsolationForest
 from oddspend.operators.models.linear import Mahalanobis
 from oddspend.operators.models.lof import LocalOutlierFactor, outlier_factor
-from oddspend.plans import queries as Q, scoring as P
+from oddspend.plans import queries as Q, reports, scoring as P
 from oddspend.session import materialize, on_release, shared_dir
-from oddspend.sources import views, writers
+from oddspend.sources import readers, views, writers
 
 _fitted: dict = {}
 on_release(_fitted.clear)
@@ -67,19 +71,31 @@ def recommendation(spark, d):
 
 
 def score_batch(spark, d):
-    """Raw rows scored with the persisted encoder and forest, written as CSV."""
-    prepared = P.Prepared(Q.encoded(spark, d), Q.encoder(spark, d), None, 0.0, None, 0)
-    out = P.score_transactions(views.raw_card(spark, d), prepared, {"isolation_forest": model(spark, d, "isolation_forest")},
-                               "isolation_forest").drop("features")
-    path = writers.scored_path(f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}.csv", "isolation_forest")
-    writers.write_csv(out, path)
-    return out
+    """New rows without a label, read from a CSV file and scored with the encoder and the
+    forest as they were saved; the scored rows are written as CSV and read back."""
+    folder = f"{shared_dir(spark)}/scoring-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"
+    source = writers.write_csv(views.raw_card(spark, d).drop(S.LABEL_RAW, S.ROW_ID), f"{folder}/new.csv")
+    Q.encoder(spark, d).save(f"{folder}/encoder")
+    model(spark, d, "isolation_forest").save(spark, f"{folder}/forest")
+    prepared = P.Prepared(Q.encoded(spark, d), Encoder.load(spark, f"{folder}/encoder"), None, 0.0, None, 0)
+    models = {"isolation_forest": IsolationForest.load(spark, f"{folder}/forest")}
+    out = P.score_transactions(readers.read_csv(spark, source), prepared, models, "isolation_forest").drop("features")
+    path = writers.write_csv(out, writers.scored_path(source, "isolation_forest"))
+    return spark.read.schema(out.schema).option("header", True).csv(path)
+
+
+def written_reports(spark, d):
+    """Every report of the run, written and read back: (report, rows)."""
+    folder = f"{shared_dir(spark)}/reports-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"
+    models = {n: model(spark, d, n) for n in P.DEFAULT_MODELS}
+    paths = reports.write_reports(folder, views.raw_card(spark, d), models, Q.encoded(spark, d).filter("split = 'test'"))
+    rows = [(name, (spark.read.json(p) if not p.endswith(".csv") else spark.read.option("header", True).csv(p)).count()) for name, p in paths.items()]
+    return spark.createDataFrame(rows, "report string, rows long")
 
 
 def param_sweep(spark, d):
     e = Q.encoded(spark, d)
-    grid = {"n_estimators": [100, 200], "max_features": [0.5, 1.0]}
-    return P.param_sweep("isolation_forest", e.filter("split = 'train'"), e.filter("split = 'test'"), grid, 4)
+    return P.param_sweep("isolation_forest", e.filter("split = 'train'"), e.filter("split = 'test'"), n_iter=4)
 
 
 def permutation_importance(spark, d):
@@ -114,6 +130,7 @@ def model_queries() -> dict:
         "compare_models": compare_models,
         "recommendation": recommendation,
         "score_batch": score_batch,
+        "written_reports": written_reports,
         "param_sweep": param_sweep,
         "permutation_importance": permutation_importance,
         "reconstruction_breakdown": lambda spark, d: X.reconstruction_breakdown(*_worst(spark, d)),

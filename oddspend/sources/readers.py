@@ -8,24 +8,30 @@ from oddspend.functions.sampling import head_rows, sample_users
 
 
 def read_csv(spark: SparkSession, path: str, sample_frac: float | None = None, nrows: int | None = None,
-             seed: int = 42) -> DataFrame:
+             seed: int = 42, corrupt: bool = False) -> DataFrame:
     """The 15 declared columns in order plus row_id (position in the scan).
 
     sample_frac keeps whole histories of that share of users; nrows keeps the
-    first rows. A missing path, a missing column or an empty table raises."""
+    first rows. A missing path, a missing column or an empty table raises; new rows
+    may come without the label, which is null then. corrupt keeps, for lines that do
+    not fit the schema, the line in _corrupt_record."""
     try:
         head = spark.read.option("header", True).csv(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(path) from e
         raise
-    absent = [c for c in S.RAW_COLUMNS if c not in head.columns]
+    absent = [c for c in S.RAW_COLUMNS if c not in head.columns and c != S.LABEL_RAW]
     if absent:
         raise S.SchemaValidationError(f"missing columns: {absent}")
     kinds = {f.name: f.dataType for f in S.RAW_SCHEMA}
     typed = ", ".join(f"`{c}` {kinds[c].simpleString() if c in kinds else 'string'}" for c in head.columns)
-    df = spark.read.schema(typed).option("header", True).csv(path)
-    df = df.select(*[F.col(f"`{c}`") for c in S.RAW_COLUMNS]).withColumn(S.ROW_ID, F.monotonically_increasing_id())
+    record = "_corrupt_record"
+    reader = spark.read.schema(typed + f", {record} string" * corrupt).option("header", True)
+    df = reader.option("columnNameOfCorruptRecord", record).csv(path)
+    if S.LABEL_RAW not in head.columns:
+        df = df.withColumn(S.LABEL_RAW, F.lit(None).cast("string"))
+    df = df.select(*[F.col(f"`{c}`") for c in S.RAW_COLUMNS], *[record] * corrupt).withColumn(S.ROW_ID, F.monotonically_increasing_id())
     if df.isEmpty():
         raise ValueError(f"no rows in {path}")
     if sample_frac is not None and sample_frac < 1:

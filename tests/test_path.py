@@ -77,6 +77,11 @@ def test_csv_round_trip(spark, tmp_path):
     assert {tuple(r)[:15] for r in df.collect()} == set(rows)
     assert readers.read_csv(spark, path, sample_frac=0.2).select(S.USER).distinct().count() == max(1, int(len({r[0] for r in rows}) * 0.2 + 0.5))
     assert [tuple(r)[:15] for r in readers.read_csv(spark, path, nrows=4).orderBy("row_id").collect()] == rows[:4]
+    new = writers.write_csv(fixtures.raw(spark, rows).drop("row_id", S.LABEL_RAW).coalesce(1), str(tmp_path / "new.csv"))
+    got = readers.read_csv(spark, new)
+    assert got.columns == [*S.RAW_COLUMNS, "row_id"] and got.filter(F.col(f"`{S.LABEL_RAW}`").isNotNull()).count() == 0
+    (tmp_path / "junk.csv").write_text(",".join(S.RAW_COLUMNS) + "\n" + "someone" + "," * 14 + "\n" + "1" + "," * 14 + "\n")
+    assert readers.read_csv(spark, str(tmp_path / "junk.csv"), corrupt=True).cache().filter("_corrupt_record is not null").count() == 1
     with pytest.raises(FileNotFoundError):
         readers.read_csv(spark, str(tmp_path / "absent.csv"))
     with pytest.raises(FileNotFoundError):
