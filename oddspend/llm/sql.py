@@ -1,5 +1,63 @@
 """DuckDB SQL for the queries that it can express over whole tables."""
 
+from oddspend.llm import line_templates as L, quality as Q
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_CLASS = r"[^\x20\x09-\x0D]"
+
+OP2 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+lines AS (
+  SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM docs WHERE text IS NOT NULL),
+tokens AS (
+  SELECT *, list_transform(regexp_extract_all(line, '{_WORD}'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+  FROM lines),
+bands AS (
+  SELECT rid, doc_id, pos, len(t) || '|' || b || '|' || array_to_string(list_filter(t, lambda x, i: i <= {L.DEPTH} OR (i - 1) % {L.BANDS} <> b), ' ') AS template
+  FROM tokens, range({L.BANDS}) AS r(b) WHERE len(t) >= {L.LONG}
+  UNION ALL
+  SELECT rid, doc_id, pos, len(t) || '|-1|' || array_to_string(t, ' ') FROM tokens WHERE len(t) >= {L.LEAST} AND len(t) < {L.LONG}),
+recurring AS (
+  SELECT template FROM (SELECT DISTINCT rid, doc_id, template FROM bands)
+  GROUP BY template HAVING count(*) >= 2 AND min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT rid, pos FROM bands SEMI JOIN recurring USING (template)),
+kept AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS text FROM lines ANTI JOIN gone USING (rid, pos) GROUP BY rid),
+dropped AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT doc_id, CASE WHEN docs.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+  coalesce(len(string_split(docs.text, chr(10))), 0) AS n_lines, coalesce(dropped.n, 0) AS n_dropped
+FROM docs LEFT JOIN kept USING (rid) LEFT JOIN dropped USING (rid)
+"""
+
+OP6 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_CLASS}')) AS lines FROM docs),
+windows AS (
+  SELECT rid, unnest(range(1, len(w) - {Q.WINDOW - 2})) AS i,
+    unnest(list_transform(range(1, len(w) - {Q.WINDOW - 2}), lambda k: array_to_string(w[k:k + {Q.WINDOW - 1}], ' '))) AS words
+  FROM docs WHERE len(w) > {Q.WINDOW}),
+twice AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, words) > 1),
+covered AS (
+  SELECT rid, sum(n) AS n FROM (
+    SELECT rid, least({Q.WINDOW}, i - coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i), i - {Q.WINDOW})) AS n FROM twice) GROUP BY rid),
+measured AS (
+  SELECT rid, doc_id, w, lines, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    length(regexp_replace(t, '\P{{L}}+', '', 'g')) AS letters, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS capitals,
+    len(list_filter(w, lambda x, i: i > 1 AND w[i - 1] = x)) AS stutters
+  FROM lined),
+judged AS (
+  SELECT m.*, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+    n_words < {Q.LEAST_WORDS} OR 100 * coalesce(c.n, 0) > {Q.REPEATED_SHARE} * n_words AS base_failed
+  FROM measured m LEFT JOIN covered c USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * letters < word_chars
+    OR (letters >= 20 AND 2 * capitals > letters) OR (len(lines) >= 4 AND 10 * n_dup_lines > 3 * len(lines)) OR 5 * stutters > n_words) AS kept
+FROM judged
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_templates": OP2, "op6_quality_rules": OP6}
