@@ -6,8 +6,8 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 from oddspend.session import materialize
-from test_llm_rules import base_measures, brute_lines
-from test_llm_search_join import brute_links
+from llm.test_llm_rules import base_measures, brute_lines
+from llm.test_llm_search_join import brute_links
 
 FOLDER = "/root/testdata/sf0.001"
 
