@@ -12,7 +12,7 @@ A template is recurring if lines of at least `min_docs` documents have it, two o
 different ids. All lines with a recurring template are dropped (`keep_first=False`), or all
 but those in the document with the smallest id that has it (`keep_first=True`, which leaves
 one copy of what is repeated). A line is dropped if one of its templates says so. Lines of
-fewer than LEAST tokens have no template and stay.
+fewer than `least` tokens have no template and stay; 1 leaves only empty lines without one.
 
 Templates are counted by hash with partial sums; each document sends a template once. The
 join back sends a row per line and template, no text, and Spark splits its partitions where a
@@ -33,7 +33,7 @@ DEPTH, BANDS, LONG, LEAST = 2, 3, 8, 3
 NO_ID = -(1 << 63)
 
 
-def templates(line: Column) -> Column:
+def templates(line: Column, least: int = LEAST) -> Column:
     """Hashes of the templates of a line; an empty array for lines that are none."""
     # a field with a digit, found from its start on so that long fields are read once
     masked = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")
@@ -41,7 +41,8 @@ def templates(line: Column) -> Column:
     def of(t: Column) -> Column:
         n = F.size(t)
         bands = [F.xxhash64(n, F.lit(b), F.filter(t, _fixed(b))) for b in range(BANDS)]
-        return F.when(n >= LONG, F.array(*bands)).when(n >= LEAST, F.array(F.xxhash64(n, F.lit(-1), t))).otherwise(F.array().cast("array<bigint>"))
+        some = (n >= least) & (F.element_at(t, 1) != "")  # an empty line splits into one empty token
+        return F.when(n >= LONG, F.array(*bands)).when(some, F.array(F.xxhash64(n, F.lit(-1), t))).otherwise(F.array().cast("array<bigint>"))
 
     return let(F.split(masked, r"[\x20\x09-\x0D]+"), of)
 
@@ -50,14 +51,14 @@ def _fixed(band: int):
     return lambda token, i: (i < DEPTH) | (i % BANDS != band)
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """docs without recurring lines, plus n_lines and n_dropped (named so unless docs has them)."""
     names = docs.columns
     own = lambda base: base if base not in names else own(base + "_")
     ident, body, gone, number, found = own("_id"), own("_hash"), own("_gone"), own("n_lines"), own("n_dropped")
     docs = docs.withColumn(ident, F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))).withColumn(body, F.xxhash64(text))
     lines = docs.filter(F.col(text).isNotNull()).select(
-        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), templates).alias("lines")
+        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), lambda x: templates(x, least)).alias("lines")
     )
     lines = materialize(lines, "line_templates")  # hashes only; counted first, joined back next
     counts = lines.select("id", F.explode(F.array_distinct(F.flatten("lines"))).alias("template"))

@@ -142,6 +142,13 @@ def test_line_templates_of_odd_rows(odd):
     assert line_templates.drop_recurring(odd.limit(0)).count() == 0
 
 
+def test_short_lines_have_templates_on_request(spark):
+    rows = [(1, "Les.\n\nfirst of its kind here"), (2, "Les.\n\n这是一个没有空格的句子\nAnd 17"), (3, "这是一个没有空格的句子\nAnd 18\n  \nAnd more"), (4, "  ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_templates.drop_recurring(df, least=1).collect()}
+    assert got == {1: ("\nfirst of its kind here", 1), 2: ("", 3), 3: ("  \nAnd more", 2), 4: ("  ", 0)}
+
+
 PEOPLE = [
     "Mr. John Smith met Mary Jones. Dr Smith wrote to J.x@mail.com and j.X@Mail.com", "Госпожа Петрова и Иван Петров", "John Smith and Mrs Smith",
     "card 4111 1111 1111 1111 or 4111111111111111, ip 10.20.30.40, v1.2.3", "+1 (743) 555-3824 and +1 743 555 3824", "iban DE89 3704 0044 0532 0130 00, ssn 123-45-6789", "on 2024-01-01 12345 things",
