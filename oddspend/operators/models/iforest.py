@@ -14,13 +14,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from oddspend.functions.sampling import take_fixed, top_per_group
 from oddspend.operators.models.base import OffsetModel, matrix_udf
 from oddspend.session import materialize
 
 GROUP = 8192  # rows that grow in one task; larger nodes are split over all tasks first
+CELL_BITS = 16  # leading bits of a hash by which the rows of large samples are counted
 
 
 def path_length(n):
@@ -70,6 +71,22 @@ def forest_depths(x, roots, feature, split, child, value, depth):
     return total
 
 
+def _first_of_trees(draws, order, k):
+    """The first k rows of every tree by (order, row_id), whatever k is: the cut-off is found
+    from counts, and only rows that agree with it in their leading bits are ranked."""
+    draws = materialize(draws.withColumn("_order", order), "forest_draws")
+    cells = draws.withColumn("_cell", F.shiftright("_order", 64 - CELL_BITS))
+    counts = cells.groupBy("tree", "_cell").agg(F.count(F.lit(1)).alias("_n"))  # at most 2 ** CELL_BITS a tree
+    upto = F.sum("_n").over(Window.partitionBy("tree").orderBy("_cell"))
+    edge = counts.withColumn("_before", upto - F.col("_n")).filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
+    edge = F.broadcast(edge.select("tree", F.col("_cell").alias("_edge"), (F.lit(k) - F.col("_before")).alias("_rest")))  # a row a tree
+    cells = cells.join(edge, "tree", "left")  # a tree with fewer rows than k keeps all
+    last = cells.filter("_cell = _edge")
+    last = last.withColumn("_rn", F.row_number().over(Window.partitionBy("tree").orderBy("_order", "row_id"))).filter("_rn <= _rest")
+    sure = cells.filter("_edge is null or _cell < _edge")
+    return sure.select(*draws.columns).unionByName(last.select(*draws.columns)).drop("_order")
+
+
 class IsolationForest(OffsetModel):
     name = "isolation_forest"
 
@@ -93,11 +110,11 @@ class IsolationForest(OffsetModel):
         draws = pool.withColumn("tree", F.explode(F.filter(
             F.sequence(F.lit(0), F.lit(t - 1)),
             lambda i: F.pmod(F.xxhash64("row_id", i, F.lit(self.seed)), F.lit(2 ** 31)) < F.lit(limit))))
+        order = F.xxhash64("row_id", "tree", F.lit(self.seed + 1))
         if psi <= GROUP:
-            order = F.xxhash64("row_id", "tree", F.lit(self.seed + 1))
             sample = top_per_group(draws, ["tree"], [order, F.col("row_id")], psi)
-        else:  # large samples are drawn by their share of the rows alone: psi rows in the mean
-            sample = draws.filter(F.pmod(F.xxhash64("row_id", "tree", F.lit(self.seed + 1)), F.lit(2 ** 31)) < F.lit(int(min(1.0, psi / (share * n)) * 2 ** 31)))
+        else:
+            sample = _first_of_trees(draws, order, psi)
         k = max(1, int(self.max_features * self.n_features)) if isinstance(self.max_features, float) else int(self.max_features)
         seed, width = self.seed, self.n_features
 

@@ -75,6 +75,24 @@ def test_large_samples_grow_over_all_tasks(spark, data, monkeypatch):
     assert 0 < s[0] < s[1] < 1
 
 
+@pytest.mark.parametrize("group", [10, 100])
+def test_every_tree_gets_its_sample_whole(spark, monkeypatch, group):
+    """Exactly max_samples rows a tree, on a table much larger than all samples."""
+    import oddspend.operators.models.iforest as mod
+
+    seen = []
+    monkeypatch.setattr(mod, "GROUP", group)
+    monkeypatch.setattr(mod, "CELL_BITS", 2)
+    rows = spark.range(3000).select(F.col("id").alias("row_id"), F.array(F.rand(1), F.rand(2)).alias("features"))
+    upper = IsolationForest._upper_levels
+    monkeypatch.setattr(IsolationForest, "_upper_levels", lambda self, x, *a: seen.append({r[0]: r[1] for r in x.groupBy("tree").count().collect()}) or upper(self, x, *a))
+    m = IsolationForest(n_estimators=4, max_samples=60)
+    m.n_features = 2
+    m._fit(rows)
+    assert len(m.trees["roots"]) == 4
+    assert seen == ([] if group == 100 else [{k: 60 for k in range(4)}])
+
+
 def test_default_search_space_runs_at_any_size(spark, data, monkeypatch):
     import oddspend.operators.models.iforest as mod
     from oddspend.plans import scoring
