@@ -3,7 +3,8 @@
 Entities (e-mail addresses, phone, card and social security numbers, account numbers, IP
 addresses, names of people) are normalised: one address in two spellings, one number in two
 formats, one surname with and without a given name are one entity, and get one surrogate
-wherever they stand (coreference). Surrogates are drawn from SHA-256 of a key, the type, the
+wherever they stand (coreference). A given name or surname found in a document is also replaced
+where it stands alone there. A number with and without its country code is two entities. Surrogates are drawn from SHA-256 of a key, the type, the
 normal form and an attempt, in the entity's own type and format: digits for digits in the
 same grouping (card numbers keep a valid check digit), letters for letters, names by gender
 and script. Distinct entities get distinct surrogates: of those that draw the same one the
@@ -32,18 +33,28 @@ GIVEN = {
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
 _GIVEN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
+#: With a leading 0 (pairs; area code and rest; code in brackets), nine digits from 6 to 9, or ten or so in one piece.
+_NATIONAL = (
+    r"(?<![A-Za-z0-9]|[0-9][ .,/-]|[.,/-])(?:0[1-9](?:[ .-][0-9]{2}){4}|\(0[0-9]{1,4}\) ?[0-9]{2,8}(?:[ -][0-9]{2,4}){0,3}"
+    r"|0[0-9]{2,4}[ /-](?:[0-9]{5,8}|[0-9]{2,4}(?:[ -][0-9]{2,4}){1,3})|[6-9][0-9]{2}(?:(?:[ -][0-9]{3}){2}|(?:[ -][0-9]{2}){3})"
+    r"|0[1-9][0-9]{8,10}|[2-9][0-9]{2}[2-9][0-9]{6})(?![A-Za-z0-9]|[ .,/-][0-9])"
+)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9.])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![A-Za-z0-9])",
     "ip": rf"(?<![A-Za-z0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![A-Za-z0-9]|\.[0-9])",
+    "ipv6": rf"(?<![A-Za-z0-9:.])(?={_HEX}:|::)(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|:(?::{_HEX}){{1,7}})(?![A-Za-z0-9:])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
-    "phone": r"(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![A-Za-z0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9])\+[1-9](?:[ .-]?\(?[0-9]\)?){6,14}(?![A-Za-z0-9])|" + _NATIONAL + r"|(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![A-Za-z0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![A-Za-z0-9])",
     "name": rf"(?<!\p{{L}})(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME})(?!\p{{L}})",
 }
+#: A word that may be a name standing alone.
+ALONE = r"(?<!\p{L})\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?(?!\p{L})"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 DIGITS = ("card", "ssn", "phone")
 SYLLABLES = {"latin": "ba be bi da de di fa fe ga ge ka ke la le li ma me mi na ne ni ra re ri sa se ta te va vi".split(), "cyrillic": "ба бе ви да де ди га ка ла ле ма ми на не ни ра ре ри са се та те ва ви за зо".split()}
@@ -54,7 +65,7 @@ DOMAINS = ("example.com", "example.org", "example.net")
 
 def kind_of(match: Column) -> Column:
     """The type of a match of ANY."""
-    out = F.when(F.contains(match, F.lit("@")), "email")
+    out = F.when(F.contains(match, F.lit("@")), "email").when(F.contains(match, F.lit(":")), "ipv6")
     for kind in ("ip", "account", "card", "ssn"):
         out = out.when(match.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return out.when(match.rlike(r"^\p{L}"), "name").otherwise("phone")
@@ -64,6 +75,19 @@ def _one_of(words, value: Column) -> Column:
     return value.isin(*words)
 
 
+def _eight_groups(address: Column) -> Column:
+    """An IPv6 address with all its zeros, in lower case."""
+    def groups(side: Column) -> Column:
+        return F.transform(F.filter(F.split(F.coalesce(side, F.lit("")), ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0"))
+
+    def of(sides: Column) -> Column:
+        left, right = groups(F.get(sides, F.lit(0))), groups(F.get(sides, F.lit(1)))
+        zeros = F.array_repeat(F.lit("0000"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+        return F.array_join(F.concat(left, zeros, right), ":")
+
+    return let(F.split(F.lower(address), "::"), of)
+
+
 def parts(match: Column) -> Column:
     """The entities in a match, in order of place: (type, normal form)."""
     def entity(kind, norm):
@@ -80,7 +104,7 @@ def parts(match: Column) -> Column:
         return F.when(given.isNotNull(), F.concat(F.array(entity(gender, F.lower(given))), surname)).otherwise(surname)
 
     def of(kind: Column) -> Column:
-        plain = F.when(kind.isin(*DIGITS), F.regexp_replace(match, "[^0-9]", "")).when(kind == "account", F.replace(match, F.lit(" "), F.lit(""))).otherwise(F.lower(match))
+        plain = F.when(kind.isin(*DIGITS), F.regexp_replace(match, "[^0-9]", "")).when(kind == "account", F.replace(match, F.lit(" "), F.lit(""))).when(kind == "ipv6", _eight_groups(match)).otherwise(F.lower(match))
         return F.when(kind == "name", let(F.split(match, " "), name)).otherwise(F.array(entity(kind, plain)))
 
     return let(kind_of(match), of)
@@ -115,11 +139,14 @@ def candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
         extra = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(max(1, attempt))), lambda i: F.substr(letters, at(i + 40) % 26 + 1, F.lit(1))), "") if attempt else F.lit("")
         email = F.concat(local, extra, F.lit("@"), F.get(F.array(*map(F.lit, DOMAINS)), at(F.lit(63)) % 3))
         ip = F.concat_ws(".", (at(F.lit(0)) % 223 + 1).cast("string"), *[at(F.lit(k)).cast("string") for k in (1, 2, 3)])
+        # the prefix reserved for examples
+        ipv6 = F.concat(F.lit("2001:0db8"), *[F.concat(F.lit(":" if k % 2 == 0 else ""), F.lower(F.lpad(F.hex(at(F.lit(k)).cast("bigint")), 2, "0"))) for k in range(12)])
         lead = F.slice(chars, 1, 1)  # the first digit tells kinds of cards apart
         body = F.concat(lead, F.slice(swap, 2, F.greatest(F.size(chars) - 2, F.lit(0))))
         valid = _check_digit(F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0)))) == F.element_at(chars, -1)
         card = F.concat(F.array_join(body, ""), F.when(valid, _check_digit(body)).otherwise(F.element_at(swap, -1)))
-        country = F.when(kind == "phone", F.greatest(F.size(chars) - 10, F.lit(0))).otherwise(0)
+        # the country code of long numbers, the leading 0 of national ones
+        country = F.when(kind == "phone", F.when(F.startswith(norm, F.lit("0")), 1).otherwise(F.greatest(F.size(chars) - 10, F.lit(0)))).otherwise(0)
         digits = F.concat(F.slice(chars, 1, country), F.slice(swap, country + 1, F.size(chars)))
         account = F.concat(F.array_join(F.slice(chars, 1, 2), ""), F.array_join(F.slice(swap, 3, F.size(swap)), ""))
 
@@ -133,7 +160,7 @@ def candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
 
         person = F.when(norm.rlike(r"\p{IsCyrillic}"), made("cyrillic")).otherwise(made("latin"))
         return (
-            F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "account", account)
+            F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ipv6", ipv6).when(kind == "card", card).when(kind == "account", account)
             .when(kind.isin(*DIGITS), F.array_join(digits, "")).otherwise(person)
         )
 
@@ -181,11 +208,28 @@ def _render(match: Column, known: Column) -> Column:
 
     def of(e: Column) -> Column:
         kind = e[0]["type"]
-        return F.when(kind.isin(*DIGITS), fill(found(e[0]))).when(kind == "account", grouped(found(e[0]))).when(kind.isin("email", "ip"), found(e[0])).otherwise(name(e))
+        return F.when(kind.isin(*DIGITS), fill(found(e[0]))).when(kind == "account", grouped(found(e[0]))).when(kind.isin("email", "ip", "ipv6"), found(e[0])).otherwise(name(e))
 
     return let(parts(match), of)
 
 
+def _alone(gap: Column, known: Column, people: Column) -> Column:
+    """(text, n): a text between matches with the names that stand alone in it replaced, and their number."""
+    def surrogate(word: Column) -> Column:
+        kinds = ("surname", "given_f", "given_m", "given_x")
+        found = F.coalesce(*[F.try_element_at(known, F.concat(F.lit(f"{k}:"), F.lower(word))) for k in kinds])
+        return F.when(F.array_contains(people, F.lower(word)), F.when(word == F.upper(word), F.upper(found)).otherwise(F.initcap(found)))
+
+    def of(words: Column) -> Column:
+        new = F.transform(words, surrogate)
+        return let(new, lambda x: F.struct(
+            F.array_join(F.transform(F.arrays_zip(F.split(gap, ALONE, -1).alias("gap"), words.alias("old"), x.alias("new")), lambda p: F.concat(p["gap"], F.coalesce(p["new"], p["old"], F.lit("")))), "").alias("text"),
+            F.size(F.filter(x, lambda y: y.isNotNull())).alias("n")))
+
+    same = F.struct(gap.alias("text"), F.lit(0).alias("n"))
+    return F.when(F.size(people) > 0, let(F.regexp_extract_all(gap, F.lit(ALONE), F.lit(0)), of)).otherwise(same)
+
+
 def replace(docs: DataFrame, key: str, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """docs with personal data replaced, plus n_entities (named so unless docs has it)."""
     names = docs.columns
@@ -201,7 +245,12 @@ def replace(docs: DataFrame, key: str, text: str = "text", ident: str = "doc_id"
     known = entities.join(table, ["type", "norm"]).groupBy("id", "hash").agg(F.collect_set(F.struct(F.concat_ws(":", "type", "norm").alias("k"), F.col("surrogate").alias("v"))).alias("pairs"))
     known = known.select(F.col("id").alias(own("_id2")), F.col("hash").alias(own("_hash2")), F.map_from_entries("pairs").alias(own("_known")))
     rows = rows.join(known, (F.col(own("_id")) == F.col(own("_id2"))) & (F.col(own("_hash")) == F.col(own("_hash2"))))
-    pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.transform(own("_matches"), lambda m: _render(m, F.col(own("_known")))).alias("new"))
+    people = F.transform(F.filter(F.map_keys(own("_known")), lambda k: k.rlike("^(?:given_.|surname):")), lambda k: F.substring_index(k, ":", -1))
+    rows = rows.withColumn(own("_people"), people)
+    gaps = F.transform(F.split(text, ANY, -1), lambda g: _alone(g, F.col(own("_known")), F.col(own("_people"))))
+    rows = rows.withColumn(own("_gaps"), gaps)
+    pieces = F.arrays_zip(F.transform(own("_gaps"), lambda g: g["text"]).alias("gap"), F.transform(own("_matches"), lambda m: _render(m, F.col(own("_known")))).alias("new"))
     whole = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], F.coalesce(p["new"], F.lit("")))), "")
-    found = rows.select(*[whole.alias(c) if c == text else F.col(f"`{c}`") for c in names], F.size(own("_matches")).cast("bigint").alias(number))
+    alone = F.aggregate(own("_gaps"), F.lit(0), lambda n, g: n + g["n"])
+    found = rows.select(*[whole.alias(c) if c == text else F.col(f"`{c}`") for c in names], (F.size(own("_matches")) + alone).cast("bigint").alias(number))
     return clean.unionByName(found)

@@ -175,6 +175,22 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert surrogates.replace(df, "other").filter("doc_id = 2").first()["text"] != out[2]["text"]
 
 
+def test_national_numbers_addresses_and_names_alone(spark):
+    numbers = ["06 12 34 56 78", "0171 2345678", "612 345 678", "+33 6 12 34 56 78", "7435553824", "0612345678", "(030) 1234567", "+49 (0)171 234 56 78"]
+    stay = ["on 01-02-2024 at 10:20:30", "1 612 345 678 rows", "0.2345678901 and 1700000000", "std::abs and a::b", "00:1a:2b:3c:4d:5e", "Smith and Mary alone"]
+    texts = [f"call {x} now" for x in numbers] + stay + [
+        "from 2001:DB8:0:0:0:0:0:17 and fe80::1a or 2001:db8::17.", "Smith? Mary Smith came. Mary left, Smith's SMITH-like Smithson stayed, mary too"]
+    out = [r["text"] for r in surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    for old, new in zip(numbers, out):
+        assert new != f"call {old} now" and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", f"call {old} now") and (old[0] != "0" or new[5] == "0")
+    assert re.sub("[^0-9]", "", out[0]) == re.sub("[^0-9]", "", out[5])
+    assert out[len(numbers):-2] == stay
+    a = re.fullmatch(r"from (2001:0db8(?::[0-9a-f]{4}){6}) and (2001:0db8(?::[0-9a-f]{4}){6}) or (\S+)\.", out[-2])
+    assert a[1] == a[3] != a[2]
+    b = re.fullmatch(r"(\w+)\? (\w+) (\w+) came\. (\w+) left, (\w+)'s (\w+)-like Smithson stayed, mary too", out[-1])
+    assert b[1] == b[3] == b[5] == b[6].capitalize() and b[2] == b[4] and not {"Smith", "Mary", "SMITH"} & set(b.groups())
+
+
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     """With a first draw that has eight values only, 40 entities still get 40 surrogates."""
     real = surrogates.candidate
