@@ -27,7 +27,7 @@ BLOCKS = set(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("head script style noscript template svg iframe object canvas title select textarea audio video math".split())
+SKIPPED = set("script style noscript template svg iframe object canvas title select textarea audio video math".split())
 HEADINGS = {f"h{k}" for k in range(1, 7)}
 ITEMS = {"li", "td", "th", "dt", "dd", "option"}
 MAIN = set("article main story post entry content body text".split())
@@ -98,7 +98,10 @@ def blocks(page: str) -> list[dict]:
             continue
         if not tag[1] and name in SKIPPED:
             if not tag[3].endswith("/"):
-                end = (BODY if name == "head" else ENDS[name]).search(page, at)
+                end = ENDS[name].search(page, at)
+                if end is None or name == "title":  # one that never ends, ends with the head
+                    body = BODY.search(page, at)
+                    end = body if end is None or body is not None and body.start() < end.start() else end
                 at = n if end is None else end.start() if end[0] == "<" else end.end()
             if name in ("select", "textarea"):
                 text.append(" ")
@@ -107,26 +110,27 @@ def blocks(page: str) -> list[dict]:
             close()
         elif name == "br":
             text.append(" ")
-        if name in VOID:
+        if name in VOID or name == "head":  # the end of a head may be left out; what it holds is skipped by itself
             continue
         if tag[1]:
             if any(x[0] == name for x in stack):
                 while stack and stack.pop()[0] != name:
                     pass
-            if name == "a":
-                links = max(0, links - 1)
+            if name == "a" or not any(x[0] == "a" for x in stack):  # a link ends with what it stands in
+                links = 0
             continue
         if name == "p":  # a paragraph ends where the next one starts
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
                     del stack[k:]
+                    links = links and int(any(x[0] == "a" for x in stack))
                     break
                 if stack[k][0] in BLOCKS:
                     break
         words = named(tag[3])
         _, main, boiler = stack[-1] if stack else ("", False, False)
         if name == "a":
-            links = 1
+            links = int(any(x.lower() == "href" for x, _ in ATTRIBUTE.findall(tag[3])))
         boiler = boiler or name in BOILERPLATE_TAGS or "hidden" in words or name == "header" and not main
         if name not in ("body", "html"):
             boiler = boiler or bool(words & BOILERPLATE) and not (name in ("article", "main") or main and words <= {"header"})

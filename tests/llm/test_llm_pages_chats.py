@@ -102,3 +102,13 @@ def test_windows_read_back(spark, budget, history):
         assert all(w["text"][t["last"] :].startswith(chat.END) for t in w["targets"])
     assert windows.filter("conv_id = 1").count() > 1
     assert chat.format_windows(df.limit(0), PATH).count() == 0
+
+
+def test_heads_without_an_end_and_anchors_that_are_no_links():
+    for page in ("<html><head><title>t</title><style>s</style><meta charset=x><p>one two</p>", "<head><title>t<body><p>one two</p>", "<head><title>t</title><script>'<p>'</script></head><p>one two</p>"):
+        assert [b["text"] for b in page_text.blocks(page)] == ["one two"]
+    for page in ("<p><a name=x>one</p><p>two</p>", "<p><a id=x />one</p><p>two</p>"):
+        assert [b["links"] for b in page_text.blocks(page)] == [0, 0]
+    assert [b["links"] for b in page_text.blocks("<div><a href=x>one</div><div>two</div>")] == [1, 0]
+    assert [b["links"] for b in page_text.blocks("<p><a href=x>one<p>two<p>three")] == [1, 0, 0]
+    assert [b["links"] for b in page_text.blocks("<a href=x><h3>one</h3><p>two</p></a><p>three</p>")] == [1, 1, 0]
