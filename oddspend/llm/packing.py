@@ -7,9 +7,10 @@
    state is, for each amount of room, ranges of sequence numbers; a length takes ranges
    with the least room that fits, and opens sequences filled with its own kind if none does.
    The plan has a row for each range taken; its size depends on `size`, not on the corpus.
-3. Pieces get a rank within their length and take the slot with that rank. Lengths are
-   split into salted groups that are ranked separately and offset by the groups' counts, so
-   a length that a third of all documents have is no single task.
+3. Pieces get a rank within their length and take the slot with that rank. A length is split
+   into as many salted groups as its count asks for (GROUP pieces each), ranked separately and
+   offset by the groups' counts, so a length that a third of all documents have is no single
+   task, however many they are.
 
 Null and empty texts are one piece of length 1 (the end id). Repeated rows are packed as
 often as they come; ties (pieces alike in everything) may swap places. An empty table gives
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from oddspend.llm import tokens
 from oddspend.session import materialize
 
-GROUPS = 64  # salted groups of a length
+GROUP = 500_000  # pieces of one length that are ranked together, about
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -99,17 +100,17 @@ def _take(room: dict, space: int, first: int, n: int) -> None:
 def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece."""
     spark = docs.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(GROUPS)).cast("int")
-    table = materialize(pieces(docs, path, size, end_id).withColumn("salt", salt), "pieces")
-    # at most `size` x GROUPS rows
-    groups = table.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    groups = materialize(groups, "piece_counts")
-    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    table = materialize(pieces(docs, path, size, end_id), "pieces")
+    counts = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `size` rows
     slots = spark.createDataFrame(plan(counts, size), "length bigint, first_rank bigint, ranks bigint, first_sequence bigint, offset bigint")
+    dealt = spark.createDataFrame([(k, -(-n // GROUP)) for k, n in counts.items()], "length bigint, salts bigint")
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts")).alias("salt")
+    table = table.join(F.broadcast(dealt), "length").select(*table.columns, salt)
+    groups = table.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1))
     offsets = groups.select("length", "salt", F.coalesce(before, F.lit(0)).alias("before"))
     rank = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    ranked = table.withColumn("rank", rank).join(F.broadcast(offsets), ["length", "salt"])
+    ranked = table.withColumn("rank", rank).join(offsets, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
     fits = (ranked["length"] == slots["length"]) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("ranks"))
     return ranked.join(F.broadcast(slots), fits).select(
