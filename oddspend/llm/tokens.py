@@ -1,17 +1,24 @@
 """Token ids for operators that only need them, not the streaming encoder.
 
-The same vocabulary as in `bpe`, run by tiktoken on words not met before; ids are those of
+The same vocabulary as in `bpe`, run by tiktoken on whole runs of text; ids are those of
 the tokenizers library, special tokens written in a text included.
 """
 
+import array
 import functools
 import json
+import re
+import sys
 
 import numpy as np
 import tiktoken
 
 from oddspend.llm import bpe
 
+#: CUT without its look-ahead, which only matters where white space meets white space.
+PLAIN_CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + bpe.SPACE + r"\p{L}\p{N}]+|[" + bpe.SPACE + "]"
+SPACES = re.compile(r"\s\s")  # all white space of CUT, and a little more
+
 
 class Ids:
     def __init__(self, path: str):
@@ -25,32 +32,32 @@ class Ids:
             if vocab[whole] - k != len(byte):
                 raise ValueError("ids must follow the order of the merges")
         ranks = {bytes(byte[c] for c in text): i for text, i in vocab.items() if text not in self.special}
-        self.run = tiktoken.Encoding("own", pat_str=bpe.CUT.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.words, self.older = {}, {}
-
-    def miss(self, word: str) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = np.array(self.run(word), dtype="<u4").tobytes()
-        if len(word) <= 64:
-            if len(self.words) >= bpe.WORDS:
-                self.older, self.words = self.words, {}
-            self.words[word] = found
-        return found
+        self.full, self.plain = (
+            tiktoken.Encoding("own", pat_str=cut, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for cut in (bpe.CUT.pattern, PLAIN_CUT)
+        )
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers; null encodes as the empty text."""
-        out = []
+    def chunks(self, text: str | None):
+        """Lists of ids of one piece of the text after another; null is the empty text."""
         runs = [text or ""]
         for name in self.special:
-            runs = [y for x in runs for y in ([x] if x in self.special else bpe.around(x, name))]
+            if name in runs[0] or len(runs) > 1:
+                runs = [y for x in runs for y in ([x] if x in self.special else bpe.around(x, name))]
         for run in runs:
             if run in self.special:
-                out.append(np.array([self.special[run]], dtype="<u4").tobytes())
+                yield [self.special[run]]
                 continue
             for piece in bpe.pieces(run):
-                out += [self.words.get(w) or self.miss(w) for w in bpe.spaced_words(piece)]
-        return b"".join(out)
+                yield (self.full if SPACES.search(piece) else self.plain)(piece)
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        out = array.array("I")
+        for ids in self.chunks(text):
+            out.extend(ids)
+        return out.tobytes() if sys.byteorder == "little" and out.itemsize == 4 else np.array(out, dtype="<u4").tobytes()
+
+    def count(self, text: str | None) -> int:
+        return sum(map(len, self.chunks(text)))
 
 
 @functools.lru_cache(maxsize=2)
