@@ -1,9 +1,13 @@
 """One registered query for each operator; each reads its whole table."""
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oddspend.llm import bpe, chat, line_templates, ngram_join, packing, page_text, permutation_index, quality, secret_scan, surrogates
+from oddspend.llm import bpe, chat, line_templates, ngram_join, packing, page_text, permutation_index, prefix_trie, quality, secret_scan
+from oddspend.llm import source_divergence, surrogates, token_cache
+from oddspend.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 KEY = "surrogates of the registered queries"  # a secret of the caller's in real use
@@ -59,9 +63,25 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(named(F.col("id")).alias("doc_id"), named(F.col("class_id")).alias("class_id"), named(F.col("head.id")).alias("group_id"), F.col("copies").alias("n_copies"), "n_links")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    # a cache of its own, so that no run finds the counts of an earlier one and all work is done
+    cache = f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
+    return token_cache.count_tokens(table(spark, folder, "documents"), TOKENIZER, cache)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, convs = prefix_trie.number_turns(table(spark, folder, "conversations"))
+    return prefix_trie.build(*prefix_trie.share_heads(turns, convs))
+
+
 OPERATORS = (
     op1_permutation_index, op2_line_templates, op3_bpe_round_trip, op4_page_text, op5_chat_windows,
     op6_quality_rules, op7_surrogates, op8_best_fit_packing, op9_secret_scan, op10_ngram_join,
+    op11_source_divergence, op12_token_counts, op13_prefix_trie,
 )
 
 

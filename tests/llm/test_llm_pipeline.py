@@ -54,4 +54,4 @@ def test_run_of_the_registered_query(spark):
 
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
