@@ -115,6 +115,16 @@ def stream_score(spark, d):
     return replay(views.txn_events(spark, d).drop("channel", S.LABEL))
 
 
+def stream_model_score(spark, d):
+    """Raw rows that arrive up to half an hour late, through the customer profiles and the fitted forest."""
+    from oddspend.streaming.profile_stream import replay_scores
+
+    fit = P.prepare(views.raw_card(spark, d))
+    forest = IsolationForest(n_estimators=50).fit(fit.rows.filter("split = 'train'"))
+    found = replay_scores(views.raw_card(spark, d), fit, forest, jitter_seconds=1800)
+    return found.select(S.ROW_ID, S.USER, *S.FEATURES, "anomaly_score", "is_anomaly")
+
+
 def model_queries() -> dict:
     return {
         "knn_edges": knn_edges,
@@ -136,4 +146,5 @@ def model_queries() -> dict:
         "reconstruction_breakdown": lambda spark, d: X.reconstruction_breakdown(*_worst(spark, d)),
         "reconstruction_text": lambda spark, d: X.reconstruction_text(*_worst(spark, d)),
         "stream_score": stream_score,
+        "stream_model_score": stream_model_score,
     }

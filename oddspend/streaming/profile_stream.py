@@ -1,10 +1,15 @@
 """Scores payments as they arrive against a running profile of each customer.
 
 State per customer lives in the state store: counters and exact sums, the last
-amounts, the distinct merchants as map keys, and per-timestamp counts of the
-latest velocity hour. Rows later than the watermark are dropped by Spark; rows
-that arrive out of order within it are scored against the profile as it stands
-and marked late.
+amounts, the distinct merchants as map keys, per-timestamp counts of the latest
+velocity hour, and payments that wait for their turn. A payment waits until the
+watermark has passed it, when nothing earlier can arrive any more; then it meets
+the profile in event time, ties by row_id, whatever order it came in. An
+event-time timer releases what waits when its customer stays silent. Payments
+behind the watermark are dropped by Spark.
+
+`score_stream` gives the customer features; `clean_stream` and `model_scores`
+make a path from raw rows to the score of a fitted model.
 """
 
 import uuid
@@ -13,13 +18,14 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from oddspend import schema as S
+from oddspend.operators import clean as C, features as B
 from oddspend.session import materialize, shared_dir
 
 OUT = StructType([
-    StructField(S.ROW_ID, LongType()), StructField(S.USER, LongType()), StructField("late", BooleanType()),
+    StructField(S.ROW_ID, LongType()), StructField(S.USER, LongType()),
     StructField("customer_avg_amount", DoubleType()), StructField("customer_max_amount", DoubleType()),
     StructField("customer_txn_count", LongType()), StructField("avg_daily_spending", DoubleType()),
     StructField("time_since_prev_txn", DoubleType()), StructField("rolling_avg_amount", DoubleType()),
@@ -27,33 +33,73 @@ OUT = StructType([
     StructField("customer_activity_frequency", DoubleType()),
     StructField("amount_deviation_from_customer_mean", DoubleType()),
 ])
+#: With what else a row had, as JSON, and its time.
+OUT_ROWS = StructType([*OUT.fields, StructField("us", LongType()), StructField("row", StringType())])
 _DAY = 86_400_000_000
+_NO_MERCHANT = -(1 << 63)  # stands for null, so that identifiers stay whole numbers
 
 
 class CustomerProfile(StatefulProcessor):
-    def __init__(self, rolling_window=5, velocity_hours=1.0):
-        self.window, self.span = rolling_window, int(velocity_hours * 3600) * 1_000_000
+    """unique: of rows of one time that are alike in all but row_id, only the one with the lowest counts."""
+
+    def __init__(self, rolling_window=5, velocity_hours=1.0, unique=False):
+        self.window, self.span, self.unique = rolling_window, int(velocity_hours * 3600) * 1_000_000, unique
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         # sums are integers in millionths, as text: exact and unbounded
         self.profile = handle.getValueState(
             "profile", "n long, s1 string, s2 string, mx long, mn long, last long, days long, recent array<long>, merchants long")
         self.merchants = handle.getMapState("merchants", "merchant long", "seen boolean")
         self.hour = handle.getMapState("hour", "us long", "n long")
+        self.waiting = handle.getMapState("waiting", "us long, row_id long, k long", "micro long, merchant long, row string")
+        self.order = handle.getValueState("order", "arrived long, timer long")
 
     def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows))
+        arrived, timer = self.order.get() if self.order.exists() else (0, None)
+        fresh = {}
+        for k, (rid, us, micro, merchant, row) in enumerate(zip(pdf[S.ROW_ID], pdf["us"], pdf["micro"], pdf["merchant"], pdf["row"])):
+            fresh[int(us), int(rid), arrived + k] = (int(micro), int(merchant), row)
+        yield self._release(key, fresh, arrived + len(fresh), timer, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        arrived, _ = self.order.get()
+        yield self._release(key, {}, arrived, None, timerValues)
+
+    def _release(self, key, fresh, arrived, timer, timerValues):
+        """Scores all rows that the watermark has passed, in order; keeps the others."""
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        stored = {tuple(k): tuple(v) for k, v in self.waiting.iterator()}
+        ready = sorted((k, v) for k, v in [*stored.items(), *fresh.items()] if k[0] <= passed)
+        for k in stored:
+            if k[0] <= passed:
+                self.waiting.removeKey(k)
+        for k, v in fresh.items():
+            if k[0] > passed:
+                self.waiting.updateValue(k, v)
+        due = min((k[0] for k in [*stored, *fresh] if k[0] > passed), default=None)
+        due = None if due is None else -(-due // 1000)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.order.update((arrived, due))
+        if self.unique:
+            ready = list({(k[0], *v): (k, v) for k, v in reversed(ready)}.values())[::-1]
+        return pd.DataFrame(self._score(key[0], ready) if ready else [], columns=OUT_ROWS.fieldNames())
+
+    def _score(self, user, ready):
         if self.profile.exists():
             n, s1, s2, mx, mn, last, days, recent, merchants = self.profile.get()
             s1, s2, recent = int(s1), int(s2), list(recent)
         else:
             n, s1, s2, mx, mn, last, days, recent, merchants = 0, 0, 0, None, None, None, 0, [], 0
         hour = {k[0]: v[0] for k, v in self.hour.iterator()}
-        pdf = pd.concat(list(rows)).sort_values(["us", S.ROW_ID])
         stored, out = dict(hour), []
-        for rid, us, amount, merchant in zip(pdf[S.ROW_ID], pdf["us"], pdf["micro"], pdf["merchant"]):
-            us, a = int(us), int(amount)
-            late = last is not None and us < last
-            hour = {k: v for k, v in hour.items() if k >= us - self.span} if not late else hour
+        for (us, rid, _), (a, merchant, row) in ready:
+            hour = {k: v for k, v in hour.items() if k >= us - self.span}
             x = a / 1e6
             mean = (s1 / 1e6) / n if n else x
             dev = 0.0
@@ -63,19 +109,19 @@ class CustomerProfile(StatefulProcessor):
                 dev = (x - mean) / var ** 0.5 if var > 0 else 0.0
             d = max(1, days)
             out.append((
-                int(rid), key[0], late, mean, mx / 1e6 if n else x, n, s1 / 1e6 / d,
+                rid, user, mean, mx / 1e6 if n else x, n, s1 / 1e6 / d,
                 None if last is None else (us - last) / 6e7,
                 sum(recent) / 1e6 / len(recent) if recent else x,
-                sum(v for k, v in hour.items() if us - self.span <= k <= us), merchants, float(n) / d, dev))
-            if last is None or (not late and us // _DAY != last // _DAY):
+                sum(hour.values()), merchants, float(n) / d, dev, us, row))
+            if last is None or us // _DAY != last // _DAY:
                 days += 1
             n, s1, s2 = n + 1, s1 + a, s2 + a * a
             mx, mn = (a, a) if mx is None else (max(mx, a), min(mn, a))
             recent = (recent + [a])[-self.window:]
             hour[us] = hour.get(us, 0) + 1
-            last = us if last is None else max(last, us)
-            if merchant is not None and not pd.isna(merchant) and not self.merchants.containsKey((int(merchant),)):
-                self.merchants.updateValue((int(merchant),), (True,))
+            last = us
+            if merchant != _NO_MERCHANT and not self.merchants.containsKey((merchant,)):
+                self.merchants.updateValue((merchant,), (True,))
                 merchants += 1
         for k in stored.keys() - hour.keys():
             self.hour.removeKey((k,))
@@ -83,22 +129,66 @@ class CustomerProfile(StatefulProcessor):
             if stored.get(k) != v:
                 self.hour.updateValue((k,), (v,))
         self.profile.update((n, str(s1), str(s2), mx, mn, last, days, recent, merchants))
-        yield pd.DataFrame(out, columns=OUT.fieldNames())
+        return out
 
     def close(self) -> None:
         pass
 
 
+def _profiles(txns: DataFrame, watermark: str, row, **options) -> DataFrame:
+    rows = txns.withColumn("event", F.col(S.TS).cast("timestamp")).withWatermark("event", watermark).select(
+        F.coalesce(S.ROW_ID, F.lit(-1)).alias(S.ROW_ID), S.USER, "event", F.unix_micros("event").alias("us"),
+        F.coalesce((F.col(S.AMOUNT).cast("decimal(18,6)") * F.lit(Decimal(1000000))).cast("long"), F.lit(0)).alias("micro"),
+        F.coalesce(F.col(f"`{S.MERCHANT}`").cast("long"), F.lit(_NO_MERCHANT)).alias("merchant"), row.alias("row"))
+    return rows.groupBy(S.USER).transformWithStateInPandas(
+        statefulProcessor=CustomerProfile(**options), outputStructType=OUT_ROWS, outputMode="Append", timeMode="EventTime")
+
+
 def score_stream(txns: DataFrame, watermark: str = "1 hour", **options) -> DataFrame:
     """Streaming rows (row_id, User, transaction_datetime, Amount, Merchant Name) with
     the running customer features of each, append mode. The session needs the
     RocksDB state store provider."""
-    rows = txns.withColumn("event", F.col(S.TS).cast("timestamp")).withWatermark("event", watermark).select(
-        S.ROW_ID, S.USER, "event", F.unix_micros("event").alias("us"),
-        (F.col(S.AMOUNT).cast("decimal(18,6)") * F.lit(Decimal(1000000))).cast("long").alias("micro"),
-        F.col(f"`{S.MERCHANT}`").cast("long").alias("merchant"))
-    return rows.groupBy(S.USER).transformWithStateInPandas(
-        statefulProcessor=CustomerProfile(**options), outputStructType=OUT, outputMode="Append", timeMode="None")
+    return _profiles(txns, watermark, F.lit(None).cast("string"), **options).select(*OUT.fieldNames())
+
+
+def clean_stream(raw: DataFrame, stats: C.CleanStats, watermark: str = "1 hour", strict: bool = True, **options) -> DataFrame:
+    """Raw streaming rows cleaned with fitted statistics, with the running customer
+    features of each. Repeated rows have one time, so they leave the state together
+    and all but the one with the lowest row_id go, as in a batch."""
+    rows = C.fill_categories(C.parse_datetime(C.parse_amount(raw, strict)))
+    rows = C.impute_amount(rows, stats.amount_median)
+    rest = [c for c in rows.columns if c not in (S.ROW_ID, S.TS, S.USER)]
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest]), {"ignoreNullFields": "false", "timestampFormat": _JSON_TIME, "timestampNTZFormat": _JSON_NTZ})
+    clipped = C.clip_amount(rows.withColumn("row", row), stats.clip_low, stats.clip_high)
+    found = _profiles(clipped, watermark, F.col("row"), unique=True, **options)
+    kinds = StructType([rows.schema[c] for c in rest])
+    found = found.withColumn("row", F.from_json("row", kinds, {"timestampFormat": _JSON_TIME, "timestampNTZFormat": _JSON_NTZ}))
+    time = F.timestamp_micros("us").cast(rows.schema[S.TS].dataType).alias(S.TS)
+    places = {S.ROW_ID: F.col(S.ROW_ID), S.USER: F.col(S.USER), S.TS: time}
+    found = found.select(*[places.get(c, F.col(f"row.`{c}`").alias(c)) for c in rows.columns], *[c for c in OUT.fieldNames() if c not in (S.ROW_ID, S.USER)])
+    return C.extract_label(C.clip_amount(found, stats.clip_low, stats.clip_high))
+
+
+_JSON_TIME, _JSON_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def model_scores(profiled: DataFrame, fitted, path: str, checkpoint: str, trigger: dict | None = None):
+    """Starts a query that writes each micro-batch of cleaned, profiled rows with its
+    merchant and time features, anomaly_score and is_anomaly to <path>/batch=<n>.
+
+    fitted() -> (Prepared, model) is asked once per batch, so a merchant table, an encoder or
+    a model that was fitted anew takes effect with the next batch. A batch that is repeated
+    after a failure replaces its own files."""
+
+    def score(rows: DataFrame, number: int) -> None:
+        prepared, model = fitted()
+        found = B.fill_first_gap(rows, prepared.gap_median)
+        found = B.time_flags(B.merchant_features(found, prepared.merchants, prepared.merchant_total))
+        found = found.select(*[c for c in (F.col(f"`{c}`") for c in rows.columns if c not in S.FEATURES)], *S.FEATURES)
+        model.predict(prepared.encoder.matrix(found)).drop("features").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return profiled.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint).outputMode("append").trigger(
+        **(trigger or {"availableNow": True})).start()
 
 
 def use_rocksdb(spark):
@@ -106,20 +196,49 @@ def use_rocksdb(spark):
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def replay(txns: DataFrame, files: int = 4) -> DataFrame:
-    """Runs a table through the stream in time order, `files` micro-batches, and
-    returns the scored rows."""
-    spark = txns.sparkSession
-    use_rocksdb(spark)
-    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+def _arrivals(rows: DataFrame, columns, files: int, jitter_seconds: int, watermark_seconds: int):
+    """(session, folder of a streaming source, time of its end): timed rows in `files` files by
+    arrival, which is the time of the row plus a delay drawn by hash below jitter_seconds. The
+    end is so late that the watermark passes all rows when a row of that time has arrived."""
+    spark, root = rows.sparkSession, f"{shared_dir(rows.sparkSession)}/stream-{uuid.uuid4().hex}"
+    delay = F.pmod(F.xxhash64(S.ROW_ID), F.lit(max(1, jitter_seconds))) * 1_000_000
     us = F.unix_micros(F.col(S.TS).cast("timestamp"))
-    lo, hi = txns.agg(F.min(us), F.max(us)).first()
-    step = max(1, -(-(hi - lo + 1) // files))
-    cut = materialize(txns.withColumn("_part", F.floor((us - F.lit(lo)) / F.lit(step)).cast("int")), "replay")
+    cut = materialize(rows.withColumn("_at", us + delay).select(*[F.col(f"`{c}`") for c in columns], "_at"), "replay")
+    lo, hi = cut.agg(F.min("_at"), F.max("_at")).first()
+    if lo is None:
+        lo = hi = 0
+    part = F.floor((F.col("_at") - lo) / F.lit(max(1, -(-(hi - lo + 1) // files)))).cast("int")
     for i in range(files):
-        cut.filter(F.col("_part") == i).drop("_part").coalesce(1).write.parquet(f"{root}/in/part={i}")
-    source = spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{root}/in")
-    query = score_stream(source).writeStream.format("parquet").option("path", f"{root}/out").option(
-        "checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
+        cut.filter(part == i).drop("_at").coalesce(1).write.parquet(f"{root}/in/part={i:04d}")
+    return spark, root, hi + (watermark_seconds + 60) * 1_000_000
+
+
+def _read_arrivals(spark, root: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{root}/in")
+
+
+def replay(txns: DataFrame, files: int = 4, jitter_seconds: int = 0, watermark_seconds: int = 3600, **options) -> DataFrame:
+    """Runs a table through the stream in `files` micro-batches, by the time rows would
+    arrive with delays below jitter_seconds, and returns the profiled rows."""
+    use_rocksdb(txns.sparkSession)
+    spark, root, end = _arrivals(txns, txns.columns, files, jitter_seconds, watermark_seconds)
+    time = F.timestamp_micros(F.lit(end)).cast(txns.schema[S.TS].dataType)
+    last = spark.range(1).select(*[(time if c == S.TS else F.lit(None).cast(txns.schema[c].dataType)).alias(c) for c in txns.columns])
+    last.coalesce(1).write.parquet(f"{root}/in/part=9999")
+    query = score_stream(_read_arrivals(spark, root, txns.schema), f"{watermark_seconds} seconds", **options).writeStream.format("parquet").option(
+        "path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(OUT).parquet(f"{root}/out")
+
+
+def replay_scores(raw: DataFrame, prepared, model, files: int = 4, jitter_seconds: int = 0, watermark_seconds: int = 3600) -> DataFrame:
+    """Runs raw rows through the stream and the fitted model and returns the scored rows."""
+    use_rocksdb(raw.sparkSession)
+    spark, root, end = _arrivals(C.parse_datetime(raw), raw.columns, files, jitter_seconds, watermark_seconds)
+    moment = F.timestamp_micros(F.lit(end))
+    parts = {"Year": F.year(moment), "Month": F.month(moment), "Day": F.dayofmonth(moment), "Time": F.date_format(moment, "HH:mm")}
+    last = spark.range(1).select(*[(parts[c] if c in parts else F.lit(None)).cast(raw.schema[c].dataType).alias(c) for c in raw.columns])
+    last.coalesce(1).write.parquet(f"{root}/in/part=9999")
+    profiled = clean_stream(_read_arrivals(spark, root, raw.schema), prepared.clean, f"{watermark_seconds} seconds")
+    model_scores(profiled, lambda: (prepared, model), f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
