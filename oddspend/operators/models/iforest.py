@@ -2,12 +2,18 @@
 
 Every tree is drawn by hash. A tree on few rows grows in a group of its own. A tree on
 more grows its upper levels over all tasks: the range of every input in every node is a
-partial aggregate, a node's split is drawn from it by hash, and its rows move on; what is
-left below, at most GROUP rows in the mean, grows in groups of single nodes. A node that
-stays large for lack of luck is divided further, so no group is unbounded.
-
-A tree is a list of nodes with the places of their children, so its size follows the
-nodes it has. Scoring walks all trees from their roots.
+partial aggregate, a node's split is drawn from it by hash where the aggregate lies, and its
+rows move on; what is left below, at most GROUP rows in the mean, grows in groups of single
+nodes. A node that stays large for lack of luck is divided further, so no group is unbounded.
+
+Forests of small trees (at most 2 GROUP nodes each) are collected and broadcast. Forests of
+larger ones stay a node table: upper splits by (tree, node), and the trees below them as one
+row each. Rows are scored by joining them with the splits level by level, then they stream
+beside the tree of their node, and path lengths are summed up per row. Nothing of such a
+forest passes through the driver.
+
+`grow` builds the forests of many settings in one job: settings with the same sample share
+their draws.
 """
 
 import math
@@ -71,6 +77,137 @@ def forest_depths(x, roots, feature, split, child, value, depth):
     return total
 
 
+def _leaf_level(node):
+    """The level of a node by its number: the root is 0, children of i are 2 i + 1 and 2 i + 2."""
+    return (node + 1).bit_length() - 1
+
+
+def grow(df, forests):
+    """Grows forests of one seed, on the same rows, together: the table is counted and sampled
+    once, and all trees grow in one grouped job."""
+    n, seed, width = df.count(), forests[0].seed, forests[0].n_features
+    if any(f.seed != seed for f in forests):
+        raise ValueError("forests that grow together have one seed")
+    shapes, offsets, columns, depths = [f._shape(n) for f in forests], [], [], []
+    for f, (psi, depth) in zip(forests, shapes):
+        offsets.append(len(columns))
+        k = max(1, int(f.max_features * width)) if isinstance(f.max_features, float) else int(f.max_features)
+        columns += [np.sort(np.random.default_rng((seed, i)).choice(width, size=k, replace=False)) for i in range(f.n_estimators)]
+        depths += [depth] * f.n_estimators
+    draws: dict = {}
+    for f, (psi, _), first in zip(forests, shapes, offsets):
+        draws.setdefault((f.n_estimators, psi), []).append(first)
+    most = min(n, max(2 * t * psi for t, psi in draws))
+    pool = take_fixed(df.select("row_id", "features"), most, "row_id", seed, n)
+    if len(draws) > 1:
+        pool = materialize(pool, "forest_pool")
+    small = large = None
+    for (t, psi), firsts in draws.items():
+        rows = _sample(take_fixed(pool, min(n, 2 * t * psi), "row_id", seed, most), t, psi, min(n, 2 * t * psi), seed)
+        rows = rows.withColumn("tree", F.explode(F.array(*[F.col("tree") + F.lit(first) for first in firsts])))
+        rows = rows.select("row_id", "features", "tree", F.lit(0).cast("long").alias("node"))
+        if psi <= GROUP:
+            small = rows if small is None else small.unionByName(rows)
+        else:
+            large = rows if large is None else large.unionByName(rows)
+    local = [i for f in forests for i in range(f.n_estimators)]
+    upper = None
+    if large is not None:
+        upper, large = forests[0]._upper_levels(large, columns, depths, local)
+        small = large if small is None else small.unionByName(large)
+
+    def grow_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
+        pdf = pdf.sort_values("row_id")
+        rng = np.random.default_rng((seed, local[tree], node))
+        found = grow_tree(np.stack(pdf["features"].to_numpy()), rng, _leaf_level(node), depths[tree], columns[tree])
+        return pd.DataFrame({"tree": [tree], "node": [node], **{c: [[x[i] for x in found]] for i, c in enumerate(("feature", "split", "left", "right", "value"))}})
+
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    parts = small.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInPandas(
+        grow_group, "tree int, node long, feature array<int>, split array<double>, left array<int>, right array<int>, value array<double>")
+    if upper is not None:
+        parts = materialize(parts, "forest_parts")
+    whole = [(first, f) for f, (psi, _), first in zip(forests, shapes, offsets) if psi <= GROUP]
+    if whole:
+        ours = F.lit(False)
+        for first, f in whole:
+            ours = ours | F.col("tree").between(first, first + f.n_estimators - 1)
+        got = {r.tree: r for r in parts.filter(ours).collect()}  # at most 2 GROUP nodes a tree
+    for f, (psi, depth), first in zip(forests, shapes, offsets):
+        f.nodes = None
+        if psi <= GROUP:
+            f._join_parts([got[first + i] for i in range(f.n_estimators)])
+        else:
+            mine = lambda x: x.filter(F.col("tree").between(first, first + f.n_estimators - 1)).withColumn("tree", F.col("tree") - F.lit(first))  # noqa: B023, E731
+            f.nodes, f.trees = (mine(upper), mine(parts)), {"roots": np.zeros(f.n_estimators, np.int64)}
+        f.trees["shape"] = np.array([depth, psi])
+
+
+def _sample(pool, t, psi, n, seed):
+    """Exactly psi rows of the pool of n rows for each of t trees (all, if it has fewer)."""
+    limit = int(min(1.0, 2.0 * psi / n) * 2 ** 31)
+    draws = pool.withColumn("tree", F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(t - 1)),
+        lambda i: F.pmod(F.xxhash64("row_id", i, F.lit(seed)), F.lit(2 ** 31)) < F.lit(limit))))
+    order = F.xxhash64("row_id", "tree", F.lit(seed + 1))
+    return top_per_group(draws, ["tree"], [order, F.col("row_id")], psi) if psi <= GROUP else _first_of_trees(draws, order, psi)
+
+
+def score_together(df, forests):
+    """df with `scores`, one raw score for each of the forests, from one pass over df for all
+    forests that fit into a broadcast."""
+    spark, whole = df.sparkSession, [k for k, f in enumerate(forests) if f.nodes is None]
+    shared = spark.sparkContext.broadcast([forests[k]._compiled() for k in whole])
+
+    @F.pandas_udf("array<double>")
+    def score(features: pd.Series) -> pd.Series:
+        x = np.stack(features.to_numpy()) if len(features) else np.empty((0, 1))
+        return pd.Series(list(np.stack([_scores(x, f, norm) for f, norm in shared.value], axis=1)), index=features.index)
+
+    out = df.withColumn("_whole", score("features") if whole else F.array().cast("array<double>"))
+    places = {k: F.get("_whole", F.lit(i)) for i, k in enumerate(whole)}
+    for k, f in enumerate(forests):
+        if f.nodes is not None:
+            out = f.raw_score(out).withColumnRenamed("_raw", f"_raw{k}")
+            places[k] = F.col(f"_raw{k}")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.array(*[places[k] for k in range(len(forests))]).alias("scores"))
+
+
+def _scores(x, forest, norm):
+    return 2.0 ** (-forest_depths(x, **forest) / len(forest["roots"]) / norm)
+
+
+def _walk_parts(depth):
+    """(_k, path length) of rows that stream behind the tree of their node, sorted by (tree, node)."""
+
+    def run(batches):
+        now, tree = None, None
+        for pdf in batches:
+            keys = pdf["tree"].to_numpy().astype(np.int64), pdf["node"].to_numpy()
+            new = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1 if len(pdf) else []
+            out = []
+            for part in np.split(np.arange(len(pdf)), new):
+                if not len(part):
+                    continue
+                key, rows = (int(keys[0][part[0]]), int(keys[1][part[0]])), pdf.iloc[part]
+                if key != now:
+                    now, tree = key, None
+                first = rows.iloc[0]
+                if first["kind"] == 0:
+                    feature = np.asarray(first["feature"])
+                    tree = {"roots": [0], "feature": np.where(feature < 0, 0, feature), "split": np.where(feature < 0, np.inf, first["split"]),
+                            "child": np.stack([first["left"], first["right"]], axis=1).ravel(), "value": np.asarray(first["value"]), "depth": depth}
+                    rows = rows.iloc[1:]
+                if len(rows):
+                    # a side that drew no row has no tree: it ends at its level
+                    found = np.full(len(rows), float(_leaf_level(key[1]))) if tree is None else forest_depths(np.stack(rows["features"].to_numpy()), **tree)
+                    out.append(pd.DataFrame({"_k": rows["_k"].to_numpy().astype(np.int64), "value": found}))
+            yield pd.concat(out) if out else pd.DataFrame({"_k": np.empty(0, np.int64), "value": np.empty(0)})
+
+    return run
+
+
 def _first_of_trees(draws, order, k):
     """The first k rows of every tree by (order, row_id), whatever k is: the cut-off is found
     from counts, and only rows that agree with it in their leading bits are ranked."""
@@ -93,124 +230,127 @@ class IsolationForest(OffsetModel):
     def __init__(self, n_estimators=200, max_samples="auto", max_features=1.0, contamination=0.02, seed=42):
         super().__init__(contamination, seed)
         self.n_estimators, self.max_samples, self.max_features = n_estimators, max_samples, max_features
-        self.trees = None
+        self.trees = self.nodes = None
 
-    def _fit(self, df):
-        n = df.count()
+    def _shape(self, n):
+        """(rows of a tree, its depth) on a table of n rows."""
         if self.max_samples == "auto":
             psi = min(256, n)
         else:
             psi = int(self.max_samples * n) if isinstance(self.max_samples, float) else min(int(self.max_samples), n)
-        psi = max(psi, 1)
-        depth = max(1, math.ceil(math.log2(max(psi, 2))))
-        t = self.n_estimators
-        pool = take_fixed(df.select("row_id", "features"), min(n, 2 * t * psi), "row_id", self.seed, n)
-        share = min(1.0, 2.0 * psi / min(n, 2 * t * psi))
-        limit = int(share * 2 ** 31)
-        draws = pool.withColumn("tree", F.explode(F.filter(
-            F.sequence(F.lit(0), F.lit(t - 1)),
-            lambda i: F.pmod(F.xxhash64("row_id", i, F.lit(self.seed)), F.lit(2 ** 31)) < F.lit(limit))))
-        order = F.xxhash64("row_id", "tree", F.lit(self.seed + 1))
-        if psi <= GROUP:
-            sample = top_per_group(draws, ["tree"], [order, F.col("row_id")], psi)
-        else:
-            sample = _first_of_trees(draws, order, psi)
-        k = max(1, int(self.max_features * self.n_features)) if isinstance(self.max_features, float) else int(self.max_features)
-        seed, width = self.seed, self.n_features
-
-        def columns_of(tree):
-            return np.sort(np.random.default_rng((seed, tree)).choice(width, size=k, replace=False))
-
-        rows = sample.select("row_id", "features", "tree", F.lit(0).cast("long").alias("node"))
-        upper, rows = self._upper_levels(rows, [columns_of(i) for i in range(t)], depth) if psi > GROUP else ({}, rows)
-
-        def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            tree, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
-            pdf = pdf.sort_values("row_id")
-            # a node's level follows from its number: the root is 0, children of i are 2 i + 1 and 2 i + 2
-            level = (node + 1).bit_length() - 1
-            found = grow_tree(np.stack(pdf["features"].to_numpy()), np.random.default_rng((seed, tree, node)), level, depth, columns_of(tree))
-            return pd.DataFrame({"tree": [tree], "node": [node], **{c: [[x[i] for x in found]] for i, c in enumerate(("feature", "split", "left", "right", "value"))}})
-
-        tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-        parts = rows.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInPandas(
-            grow, "tree int, node long, feature array<int>, split array<double>, left array<int>, right array<int>, value array<double>").collect()
-        self._join_parts(t, upper, {(r.tree, r.node): r for r in parts})
-        self.trees["shape"] = np.array([depth, psi])
-
-    def _upper_levels(self, rows, columns, depth):
-        """({(tree, node): (feature, split)}, rows in the nodes below) while nodes hold over GROUP rows."""
-        spark, splits, done = rows.sparkSession, {}, None
-        rows = materialize(rows, "forest_rows")
+        return max(psi, 1), max(1, math.ceil(math.log2(max(psi, 2))))
+
+    def _fit(self, df):
+        grow(df, [self])
+
+    def _upper_levels(self, rows, columns, depths, local):
+        """(splits as a table (tree, node, j, cut, n), rows in the nodes below them) while nodes hold
+        over GROUP rows. j is -1 for leaves: copies of one row, or the lowest level."""
+        rows, done, splits, seed, width = materialize(rows, "forest_rows"), None, None, self.seed, self.n_features
+
+        def draw(batches):
+            for pdf in batches:
+                out = []
+                for r in pdf.itertuples(index=False):
+                    low, high = np.asarray(r.low), np.asarray(r.high)
+                    usable = [j for j in columns[r.tree] if high[j] > low[j]]
+                    j, cut = -1, 0.0
+                    if usable and _leaf_level(int(r.node)) < depths[r.tree]:
+                        rng = np.random.default_rng((seed, local[r.tree], int(r.node)))
+                        j = int(rng.choice(usable))
+                        cut = float(rng.uniform(low[j], high[j]))
+                    out.append((r.tree, r.node, j, cut, r.n))
+                yield pd.DataFrame(out, columns=["tree", "node", "j", "cut", "n"])
+
         while True:
-            ranges = [F.min(F.get("features", F.lit(j))).alias(f"lo{j}") for j in range(self.n_features)]
-            ranges += [F.max(F.get("features", F.lit(j))).alias(f"hi{j}") for j in range(self.n_features)]
-            fresh = []
-            for r in rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), *ranges).filter(F.col("n") > GROUP).collect():
-                usable = [j for j in columns[r.tree] if r[f"hi{j}"] > r[f"lo{j}"]]
-                if usable and (r.node + 1).bit_length() - 1 < depth:
-                    rng = np.random.default_rng((self.seed, r.tree, r.node))
-                    j = int(rng.choice(usable))
-                    fresh.append((r.tree, r.node, j, float(rng.uniform(r[f"lo{j}"], r[f"hi{j}"]))))
-                else:  # copies of one row, or the lowest level: a leaf, known by its number of rows
-                    splits[r.tree, r.node] = (int(r.n),)
-                    fresh.append((r.tree, r.node, -1, 0.0))
-            if not fresh:
+            of = lambda f: F.array(*[f(F.get("features", F.lit(j))) for j in range(width)])
+            ranges = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), of(F.min).alias("low"), of(F.max).alias("high")).filter(F.col("n") > GROUP)
+            fresh = materialize(ranges.mapInPandas(draw, "tree int, node long, j int, cut double, n long"), "forest_splits")
+            splits = fresh if splits is None else splits.unionByName(fresh)
+            if fresh.isEmpty():
                 return splits, rows if done is None else done.unionByName(rows)
-            splits.update({(t, i): (j, cut) for t, i, j, cut in fresh if j >= 0})
-            cuts = F.broadcast(spark.createDataFrame(fresh, "tree int, node long, j int, cut double"))  # rows / GROUP at most
             low = F.get("features", F.col("j")) <= F.col("cut")
-            moved = rows.join(cuts, ["tree", "node"], "left").filter("j is null or j >= 0")
+            moved = rows.join(fresh.drop("n"), ["tree", "node"], "left").filter("j is null or j >= 0")
             small = materialize(moved.filter("j is null").select("row_id", "features", "tree", "node"), "forest_small")
             done = small if done is None else done.unionByName(small)
             rows = moved.filter("j >= 0").select("row_id", "features", "tree", (2 * F.col("node") + F.when(low, 1).otherwise(2)).alias("node"))
             rows = materialize(rows, "forest_rows")
 
-    def _join_parts(self, t, upper, parts):
-        """One list of nodes for all trees: upper nodes first, then the trees below them."""
-        flat = {c: [] for c in ("feature", "split", "left", "right", "value")}
-
-        def add(tree, node):
+    def _join_parts(self, parts):
+        """One list of nodes for all trees, with the places of their roots."""
+        flat, roots = {c: [] for c in ("feature", "split", "left", "right", "value")}, []
+        for part in parts:
             base = len(flat["feature"])
-            known = upper.get((tree, node))
-            if known is not None and len(known) == 2:
-                for c, x in zip(flat, (known[0], known[1], 0, 0, 0.0)):
-                    flat[c].append(x)
-                flat["left"][base] = add(tree, 2 * node + 1)
-                flat["right"][base] = add(tree, 2 * node + 2)
-                return base
-            part = parts.get((tree, node))
-            if part is None:  # a leaf of many copies, or a side that drew no row
-                level = (node + 1).bit_length() - 1
-                leaf = (-1, 0.0, base, base, level + float(path_length(known[0] if known else 0)))
-                for c, x in zip(flat, leaf):
-                    flat[c].append(x)
-                return base
+            roots.append(base)
             for c in flat:
                 flat[c] += [x + base for x in part[c]] if c in ("left", "right") else list(part[c])
-            return base
-
-        roots = [add(tree, 0) for tree in range(t)]
         kinds = {"feature": np.int32, "split": float, "left": np.int64, "right": np.int64, "value": float}
         self.trees = {"roots": np.array(roots, np.int64), **{c: np.array(v, kinds[c]) for c, v in flat.items()}}
 
-    def raw_score(self, df):
-        if self.trees is None:
-            raise RuntimeError(f"{self.name} is not fitted")
+    def _table_score(self, df):
+        """_raw by the node table: rows meet the splits level by level, then the tree of their node."""
+        upper, parts = self.nodes
+        depth, psi = (int(v) for v in self.trees["shape"])
+        t, norm, seen = len(self.trees["roots"]), float(path_length(psi)) or 1.0, df.columns
+        base = materialize(df.withColumn("_k", F.monotonically_increasing_id()), "to_score")
+        trees = F.explode(F.sequence(F.lit(0), F.lit(t - 1))).alias("tree")
+        rows = base.select("_k", "features", trees).withColumns({"node": F.lit(0).cast("long"), "value": F.lit(None).cast("double")})
+        level = F.floor(F.log2(F.col("node") + 1)).cast("int")
+        levels = (upper.agg(F.max(level)).first()[0] or 0) + 1 if not upper.isEmpty() else 0
+        size = F.col("n").cast("double")
+        # path_length of a leaf of n rows, n > 2
+        leaf = level + 2 * (F.log(size - 1) + F.lit(float(np.euler_gamma))) - 2 * (size - 1) / size
+        leaf = F.when(F.col("n") == 2, level + 1.0).when(F.col("n") < 2, level.cast("double")).otherwise(leaf)
+        splits = upper.withColumns({"level": level, "leaf": F.when(F.col("j") < 0, leaf)})
+        for k in range(levels):
+            here = splits.filter(F.col("level") == k).select("tree", "node", "j", "cut", "leaf")
+            low = F.get("features", F.col("j")) <= F.col("cut")
+            rows = rows.join(here, ["tree", "node"], "left").select(
+                "_k", "features", "tree", F.when(F.col("j") >= 0, 2 * F.col("node") + F.when(low, 1).otherwise(2)).otherwise(F.col("node")).alias("node"),
+                F.coalesce("value", "leaf").alias("value"))
+        met = rows.filter("value is null").withColumn("kind", F.lit(1)).drop("value")
+        beside = parts.withColumn("kind", F.lit(0)).unionByName(met, allowMissingColumns=True)
+        beside = beside.repartition("tree", "node").sortWithinPartitions("tree", "node", "kind")
+        beside = beside.select("tree", "node", "kind", "_k", "features", "feature", "split", "left", "right", "value")
+        lengths = rows.filter("value is not null").select("_k", "value").unionByName(beside.mapInPandas(_walk_parts(depth), "_k long, value double"))
+        lengths = lengths.groupBy("_k").agg(F.sum("value").alias("_sum"))
+        out = base.join(lengths, "_k").withColumn("_raw", F.pow(F.lit(2.0), -F.col("_sum") / F.lit(float(t)) / F.lit(norm)))
+        return out.select(*[F.col(f"`{c}`") for c in seen], "_raw")
+
+    def _compiled(self):
         t, leaf = self.trees, np.asarray(self.trees["feature"]) < 0
         depth, psi = (int(v) for v in t["shape"])
-        shared = df.sparkSession.sparkContext.broadcast({
+        forest = {
             "roots": t["roots"].astype(np.int64), "feature": np.where(leaf, 0, t["feature"]).astype(np.int32),
             "split": np.where(leaf, np.inf, t["split"]), "value": t["value"], "depth": depth,
-            "child": np.stack([t["left"], t["right"]], axis=1).ravel().astype(np.int64)})
-        norm = float(path_length(psi)) or 1.0
+            "child": np.stack([t["left"], t["right"]], axis=1).ravel().astype(np.int64)}
+        return forest, float(path_length(psi)) or 1.0
+
+    def raw_score(self, df):
+        if self.trees is None:
+            raise RuntimeError(f"{self.name} is not fitted")
+        if self.nodes is not None:
+            return self._table_score(df)
+        shared = df.sparkSession.sparkContext.broadcast(self._compiled())
 
         def score(x):
-            f = shared.value
-            return 2.0 ** (-forest_depths(x, **f) / len(f["roots"]) / norm)
+            return _scores(x, *shared.value)
 
         return df.withColumn("_raw", matrix_udf(score)("features"))
 
+    def save(self, spark, path):
+        super().save(spark, path)
+        if self.nodes is not None:
+            for name, table in zip(("upper", "parts"), self.nodes):
+                table.write.mode("overwrite").parquet(f"{path}/nodes/{name}")
+
+    @classmethod
+    def load(cls, spark, path):
+        model = super().load(spark, path)
+        if "feature" not in model.trees:
+            model.nodes = tuple(spark.read.parquet(f"{path}/nodes/{name}") for name in ("upper", "parts"))
+        return model
+
     def _arrays(self):
         return self.trees
 

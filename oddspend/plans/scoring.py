@@ -12,7 +12,7 @@ from oddspend import schema as S
 from oddspend.functions.sampling import id_hash, stratified_split
 from oddspend.operators import clean as C, encode as E, evaluate as A, features as B
 from oddspend.operators.models.autoencoder import Autoencoder
-from oddspend.operators.models.iforest import IsolationForest
+from oddspend.operators.models.iforest import IsolationForest, grow, score_together
 from oddspend.operators.models.linear import EllipticEnvelope, Mahalanobis, PcaReconstruction
 from oddspend.operators.models.lof import LocalOutlierFactor
 from oddspend.operators.models.ocsvm import OneClassSvm
@@ -138,13 +138,27 @@ def param_sweep(name: str, train: DataFrame, test: DataFrame, grid: dict | None
     grid = grid or default
     settings = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
     chosen = random.Random(seed).sample(settings, min(n_iter or count, len(settings)))
-    spark, scores, labels = train.sparkSession, None, []
-    for i, params in enumerate(chosen):
-        model = MODELS[name](**params).fit(train)
-        part = materialize(model.score(test).select(
-            F.lit(str(i)).alias("model"), S.ROW_ID, F.col("anomaly_score").alias("score"), F.col(S.LABEL).alias("label")), "sweep")
-        scores = part if scores is None else scores.unionByName(part)
-        labels.append((str(i), json.dumps(params, sort_keys=True)))
-    names = spark.createDataFrame(labels, "model string, params string")
+    names = train.sparkSession.createDataFrame([(str(i), json.dumps(p, sort_keys=True)) for i, p in enumerate(chosen)], "model string, params string")
+    models = [MODELS[name](**params) for params in chosen]
+    if name == IsolationForest.name and "seed" not in grid:
+        scores = _sweep_forests(models, train, test)
+    else:
+        scores = None
+        for i, model in enumerate(models):
+            part = materialize(model.fit(train).score(test).select(
+                F.lit(str(i)).alias("model"), S.ROW_ID, F.col("anomaly_score").alias("score"), F.col(S.LABEL).alias("label")), "sweep")
+            scores = part if scores is None else scores.unionByName(part)
     return A.auc_metrics(scores).join(F.broadcast(names), "model").select("params", "roc_auc", "average_precision").orderBy(
         F.col("roc_auc").desc_nulls_last(), "params")
+
+
+def _sweep_forests(models: list, train: DataFrame, test: DataFrame) -> DataFrame:
+    """(model, row_id, score, label) of forests that grow in one job over shared draws and score
+    the test rows together. Scores are not shifted by thresholds, which no ranking needs."""
+    width = len(train.select("features").first().features)
+    for model in models:
+        model.n_features = width
+    grow(train, models)
+    found = score_together(test.select(S.ROW_ID, "features", F.col(S.LABEL).alias("label")), models)
+    found = materialize(found.select(S.ROW_ID, "label", "scores"), "sweep")
+    return found.select(F.posexplode("scores").alias("model", "score"), S.ROW_ID, "label").withColumn("model", F.col("model").cast("string"))

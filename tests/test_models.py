@@ -103,6 +103,66 @@ def test_default_search_space_runs_at_any_size(spark, data, monkeypatch):
     assert scoring.param_sweep("isolation_forest", data, data, small, 9).count() == 9
 
 
+def test_node_table_scores_as_the_collected_forest(spark, data, monkeypatch, tmp_path):
+    """The same draws, once as groups of whole trees, once as a table of nodes: every part of a
+    tree is drawn with a generator of its own, so the means agree, and paths are those of the table."""
+    import oddspend.operators.models.iforest as mod
+
+    whole = IsolationForest(n_estimators=60, max_samples=0.8)
+    whole.n_features = 6
+    whole._fit(data)
+    assert whole.nodes is None
+    monkeypatch.setattr(mod, "GROUP", 25)
+    table = IsolationForest(n_estimators=60, max_samples=0.8).fit(data)
+    assert table.nodes is not None and set(table.trees) == {"roots", "shape"}
+    upper, parts = ([r.asDict() for r in x.collect()] for x in table.nodes)
+    splits, below = {(r["tree"], r["node"]): r for r in upper}, {(r["tree"], r["node"]): r for r in parts}
+    got = {r.row_id: r._raw for r in table.raw_score(data).collect()}
+    rows = data.collect()
+    assert len(got) == len(rows)
+    for r in rows[::17]:
+        total = 0.0
+        for tree in range(60):
+            node = 0
+            while (tree, node) in splits and splits[tree, node]["j"] >= 0:
+                s = splits[tree, node]
+                node = 2 * node + (1 if r.features[s["j"]] <= s["cut"] else 2)
+            level = (node + 1).bit_length() - 1
+            if (tree, node) in splits:
+                total += level + float(path_length(splits[tree, node]["n"]))
+            elif (tree, node) in below:
+                b, at = below[tree, node], 0
+                while b["feature"][at] >= 0:
+                    at = b["left" if r.features[b["feature"][at]] <= b["split"][at] else "right"][at]
+                total += b["value"][at]
+            else:
+                total += level
+        assert abs(got[r.row_id] - 2.0 ** (-total / 60 / float(path_length(table.trees["shape"][1])))) < 1e-9
+    a = np.array([got[r.row_id] for r in rows])
+    b = np.array([x._raw for x in whole.raw_score(data).select("row_id", "_raw").orderBy("row_id").collect()])
+    a = a[np.argsort([r.row_id for r in rows])]
+    assert np.corrcoef(a, b)[0, 1] > 0.95
+    table.save(spark, str(tmp_path))
+    again = {r.row_id: r.anomaly_score for r in IsolationForest.load(spark, str(tmp_path)).score(data).collect()}
+    assert all(abs(again[r.row_id] - r.anomaly_score) < 1e-9 for r in table.score(data).collect())
+
+
+@pytest.mark.parametrize("group", [8192, 60])
+def test_settings_grown_together_score_as_grown_alone(spark, data, monkeypatch, group):
+    import oddspend.operators.models.iforest as mod
+
+    monkeypatch.setattr(mod, "GROUP", group)
+    settings = [{"n_estimators": 5}, {"n_estimators": 8, "max_samples": 0.5}, {"n_estimators": 8, "max_samples": 0.5, "max_features": 0.5}, {"n_estimators": 6, "max_samples": 20}]
+    together, alone = ([IsolationForest(**x) for x in settings] for _ in range(2))
+    for f in [*together, *alone]:
+        f.n_features = 6
+    mod.grow(data, together)
+    got = {r.row_id: r.scores for r in mod.score_together(data, together).collect()}
+    for k, f in enumerate(alone):
+        f._fit(data)
+        assert all(abs(got[r.row_id][k] - r._raw) < 1e-9 for r in f.raw_score(data).collect())
+
+
 def test_svm_flags_about_nu_of_the_training_rows(spark, data):
     m = OneClassSvm(nu=0.1, contamination=0.1)
     normal = data.filter("is_fraud = 0")
