@@ -9,11 +9,15 @@ normal form and an attempt, in the entity's own type and format: digits for digi
 same grouping (card numbers keep a valid check digit), letters for letters, names by gender
 and script. Distinct entities get distinct surrogates: of those that draw the same one the
 smallest keeps it, others try again, as does who draws an entity of the corpus or a surrogate
-already given. Candidate sets grow with the attempts, so the search ends.
+already given. The sets of names and addresses grow with the attempts. Numbers keep their format,
+so their space is bounded: the search raises after ATTEMPTS draws, when it is all but full. Network
+addresses and social security numbers come from ranges that nobody has.
+
+The texts are read for entities once, behind a cheap test of what every entity holds.
 
 Entities are pre-aggregated per document and by partial aggregation; the join back sends
-(document, entity) rows without text, which Spark splits where an entity is hot. Only
-documents with an entity are shuffled, once.
+(document, entity) rows without text, which Spark splits where an entity is hot. The new texts
+meet the documents in one join by id and hash of the text; rows that share both share the text.
 
 Null texts stay null, empty texts empty; texts without an entity are unchanged. Rows with
 one id and one text are handled alike; extra columns are kept whatever their names; an empty
@@ -34,9 +38,9 @@ GIVEN = {
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _HEX = "[0-9A-Fa-f]{1,4}"
-_NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
-_TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
-_GIVEN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{L}+(?:-\p{Lu}\p{L}+)*+"
+_TITLE = "(?:" + "|".join(x for g in TITLES.values() for t in g for x in (t, t.upper())) + r")\.?"
+_GIVEN = "(?:" + "|".join(x for g in GIVEN.values() for n in g for x in (n, n.upper())) + ")"
 #: With a leading 0 (pairs; area code and rest; code in brackets), nine digits from 6 to 9, or ten or so in one piece.
 _NATIONAL = (
     r"(?<![A-Za-z0-9]|[0-9][ .,/-]|[.,/-])(?:0[1-9](?:[ .-][0-9]{2}){4}|\(0[0-9]{1,4}\) ?[0-9]{2,8}(?:[ -][0-9]{2,4}){0,3}"
@@ -54,9 +58,19 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME})(?!\p{{L}})",
 }
 #: A word that may be a name standing alone.
-ALONE = r"(?<!\p{L})\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?(?!\p{L})"
+ALONE = r"(?<!\p{L})" + _NAME + r"(?!\p{L})"
+#: Fixed surnames that are words too: before a word in small letters they are taken for the word.
+HOMOGRAPHS = "black brown green gray grey white young long short small little rich price day may king bishop hall wood stone field hill lake rivers snow summers winter frost banks bush rose love hope best good swift strong wise fox wolf park grant mark will".split()
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What every match of ANY holds: an @, four digits close together, two colons, the core of an account
+#: number, or a capital that starts a title or given name before a capital. Cheap where there is none.
+_ANNOUNCED = sorted({x for g in (*TITLES.values(), *GIVEN.values()) for w in g for x in (w, w.upper())})
+MAY_HOLD = (
+    r"@|[0-9](?:[ ./()-]{0,3}[0-9]){3}|:[0-9A-Fa-f]{0,4}:|[0-9]{2}(?: ?[A-Z0-9]{4}){3}"
+    rf"|[{''.join(sorted({w[0] for w in _ANNOUNCED}))}](?<!\p{{L}}.)(?:{'|'.join(sorted({w[1:] for w in _ANNOUNCED}))})\.? \p{{Lu}}"
+)
 DIGITS = ("card", "ssn", "phone")
+ATTEMPTS = 256  # a draw fails as often as its space is taken: with nine tenths taken, one in 5 * 10^11 entities fails as many
 SYLLABLES = {"latin": "ba be bi da de di fa fe ga ge ka ke la le li ma me mi na ne ni ra re ri sa se ta te va vi".split(), "cyrillic": "ба бе ви да де ди га ка ла ле ма ми на не ни ра ре ри са се та те ва ви за зо".split()}
 ENDINGS = {"latin": {"given_f": "na", "given_m": "ron", "given_x": "ren", "surname": "ler"}, "cyrillic": {"given_f": "на", "given_m": "рон", "given_x": "рен", "surname": "лер"}}
 #: Reserved for examples, so that no surrogate address belongs to anyone.
@@ -94,12 +108,12 @@ def parts(match: Column) -> Column:
         return F.struct(kind.alias("type"), norm.alias("norm"))
 
     def name(tokens: Column) -> Column:
-        title = F.regexp_replace(tokens[0], r"\.$", "")
+        title = F.initcap(F.regexp_replace(tokens[0], r"\.$", ""))
         titled = _one_of([t for g in TITLES.values() for t in g], title)
         given = F.when(titled & (F.size(tokens) == 3), tokens[1]).when(~titled, tokens[0])
-        gender = F.when(_one_of(TITLES["f"], title) | _one_of(GIVEN["f"], given), "given_f").when(_one_of(TITLES["m"], title) | _one_of(GIVEN["m"], given), "given_m").otherwise("given_x")
+        gender = F.when(_one_of(TITLES["f"], title) | _one_of(GIVEN["f"], F.initcap(given)), "given_f").when(_one_of(TITLES["m"], title) | _one_of(GIVEN["m"], F.initcap(given)), "given_m").otherwise("given_x")
         # one person's given name keeps its gender whatever the title: the lists come before titles
-        gender = F.when(_one_of(GIVEN["f"], given), "given_f").when(_one_of(GIVEN["m"], given), "given_m").otherwise(gender)
+        gender = F.when(_one_of(GIVEN["f"], F.initcap(given)), "given_f").when(_one_of(GIVEN["m"], F.initcap(given)), "given_m").otherwise(gender)
         surname = F.array(entity(F.lit("surname"), F.lower(F.element_at(tokens, -1))))
         return F.when(given.isNotNull(), F.concat(F.array(entity(gender, F.lower(given))), surname)).otherwise(surname)
 
@@ -138,7 +152,8 @@ def candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
         # later attempts add letters: the set of addresses is not bounded by a short local part
         extra = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(max(1, attempt))), lambda i: F.substr(letters, at(i + 40) % 26 + 1, F.lit(1))), "") if attempt else F.lit("")
         email = F.concat(local, extra, F.lit("@"), F.get(F.array(*map(F.lit, DOMAINS)), at(F.lit(63)) % 3))
-        ip = F.concat_ws(".", (at(F.lit(0)) % 223 + 1).cast("string"), *[at(F.lit(k)).cast("string") for k in (1, 2, 3)])
+        # no host has an address of this range
+        ip = F.concat_ws(".", (at(F.lit(0)) % 15 + 240).cast("string"), *[at(F.lit(k)).cast("string") for k in (1, 2, 3)])
         # the prefix reserved for examples
         ipv6 = F.concat(F.lit("2001:0db8"), *[F.concat(F.lit(":" if k % 2 == 0 else ""), F.lower(F.lpad(F.hex(at(F.lit(k)).cast("bigint")), 2, "0"))) for k in range(12)])
         lead = F.slice(chars, 1, 1)  # the first digit tells kinds of cards apart
@@ -148,6 +163,7 @@ def candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
         # the country code of long numbers, the leading 0 of national ones
         country = F.when(kind == "phone", F.when(F.startswith(norm, F.lit("0")), 1).otherwise(F.greatest(F.size(chars) - 10, F.lit(0)))).otherwise(0)
         digits = F.concat(F.slice(chars, 1, country), F.slice(swap, country + 1, F.size(chars)))
+        ssn = F.concat(F.lit("9"), F.array_join(F.slice(swap, 2, F.size(chars)), ""))  # none is issued with a 9 first
         account = F.concat(F.array_join(F.slice(chars, 1, 2), ""), F.array_join(F.slice(swap, 3, F.size(swap)), ""))
 
         def made(script: str) -> Column:
@@ -161,7 +177,7 @@ def candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
         person = F.when(norm.rlike(r"\p{IsCyrillic}"), made("cyrillic")).otherwise(made("latin"))
         return (
             F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ipv6", ipv6).when(kind == "card", card).when(kind == "account", account)
-            .when(kind.isin(*DIGITS), F.array_join(digits, "")).otherwise(person)
+            .when(kind == "ssn", ssn).when(kind.isin(*DIGITS), F.array_join(digits, "")).otherwise(person)
         )
 
     return let(numbers, draw)
@@ -184,6 +200,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         if left.isEmpty():
             return done
         left, attempt = materialize(left, "entities_left"), attempt + 1
+        if attempt == ATTEMPTS:
+            full = [tuple(r) for r in left.groupBy("type", F.regexp_replace(F.regexp_replace("norm", "[0-9]", "0"), "[a-z]", "a").alias("form")).count().limit(5).collect()]
+            raise ValueError(f"no free surrogates left for (type, form, entities) {full}")
 
 
 def _render(match: Column, known: Column) -> Column:
@@ -202,7 +221,8 @@ def _render(match: Column, known: Column) -> Column:
         return F.aggregate(F.split(match, ""), start, step, lambda s: s["text"])
 
     def name(e: Column) -> Column:
-        names = F.transform(e, lambda x: F.initcap(found(x)))
+        old = F.slice(F.split(match, " "), -F.size(e), F.size(e))
+        names = F.transform(F.arrays_zip(e.alias("e"), old.alias("old")), lambda x: _cased(found(x["e"]), x["old"]))
         title = F.when(F.size(F.split(match, " ")) > F.size(e), F.slice(F.split(match, " "), 1, 1)).otherwise(F.array().cast("array<string>"))
         return F.array_join(F.concat(title, names), " ")
 
@@ -213,15 +233,22 @@ def _render(match: Column, known: Column) -> Column:
     return let(parts(match), of)
 
 
+def _cased(new: Column, old: Column) -> Column:
+    """The surrogate of a name, in capitals throughout if the name is."""
+    return F.when(old == F.upper(old), F.upper(new)).otherwise(F.initcap(new))
+
+
 def _alone(gap: Column, known: Column, people: Column) -> Column:
     """(text, n): a text between matches with the names that stand alone in it replaced, and their number."""
     def surrogate(word: Column) -> Column:
         kinds = ("surname", "given_f", "given_m", "given_x")
         found = F.coalesce(*[F.try_element_at(known, F.concat(F.lit(f"{k}:"), F.lower(word))) for k in kinds])
-        return F.when(F.array_contains(people, F.lower(word)), F.when(word == F.upper(word), F.upper(found)).otherwise(F.initcap(found)))
+        return F.when(F.array_contains(people, F.lower(word)), _cased(found, word))
 
     def of(words: Column) -> Column:
-        new = F.transform(words, surrogate)
+        after = F.split(gap, ALONE, -1)  # what follows word i is element i + 1
+        a_word = lambda w, i: F.lower(w).isin(HOMOGRAPHS) & F.get(after, i + 1).rlike(r"^ \p{Ll}")
+        new = F.transform(words, lambda w, i: F.when(~a_word(w, i), surrogate(w)))
         return let(new, lambda x: F.struct(
             F.array_join(F.transform(F.arrays_zip(F.split(gap, ALONE, -1).alias("gap"), words.alias("old"), x.alias("new")), lambda p: F.concat(p["gap"], F.coalesce(p["new"], p["old"], F.lit("")))), "").alias("text"),
             F.size(F.filter(x, lambda y: y.isNotNull())).alias("n")))
@@ -235,22 +262,22 @@ def replace(docs: DataFrame, key: str, text: str = "text", ident: str = "doc_id"
     names = docs.columns
     own = lambda base: base if base not in names else own(base + "_")
     number = own("n_entities")
-    holds = F.coalesce(F.col(text).rlike(ANY), F.lit(False))
-    clean = docs.filter(~holds).withColumn(number, F.lit(0).cast("bigint"))
-    rows = docs.filter(holds).withColumn(own("_id"), F.coalesce(F.col(ident).cast("string"), F.lit(""))).withColumn(own("_hash"), F.xxhash64(text))
-    rows = rows.withColumn(own("_matches"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    entities = rows.select(F.col(own("_id")).alias("id"), F.col(own("_hash")).alias("hash"), F.explode(F.array_distinct(F.flatten(F.transform(own("_matches"), parts)))).alias("e"))
-    entities = materialize(entities.select("id", "hash", "e.type", "e.norm"), "document_entities")
+    rows = docs.select(F.coalesce(F.col(ident).cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    held = rows.filter(F.col("text").rlike(MAY_HOLD)).filter(F.col("text").rlike(ANY)).select(
+        "id", "hash", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("matches"), F.split("text", ANY, -1).alias("gaps"))
+    held = materialize(held, "documents_with_entities")  # the only pass over all texts
+    entities = held.select("id", "hash", F.explode(F.array_distinct(F.flatten(F.transform("matches", parts)))).alias("e"))
+    entities = materialize(entities.select("id", "hash", "e.type", "e.norm").distinct(), "document_entities")
     table = assign(entities, key)
     known = entities.join(table, ["type", "norm"]).groupBy("id", "hash").agg(F.collect_set(F.struct(F.concat_ws(":", "type", "norm").alias("k"), F.col("surrogate").alias("v"))).alias("pairs"))
-    known = known.select(F.col("id").alias(own("_id2")), F.col("hash").alias(own("_hash2")), F.map_from_entries("pairs").alias(own("_known")))
-    rows = rows.join(known, (F.col(own("_id")) == F.col(own("_id2"))) & (F.col(own("_hash")) == F.col(own("_hash2"))))
-    people = F.transform(F.filter(F.map_keys(own("_known")), lambda k: k.rlike("^(?:given_.|surname):")), lambda k: F.substring_index(k, ":", -1))
-    rows = rows.withColumn(own("_people"), people)
-    gaps = F.transform(F.split(text, ANY, -1), lambda g: _alone(g, F.col(own("_known")), F.col(own("_people"))))
-    rows = rows.withColumn(own("_gaps"), gaps)
-    pieces = F.arrays_zip(F.transform(own("_gaps"), lambda g: g["text"]).alias("gap"), F.transform(own("_matches"), lambda m: _render(m, F.col(own("_known")))).alias("new"))
+    found = held.dropDuplicates(["id", "hash"]).join(known.select("id", "hash", F.map_from_entries("pairs").alias("known")), ["id", "hash"])
+    found = found.withColumn("people", F.transform(F.filter(F.map_keys("known"), lambda k: k.rlike("^(?:given_.|surname):")), lambda k: F.substring_index(k, ":", -1)))
+    found = found.withColumn("gaps", F.transform("gaps", lambda g: _alone(g, F.col("known"), F.col("people"))))
+    pieces = F.arrays_zip(F.transform("gaps", lambda g: g["text"]).alias("gap"), F.transform("matches", lambda m: _render(m, F.col("known"))).alias("new"))
     whole = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], F.coalesce(p["new"], F.lit("")))), "")
-    alone = F.aggregate(own("_gaps"), F.lit(0), lambda n, g: n + g["n"])
-    found = rows.select(*[whole.alias(c) if c == text else F.col(f"`{c}`") for c in names], (F.size(own("_matches")) + alone).cast("bigint").alias(number))
-    return clean.unionByName(found)
+    alone = F.aggregate("gaps", F.lit(0), lambda n, g: n + g["n"])
+    new = found.select(F.col("id").alias(own("_id")), F.col("hash").alias(own("_hash")), whole.alias(own("_new")), (F.size("matches") + alone).cast("bigint").alias(number))
+    new = materialize(new, "texts_with_surrogates")
+    same = (F.coalesce(F.col(ident).cast("string"), F.lit("")) == F.col(own("_id"))) & (F.xxhash64(F.col(text)) == F.col(own("_hash")))
+    cleaned = F.coalesce(own("_new"), text)
+    return docs.join(new, same, "left").select(*[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in names], F.coalesce(number, F.lit(0)).cast("bigint").alias(number))

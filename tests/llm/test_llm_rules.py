@@ -191,6 +191,35 @@ def test_national_numbers_addresses_and_names_alone(spark):
     assert b[1] == b[3] == b[5] == b[6].capitalize() and b[2] == b[4] and not {"Smith", "Mary", "SMITH"} & set(b.groups())
 
 
+def test_names_in_capitals_and_with_apostrophes_and_words_that_are_names(spark):
+    texts = ["Ms McDonald and Mr O'Brien met MR KEVIN SMITH and MARY SMITH. McDonald left, O'Brien's too.", "Mr Young spoke. Young people left, Young did not.", "ssn 123-45-6789 ip 10.1.2.3"]
+    out = [r["text"] for r in surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    a = re.fullmatch(r"Ms (\w+) and Mr (\w+) met MR (\w+) (\w+) and (\w+) (\w+)\. (\w+) left, (\w+)'s too\.", out[0])
+    assert a[1] == a[7] and a[2] == a[8] and a[4] == a[6] == a[4].upper() and a[3] == a[3].upper()
+    assert not {"McDonald", "O'Brien", "KEVIN", "SMITH", "MARY"} & set(a.groups())
+    b = re.fullmatch(r"Mr (\w+) spoke\. Young people left, (\w+) did not\.", out[1])
+    assert b and b[1] != "Young" and b[2] == "Young"  # before a word in small letters it is taken for the word
+    assert re.fullmatch(r"ssn 9\d\d-\d\d-\d{4} ip 2[45]\d(\.\d+){3}", out[2])
+
+
+def test_cheap_test_holds_wherever_an_entity_is(spark):
+    rng = random.Random(4)
+    samples = [*PEOPLE, "a@b.co", "06 12 34 56 78", "(030) 12", "(01)23", "DE12ABCD EFGH IJKL", "DE12 ABCD EFGHIJKL", "1.2.3.4", "a1::b", "::1", "1:2:3:4:5:6:7:8", "1::", "+1234567", "+1(2)(3)(4)(5)(6)(7)", "JOHN DOE", "Dr. X-Ray", "Анна Ж", "Анна Жук"]
+    letters = "aZ09 .:@+-()/MrАн"
+    texts = samples + ["".join(rng.choice([*letters, *samples]) for _ in range(8)) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert df.filter(F.col("text").rlike(surrogates.ANY) & ~F.col("text").rlike(surrogates.MAY_HOLD)).collect() == []
+    assert df.filter(F.col("text").rlike(surrogates.ANY)).count() > 500
+
+
+def test_a_full_space_is_told(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 3)
+    monkeypatch.setattr(surrogates, "candidate", lambda key, kind, norm, attempt: F.lit("same"))
+    df = spark.createDataFrame([("phone", "123"), ("phone", "124")], "type string, norm string")
+    with pytest.raises(ValueError, match="phone"):
+        surrogates.assign(df, "k")
+
+
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     """With a first draw that has eight values only, 40 entities still get 40 surrogates."""
     real = surrogates.candidate
