@@ -1,18 +1,20 @@
 """Line deduplication by a log-template tree, with column expressions only.
 
-A line goes down a tree of fixed depth: its token count, then its first DEPTH tokens, fields
-that hold a digit as `<*>`. Below that leaf its template generalises what varies between
-lines of one form. Fields with a digit are variable everywhere. Other fields may be names or
-words: for lines of LONG tokens or more, the places behind the leading tokens are dealt into
-BANDS bands, and a template leaves one band open and fixes the others. Two lines of a leaf
-that differ in the fields of one band therefore share a template, while two lines that only
-sound alike differ in more than one.
+A line goes down a tree of fixed depth: its token count, then its leading tokens, fields that
+hold a digit as `<*>`. Below, its templates generalise what varies between lines of one form.
+Fields with a digit are variable everywhere. Other fields may be names or words, often of several
+tokens: each of RUNS templates leaves one run of neighbouring places open and fixes all others.
+The runs are about a quarter of the line long and spread evenly from its first token to its last,
+overlapping by a token, so any two neighbouring places are open in one template; the first run takes
+the wildcard branch at the leading tokens. A template fixes at least FIXED tokens, so lines of so many or fewer have the one
+template without an open place. Two lines that differ within one run share a template; two that
+only sound alike differ in more than one. All lengths follow this one rule, from one token on.
 
 A template is recurring if lines of at least `min_docs` documents have it, two of them with
 different ids. All lines with a recurring template are dropped (`keep_first=False`), or all
 but those in the document with the smallest id that has it (`keep_first=True`, which leaves
-one copy of what is repeated). A line is dropped if one of its templates says so. Lines of
-fewer than `least` tokens have no template and stay; 1 leaves only empty lines without one.
+one copy of what is repeated). A line is dropped if one of its templates says so. Only empty and
+blank lines have no template. Rows count as documents for `min_docs`, repeated ids included.
 
 Templates are counted by hash with partial sums; each document sends a template once. The
 join back sends a row per line and template, no text, and Spark splits its partitions where a
@@ -29,36 +31,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 from oddspend.llm.expressions import BLANKS, let
 from oddspend.session import materialize
 
-DEPTH, BANDS, LONG, LEAST = 2, 3, 8, 3
+RUNS, FIXED = 4, 3
 NO_ID = -(1 << 63)
 
 
-def templates(line: Column, least: int = LEAST) -> Column:
-    """Hashes of the templates of a line; an empty array for lines that are none."""
+def templates(line: Column) -> Column:
+    """Hashes of the templates of a line; an empty array for lines that have none."""
     # a field with a digit, found from its start on so that long fields are read once
     masked = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")
 
     def of(t: Column) -> Column:
         n = F.size(t)
-        bands = [F.xxhash64(n, F.lit(b), F.filter(t, _fixed(b))) for b in range(BANDS)]
-        some = (n >= least) & (F.element_at(t, 1) != "")  # an empty line splits into one empty token
-        return F.when(n >= LONG, F.array(*bands)).when(some, F.array(F.xxhash64(n, F.lit(-1), t))).otherwise(F.array().cast("array<bigint>"))
+        width = F.least(F.call_function("div", n + 2 * RUNS - 2, F.lit(RUNS)), n - FIXED).cast("int")
 
-    return let(F.split(masked, r"[\x20\x09-\x0D]+"), of)
+        def opened(run: int) -> Column:
+            first = F.call_function("div", run * (n - width), F.lit(RUNS - 1)).cast("int")
+            return F.xxhash64(n, first, F.slice(t, F.lit(1), first), F.slice(t, first + width + 1, n))
 
+        whole = F.when(F.element_at(t, 1) != "", F.array(F.xxhash64(n, t))).otherwise(F.array().cast("array<bigint>"))  # an empty line splits into one empty token
+        return F.when(n > FIXED, F.array(*[opened(k) for k in range(RUNS)])).otherwise(whole)
 
-def _fixed(band: int):
-    return lambda token, i: (i < DEPTH) | (i % BANDS != band)
+    return let(F.split(masked, r"[\x20\x09-\x0D]+"), of)
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without recurring lines, plus n_lines and n_dropped (named so unless docs has them)."""
     names = docs.columns
     own = lambda base: base if base not in names else own(base + "_")
     ident, body, gone, number, found = own("_id"), own("_hash"), own("_gone"), own("n_lines"), own("n_dropped")
     docs = docs.withColumn(ident, F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))).withColumn(body, F.xxhash64(text))
     lines = docs.filter(F.col(text).isNotNull()).select(
-        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), lambda x: templates(x, least)).alias("lines")
+        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), templates).alias("lines")
     )
     lines = materialize(lines, "line_templates")  # hashes only; counted first, joined back next
     counts = lines.select("id", F.explode(F.array_distinct(F.flatten("lines"))).alias("template"))

@@ -13,11 +13,13 @@ lines AS (
 tokens AS (
   SELECT *, list_transform(regexp_extract_all(line, '{_WORD}'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
   FROM lines),
+opened AS (
+  SELECT *, least((len(t) + {2 * L.RUNS - 2}) // {L.RUNS}, len(t) - {L.FIXED}) AS width FROM tokens WHERE len(t) > {L.FIXED}),
 bands AS (
-  SELECT rid, doc_id, pos, len(t) || '|' || b || '|' || array_to_string(list_filter(t, lambda x, i: i <= {L.DEPTH} OR (i - 1) % {L.BANDS} <> b), ' ') AS template
-  FROM tokens, range({L.BANDS}) AS r(b) WHERE len(t) >= {L.LONG}
+  SELECT rid, doc_id, pos, len(t) || '|' || first || '|' || array_to_string(list_filter(t, lambda x, i: i <= first OR i > first + width), ' ') AS template
+  FROM (SELECT *, k * (len(t) - width) // {L.RUNS - 1} AS first FROM opened, range({L.RUNS}) AS r(k))
   UNION ALL
-  SELECT rid, doc_id, pos, len(t) || '|-1|' || array_to_string(t, ' ') FROM tokens WHERE len(t) >= {L.LEAST} AND len(t) < {L.LONG}),
+  SELECT rid, doc_id, pos, len(t) || '|-1|' || array_to_string(t, ' ') FROM tokens WHERE len(t) BETWEEN 1 AND {L.FIXED}),
 recurring AS (
   SELECT template FROM (SELECT DISTINCT rid, doc_id, template FROM bands)
   GROUP BY template HAVING count(*) >= 2 AND min(doc_id) < max(doc_id)),

@@ -97,12 +97,13 @@ def masked(line):
 
 
 def templates_of(line):
+    """About a quarter of the places open, three tokens fixed at least."""
     t = masked(line)
-    if len(t) < line_templates.LEAST:
-        return set()
-    if len(t) < line_templates.LONG:
-        return {(len(t), -1, *t)}
-    return {(len(t), b, *[x for i, x in enumerate(t) if i < line_templates.DEPTH or i % line_templates.BANDS != b]) for b in range(line_templates.BANDS)}
+    n = len(t)
+    if n <= 3:
+        return {(n, *t)} if t else set()
+    width = min(-(-(n + 3) // 4), n - 3)
+    return {(n, first, *t[:first], *t[first + width :]) for first in (k * (n - width) // 3 for k in range(4))}
 
 
 def brute_lines(rows, min_docs, keep_first):
@@ -134,6 +135,20 @@ def test_line_templates_against_brute_force(spark, documents, min_docs, keep_fir
         assert (1003, "", 1) in got and ((1002, "kept", 1) in got) != keep_first
 
 
+def test_open_runs_take_names_and_leading_words(spark):
+    rows = [(1, "invoice for Anna Maria Schmidt was sent to the main office today"), (2, "invoice for Karl Peter Mueller was sent to the main office today"),
+            (3, "Monday the shop is shut"), (4, "Sunday the shop is shut"), (5, "one two three"), (6, "one two four"), (7, "alpha beta gamma delta eps zeta eta theta"), (8, "alpha XX gamma delta eps zeta YY theta")]
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 0}
+
+
+def test_every_two_neighbours_are_open_in_some_template():
+    for n in range(5, 200):
+        width = min(-(-(n + 3) // 4), n - 3)
+        starts = [k * (n - width) // 3 for k in range(4)]
+        assert len(set(starts)) == 4 and all(any(s <= i and i + 1 < s + width for s in starts) for i in range(n - 1))
+
+
 def test_line_templates_of_odd_rows(odd):
     out = line_templates.drop_recurring(odd)
     assert out.columns == [*odd.columns, "n_lines_", "n_dropped"] and out.count() == odd.count()
@@ -142,10 +157,10 @@ def test_line_templates_of_odd_rows(odd):
     assert line_templates.drop_recurring(odd.limit(0)).count() == 0
 
 
-def test_short_lines_have_templates_on_request(spark):
+def test_short_lines_and_lines_without_spaces_have_templates(spark):
     rows = [(1, "Les.\n\nfirst of its kind here"), (2, "Les.\n\n这是一个没有空格的句子\nAnd 17"), (3, "这是一个没有空格的句子\nAnd 18\n  \nAnd more"), (4, "  ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_templates.drop_recurring(df, least=1).collect()}
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_templates.drop_recurring(df).collect()}
     assert got == {1: ("\nfirst of its kind here", 1), 2: ("", 3), 3: ("  \nAnd more", 2), 4: ("  ", 0)}
 
 
