@@ -37,6 +37,7 @@ ONE_SPACE = regex.compile("[" + SPACE + "]")
 CHUNK = 1 << 16  # characters cut at a time
 WORDS = 400_000  # words whose ids a process remembers in each of two generations; forgetting them costs time only
 INFINITE = 1 << 60
+ONE = (1,)
 
 
 def printable_bytes() -> dict[str, int]:
@@ -83,16 +84,22 @@ class Merges:
             if self.bytes_of[a] in self.ids and self.bytes_of[b] in self.ids and self.holds(a, b, k):
                 self.ids[self.bytes_of[whole]] = whole
         self.longest, self.size_of = max(map(len, self.ids)), [len(x) for x in self.bytes_of]
-        longest_end = [1] * 256
-        for text in self.ids:
-            longest_end[text[-1]] = max(longest_end[text[-1]], len(text))
-        self.longest_end, self.longest_start = longest_end, {}
-        for text in self.ids:
-            self.longest_start[text[:2]] = max(self.longest_start.get(text[:2], 1), len(text))
+        #: lengths of the tokens that end in these bytes, longest first: by three bytes, and by two
+        #: for ends that no token of three or more has
+        self.long_ends: dict[bytes, list] = {}
+        self.short_ends = {text: (2, 1) for text in self.ids if len(text) == 2}
+        for text in sorted(self.ids, key=len, reverse=True):
+            if len(text) > 2:
+                found = self.long_ends.setdefault(text[-3:], [])
+                if not found or found[-1] != len(text):
+                    found.append(len(text))
+        for end, found in self.long_ends.items():
+            found.extend(self.short_ends.get(end[-2:], ONE))
         self.lookahead = self._lookahead(created)
         self.known: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.machine = Transducer(self)
 
     def holds(self, a: int, b: int, before: int = INFINITE) -> bool:
         """Does the boundary between tokens a and b survive all merges of rank below `before`?
@@ -152,11 +159,17 @@ class Transducer:
 
     def _step(self, data: bytes) -> None:
         m, last, i = self.m, self.last, len(self.buffer)
-        ids, known, longest = m.ids, m.known, m.longest_end
+        ids, known, long_ends, short_ends = m.ids, m.known, m.long_ends, m.short_ends
         self.buffer = text = self.buffer + data
         while i < len(text):
             i += 1
-            for size in range(min(i, longest[text[i - 1]]), 0, -1):
+            if i > 2:
+                sizes = long_ends.get(text[i - 3 : i]) or short_ends.get(text[i - 2 : i], ONE)
+            else:
+                sizes = short_ends.get(text[:i], ONE)
+            for size in sizes:
+                if size > i:
+                    continue
                 t = ids.get(text[i - size : i])
                 if t is not None:
                     before = last[i - size]
@@ -226,53 +239,37 @@ def pieces(text: str):
         start = end
 
 
-def short_ids(m: Merges, text: bytes) -> list[int]:
-    """What a transducer emits for a few bytes that are all there: the longest token first,
-    a step back where no token fits. Neighbours that survive make the one encoding of the
-    prefix, so a place that cannot be left is never tried again."""
-    ids, known, longest, size_of = m.ids, m.known, m.longest_start, m.size_of
-    out, before, place, n, dead = [], -1, 0, len(text), ()
-    while place < n:
-        for end in range(min(n, place + longest.get(text[place : place + 2], 1)), place, -1):
-            t = ids.get(text[place:end])
-            if t is not None and end not in dead:
-                if before < 0:
-                    break
-                ok = known.get(before << 32 | t)
-                if m.survives(before, t) if ok is None else ok:
-                    break
-        else:
-            dead = {*dead, place}
-            place -= size_of[out.pop()]
-            before = out[-1] if out else -1
-            continue
-        out.append(t)
-        before, place = t, end
-    return out
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 def word_ids(m: Merges, word: str) -> bytes:
-    """The ids of a word as little-endian unsigned 32-bit integers."""
+    """The ids of a word of at most 2 CHUNK characters; the transducer runs for every word not met lately."""
     parts = [word] if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()) else CUT.findall(word)
     if len(parts) > 1:
         found = b"".join([m.words.get(x) or word_ids(m, x) for x in parts])
     else:
         found = m.older.get(word)
         if found is None:
-            data = word.encode()
-            if len(data) <= m.longest:
-                out = array.array("I", short_ids(m, data))
-            else:
-                machine = Transducer(m)
-                out = array.array("I", machine.feed(data) + machine.flush())
-            if sys.byteorder == "big":
-                out.byteswap()
-            found = out.tobytes()
+            machine = m.machine
+            found = packed(machine.feed(word.encode()) + machine.flush())
     if len(word) <= 64:
         m.remember(word, found)
     return found
 
 
+def word_chunks(m: Merges, word: str):
+    """The ids of a word of any length, as they become stable."""
+    machine = Transducer(m)
+    for k in range(0, len(word), CHUNK):
+        yield packed(machine.feed(word[k : k + CHUNK].encode()))
+    yield packed(machine.flush())
+
+
 def spaced_words(piece: str) -> list[str]:
     """The piece cut before each single space; as one where spaces meet or stand at an end."""
     if SPACES.search(piece) or ONE_SPACE.match(piece[-1]):
@@ -292,7 +289,15 @@ def encode_chunks(m: Merges, text: str | None):
             yield np.array([m.special[run]], dtype="<u4").tobytes()
             continue
         for piece in pieces(run):
-            yield b"".join([m.words.get(w) or word_ids(m, w) for w in spaced_words(piece)])
+            if len(piece) <= 2 * CHUNK:
+                yield b"".join([m.words.get(w) or word_ids(m, w) for w in spaced_words(piece)])
+                continue
+            for found in CUT.finditer(piece):  # no single space to cut at: one word at a time
+                word = found.group()
+                if len(word) <= CHUNK:
+                    yield m.words.get(word) or word_ids(m, word)
+                else:
+                    yield from word_chunks(m, word)
 
 
 def around(text: str, name: str) -> list[str]:

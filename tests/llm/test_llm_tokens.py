@@ -40,17 +40,36 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(library):
         assert bpe.TextMachine(m).feed(np.array(want, "<u4").tobytes(), True) == library.decode(want, skip_special_tokens=False)
 
 
-def test_streaming_in_small_parts_gives_the_same_tokens_with_bounded_state():
+def test_streaming_in_small_parts_gives_the_same_tokens_with_bounded_state(library):
     m, rng = bpe.merges(PATH), random.Random(2)
     for text in ("the" * 3000, "ab" * 3000, "".join(rng.choice("etaoin") for _ in range(6000)), "é中" * 900):
         machine, out, data = bpe.Transducer(m), [], text.encode()
         for k in range(0, len(data), 7):
             out += machine.feed(data[k : k + 7])
             assert len(machine.buffer) <= 2 * (m.lookahead + m.longest)
-        assert out + machine.flush() == bpe.short_ids(m, data)
+        assert out + machine.flush() == library.encode(text, add_special_tokens=False).ids
         assert machine.delay <= m.lookahead + m.longest
 
 
+def test_the_transducer_runs_for_every_word_not_met_before(monkeypatch):
+    m, fed = bpe.Merges(PATH), []
+    real = bpe.Transducer.feed
+    monkeypatch.setattr(bpe.Transducer, "feed", lambda self, data: fed.append(data) or real(self, data))
+    ids(m, "one two one three two" + " tail-1")
+    assert [x for x in fed if x] == [b"one", b" two", b" one", b" three", b" tail", b"-", b"1"]
+
+
+@pytest.mark.parametrize("unit", ["中文é", "ab", "\n\nx", "-="])
+def test_a_text_without_single_spaces_streams_in_bounded_memory(library, monkeypatch, unit):
+    m, sizes = bpe.merges(PATH), []
+    real = bpe.Transducer._step
+    monkeypatch.setattr(bpe.Transducer, "_step", lambda self, data: real(self, data) or sizes.append(len(self.buffer)))
+    text = unit * (300_000 // len(unit))
+    chunks = list(bpe.encode_chunks(m, text))
+    assert max(map(len, chunks)) <= 8 * bpe.CHUNK and max(sizes) <= 2 * (m.lookahead + m.longest)
+    assert np.frombuffer(b"".join(chunks), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_text_machine_holds_back_unfinished_characters():
     m = bpe.merges(PATH)
     every = ids(m, "é🙂中")
