@@ -14,11 +14,14 @@ groups. A group returns k rows a query; no pair of vectors is ever a row. All ve
 indexed; nothing is capped.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
-without an id or with another dimension than the first pivot. Rows with one id count once,
+without an id or with another dimension than most of the sample. Components may be as large
+or small as doubles are. Rows with one id count once,
 with their best score; a query never finds its own id. Equal scores go by id. Extra columns
 are ignored; an empty table gives an empty result.
 """
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -38,14 +41,23 @@ def valid(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. They are scaled by a power of two first, which changes no digit and
+    keeps the squares of very large or small components finite."""
+    y = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    return y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
 def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray | None:
-    """At most n unit vectors, chosen from the 4 n rows of smallest hash."""
+    """At most n unit vectors of the commonest dimension (the smallest of equally common ones)
+    among the 4 n rows of smallest hash."""
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(4 * n).collect()
     if not sample:
         return None
-    width = len(sample[0]["v"])
+    counts = Counter(len(r["v"]) for r in sample)
+    width = min(counts, key=lambda w: (-counts[w], w))
     found = np.array(list(dict.fromkeys(tuple(r["v"]) for r in sample if len(r["v"]) == width)))[:n]
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+    return unit(found)
 
 
 def permuted(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -56,9 +68,7 @@ def permuted(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
         for batch in batches:
             values = batch.column(1)
             x = values.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(values) else np.zeros((0, width))
-            # scaled first: squares of very large or small components stay finite
-            y = x / np.abs(x).max(axis=1, keepdims=True)
-            order = np.argsort(-(y / np.linalg.norm(y, axis=1, keepdims=True)) @ pivots.T, axis=1, kind="stable").astype("<u2")
+            order = np.argsort(-unit(x) @ pivots.T, axis=1, kind="stable").astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in order], pa.binary()), pa.array(order[:, : max(POST, PROBE)].astype("i4").tolist(), pa.list_(pa.int32()))],
                 names=["id", "v", "order", "nearest"],
@@ -83,7 +93,7 @@ def search_block(key: tuple, posted: pd.DataFrame, queries: pd.DataFrame, k: int
     ids, x = posted["id"].to_numpy(), np.stack([np.frombuffer(b) for b in posted["v"]])
     orders = np.stack([np.frombuffer(b, "<u2") for b in posted["order"]])
     rank, where = posted["rank"].to_numpy(), places(orders)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(x)
     out = []
     for q in queries.itertuples():
         order = np.frombuffer(q.q_order, "<u2")
@@ -97,8 +107,7 @@ def search_block(key: tuple, posted: pd.DataFrame, queries: pd.DataFrame, k: int
             continue
         foot = np.abs(where[rows] - places(order[None])).sum(axis=1, dtype=np.int32)
         rows = rows[np.argsort(foot, kind="stable")[: max(least, int(np.ceil(share * len(rows))))]]
-        v = np.frombuffer(q.q_v)
-        score = (x[rows] * (v / np.linalg.norm(v))).sum(axis=1)
+        score = (x[rows] * unit(np.frombuffer(q.q_v)[None])).sum(axis=1)
         best = np.lexsort((ids[rows], -score))[:k]
         out.append(pd.DataFrame({"query_id": q.q_id, "vec_id": ids[rows[best]], "score": score[best]}))
     return pd.concat(out, ignore_index=True) if out else none

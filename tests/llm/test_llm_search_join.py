@@ -153,3 +153,25 @@ def test_vectors_that_take_no_part(spark):
     assert sorted(out) == [(0, 1, 1, 1.0), (0, 2, 2, 0.0)]
     assert permutation_index.search(df.limit(0), F.col("id") % 50 == 0).count() == 0
     assert permutation_index.search(df, F.col("id") % 50 == 0).filter("vec_id > 2").count() == 0
+
+
+def test_components_of_every_size_and_a_stray_dimension(spark):
+    rows = [(0, [2.0**660, 2.0**660]), (1, [1.0, 1.0]), (2, [1e-200, 0.0]), (50, [2.0**-660, 2.0**-660]), (100, [5e-324, 0.0]), (150, [1.7e308, -1.7e308]), (3, [-1e-310, 2e-310])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {q: [(v, s) for _, v, s in sorted((r["rank"], r["vec_id"], r["score"]) for r in g)] for q, g in by_query(permutation_index.search(df, F.col("id") % 50 == 0)).items()}
+    half = 2**-0.5
+    assert [v for v, _ in out[0]] == [1, 50, 2, 100, 3] and np.allclose([s for _, s in out[0]], [1, 1, half, half, 10**-0.5], atol=1e-12)
+    assert [v for v, _ in out[50]] == [0, 1, 2, 100, 3] and out[100][0] == (2, 1.0)
+    assert out[150][-1][0] == 3 and np.isclose(out[150][-1][1], -3 * 10**-0.5 * half)
+    # one row of another dimension, whatever its id, does not shut out the rest
+    for k in range(20):
+        stray = spark.createDataFrame([(1000 + k, [1.0, 2.0, 3.0])], "vec_id long, embedding array<double>")
+        few = permutation_index.choose_pivots(permutation_index.valid(df.union(stray), "vec_id", "embedding"))
+        assert few.shape[1] == 2
+
+
+def by_query(found):
+    out = collections.defaultdict(list)
+    for r in found.collect():
+        out[r["query_id"]].append(r)
+    return out
