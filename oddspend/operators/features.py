@@ -11,6 +11,7 @@ customers are cut into time chunks that are sorted and scanned separately; what
 earlier chunks contribute (counts, exact sums, extremes, last rows, distinct days
 and merchants, payments still inside the velocity hour) is computed from small
 per-chunk summaries and added. Sums are DECIMAL, so a cut changes no result.
+Stored profiles (see profiles.py) are added in the same way.
 """
 
 from pyspark.sql import DataFrame, functions as F, Window
@@ -20,6 +21,7 @@ from oddspend.functions.lookup import lookup_join
 from oddspend.functions.quantiles import exact_quantiles
 from oddspend.functions.running import bucket_of, value_cuts
 from oddspend.functions.sampling import top_per_group
+from oddspend.operators.profiles import Profiles, place
 from oddspend.session import materialize
 
 HOT_ROWS = 5_000_000
@@ -74,7 +76,7 @@ def _carry(rows, marks, horizon, window_rows):
         *key, F.col("n").isNotNull().alias("_real"),
         F.coalesce(before("n"), F.lit(0)).alias("c_n"), before("s1").alias("c_s1"), before("s2").alias("c_s2"),
         before("mx", F.max).alias("c_mx"), before("mn", F.min).alias("c_mn"),
-        before("last_us", F.max).alias("c_us"),
+        before("last_us", F.max).alias("c_us"), before("first_day", F.min).alias("c_first"),
         F.coalesce(before("nd"), F.lit(0)).alias("c_nd"), F.coalesce(before("nm"), F.lit(0)).alias("c_nm"),
         F.coalesce(before("ne"), F.lit(0)).alias("c_ne")).filter("_real").drop("_real")
 
@@ -88,18 +90,53 @@ def _carry(rows, marks, horizon, window_rows):
     return carry.join(tails.filter("_rn = 1").select(*key, "c_tail"), key, "left")
 
 
-def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: float = 1,
-                     hot_rows: int = HOT_ROWS, chunk_rows: int | None = None, with_merchants: bool = True) -> DataFrame:
+def _carry_profiles(stored, carry, hot_df, rolling_window):
+    """Per customer (per chunk of a hot one): what chunks and stored profiles contribute together."""
+    p = stored.select(S.USER, *[F.col(c).alias(f"p_{c}") for c in ("n", "s1", "s2", "mx", "mn", "nd", "nm", "old", "last_us", "last_day")],
+                      F.transform("tail", lambda t: t["amount"]).alias("p_tail"))
+    if carry is None:
+        c = p
+        for name, kind in (("n", "long"), ("s1", _SUM), ("s2", _SQ), ("mx", _AMT), ("mn", _AMT), ("us", "long"), ("nd", "long"),
+                           ("nm", "long"), ("ne", "long"), ("first", "date"), ("tail", f"array<{_AMT}>")):
+            c = c.withColumn(f"c_{name}", F.lit(None).cast(kind))
+    else:
+        cold = p.join(hot_df, S.USER, "left_anti").withColumn("_chunk", F.lit(-1))
+        c = carry.join(p, S.USER, "left").unionByName(cold, allowMissingColumns=True)
+
+    def total(a, b):
+        return F.coalesce(F.col(a) + F.col(b), a, b)
+
+    none = F.array().cast(f"array<{_AMT}>")
+    tail = F.concat(F.coalesce("p_tail", none), F.coalesce("c_tail", none))
+    return c.select(
+        S.USER, *([] if carry is None else ["_chunk"]), total("c_n", "p_n").alias("c_n"), total("c_s1", "p_s1").cast(_SUM).alias("c_s1"),
+        total("c_s2", "p_s2").cast(_SQ).alias("c_s2"), F.greatest("c_mx", "p_mx").alias("c_mx"), F.least("c_mn", "p_mn").alias("c_mn"),
+        F.coalesce("c_us", "p_last_us").alias("c_us"), total("c_nm", "p_nm").alias("c_nm"), total("c_ne", "p_old").alias("c_ne"),
+        (total("c_nd", "p_nd") - F.coalesce((F.col("c_first") == F.col("p_last_day")).cast("int"), F.lit(0))).alias("c_nd"),
+        F.slice(tail, F.greatest(F.lit(1), F.size(tail) - rolling_window + 1), F.lit(rolling_window)).alias("c_tail"))
+
+
+def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: float = 1, hot_rows: int = HOT_ROWS,
+                     chunk_rows: int | None = None, with_merchants: bool = True, profiles: Profiles | None = None) -> DataFrame:
     """Input rows plus the causal customer features (time_since_prev_txn is null on
-    a customer's first row, see fill_first_gap)."""
+    a customer's first row, see fill_first_gap). With profiles, the rows continue the
+    payments these were built from; rows at or before a profile's end are an error."""
     absent = sorted(_REQUIRED - set(txns.columns))
     if absent:
         raise ValueError(f"features need the columns {absent}; clean the rows first")
     hour = int(velocity_hours * 3600) * 1_000_000
     base = txns.withColumn("_us", _micros(F.col(S.TS)))
-    rank = F.col("_us").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col(S.ROW_ID)
     marks = base.select(S.USER, F.col(f"`{S.MERCHANT}`"), "_us", S.ROW_ID).groupBy(S.USER, S.MERCHANT).agg(
-        F.min("_us").alias("_us"), F.min_by(S.ROW_ID, rank.cast("decimal(38,0)")).alias(S.ROW_ID)).drop(S.MERCHANT)
+        F.min("_us").alias("_us"), F.min_by(S.ROW_ID, place(F.col("_us"), F.col(S.ROW_ID))).alias(S.ROW_ID))
+    ends = carry = hot_df = None
+    if profiles is not None:
+        profiles = profiles.of(txns)
+        profiles.check(txns, rolling_window, velocity_hours)
+        met = profiles.merchants.select(F.col(S.USER).alias("_met_user"), F.col(f"`{S.MERCHANT}`").alias("_met"))
+        marks = marks.join(met, (F.col(S.USER) == F.col("_met_user")) & F.col(f"`{S.MERCHANT}`").eqNullSafe(F.col("_met")), "left_anti")
+        # stored payments of the last hour show up as end markers where they leave it
+        ends = profiles.recent.select(S.USER, (F.col("us") + hour + 1).alias("_us"), F.lit(-2).alias("_from"))
+    marks = marks.drop(S.MERCHANT)
 
     hot = _hot_users(txns, hot_rows)
     if hot:
@@ -118,19 +155,25 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
 
         base, marks = cut(base, F.col("_us")), cut(marks, F.col("_us"))
         hot_rows_df = _measures(base.filter("_chunk >= 0")).select(S.USER, "_chunk", "_us", S.ROW_ID, "_amt", "_sq", "_day")
-        ends = hot_rows_df.select(S.USER, (F.col("_us") + hour + 1).alias("_us"), F.col("_chunk").alias("_from"))
-        horizon = _time_chunk(ends, cuts, F.col("_us"))
-        carry = _carry(hot_rows_df, marks.filter("_chunk >= 0"), horizon, rolling_window)
+        horizon = hot_rows_df.select(S.USER, (F.col("_us") + hour + 1).alias("_us"), F.col("_chunk").alias("_from"))
+        horizon = _time_chunk(horizon, cuts, F.col("_us"))
+        if ends is not None:
+            horizon = horizon.unionByName(cut(ends, F.col("_us")))
+        carry = _carry(hot_rows_df, marks.filter("_chunk >= 0"), horizon.filter("_chunk >= 0"), rolling_window)
         # a payment that leaves the velocity hour in a later chunk shows up there as an end marker
-        ends = horizon.filter("_chunk > _from").select(
-            S.USER, "_chunk", "_us", F.lit(-1).cast("long").alias(S.ROW_ID), F.lit(-1).alias("_kind"))
+        ends = horizon.filter("_chunk > _from")
     else:
         base, marks = base.withColumn("_chunk", F.lit(-1)), marks.withColumn("_chunk", F.lit(-1))
+        if ends is not None:
+            ends = ends.withColumn("_chunk", F.lit(-1))
+    if profiles is not None:
+        carry = _carry_profiles(profiles.customers, carry, hot_df, rolling_window)
 
     stream = base.withColumn("_kind", F.lit(0))
     if with_merchants:
         stream = stream.unionByName(marks.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    if hot:
+    if carry is not None:
+        ends = ends.select(S.USER, "_chunk", "_us", F.lit(-1).cast("long").alias(S.ROW_ID), F.lit(-1).alias("_kind"))
         stream = stream.unionByName(ends, allowMissingColumns=True)
     # first scan: what the neighbours in the merged order say
     part = Window.partitionBy(S.USER, "_chunk")
@@ -139,12 +182,12 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
     extra = {"_prev": F.last(F.when(F.col("_kind") == 0, F.col("_us")), ignorenulls=True).over(before)}
     if with_merchants:
         extra["_new_m"] = F.coalesce((F.lead("_kind").over(merged) == 1).cast("long"), F.lit(0))
-    if hot:
+    if carry is not None:
         extra["_ended"] = F.sum((F.col("_kind") == -1).cast("long")).over(before)
     rows = stream.withColumns(extra).filter("_kind = 0").drop("_kind")
-    if hot:
+    if carry is not None:
         # co-partitioned with the window output: only the small side moves
-        rows = rows.join(carry, [S.USER, "_chunk"], "left").withColumn("_prev", F.coalesce("_prev", "c_us"))
+        rows = rows.join(carry, [S.USER, "_chunk"] if hot else S.USER, "left").withColumn("_prev", F.coalesce("_prev", "c_us"))
     rows = _measures(rows)
     day_before = F.to_date(F.timestamp_micros("_prev"))
     rows = rows.withColumn("_new_d", (day_before.isNull() | (day_before != F.col("_day"))).cast("long"))
@@ -163,7 +206,7 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
     if with_merchants:
         running["_nm"] = F.coalesce(F.sum("_new_m").over(p), F.lit(0))
     rows = rows.withColumns(running).withColumn("_left", F.count(F.lit(1)).over(expired))
-    if hot:
+    if carry is not None:
         short = F.greatest(F.lit(0), F.lit(rolling_window) - F.col("_pos")).cast("int")
         tail = F.coalesce("c_tail", F.array().cast(f"array<{_AMT}>"))
         used = F.slice(tail, F.greatest(F.lit(1), F.size(tail) - short + 1).cast("int"), short)
@@ -174,7 +217,7 @@ def customer_history(txns: DataFrame, rolling_window: int = 5, velocity_hours: f
             "_s2": F.coalesce(F.col("_s2") + F.col("c_s2"), "_s2", "c_s2").cast(_SQ),
             "_mx": F.greatest("_mx", "c_mx"), "_mn": F.least("_mn", "c_mn"),
             "_roll": F.coalesce(F.col("_roll"), F.lit(0).cast(_SUM)) + F.aggregate(
-                used, F.lit(0).cast(_SUM), lambda s, x: (s + x).cast(_SUM)),
+                used, F.lit(0).cast(_SUM), lambda s, x: (s + F.coalesce(x, F.lit(0).cast(_AMT))).cast(_SUM)),
             "_roll_n": F.least(F.col("_pos"), F.lit(rolling_window)) + F.size(used),
             "_left": F.col("_left") + F.coalesce("_ended", none) + F.coalesce("c_ne", none),
         }
@@ -258,18 +301,22 @@ def time_flags(df: DataFrame, business_hours=(9, 17), weekend_days=(5, 6)) -> Da
     })
 
 
-def engineer(txns: DataFrame, fitted: dict | None = None, history: DataFrame | None = None, **options) -> DataFrame:
+def engineer(txns: DataFrame, fitted: dict | None = None, history: DataFrame | None = None,
+             profiles: Profiles | None = None, **options) -> DataFrame:
     """All 14 features, appended in FEATURES order.
 
     fitted may hold gap_median, merchant_stats and merchant_total from training;
-    history holds earlier payments so customer features do not restart."""
+    history holds earlier payments so customer features do not restart, profiles
+    what is stored of them: then nothing but the profiles and txns is read."""
     fitted = fitted or {}
+    if history is not None and profiles is not None:
+        raise ValueError("give history or profiles, not both")
     rows = txns
     if history is not None:
         keep = [F.col(f"`{c}`") for c in txns.columns]
         rows = txns.withColumn("_now", F.lit(True)).unionByName(
             history.select(*keep).withColumn("_now", F.lit(False)))
-    core = customer_history(rows, **options)
+    core = customer_history(rows, profiles=profiles, **options)
     if history is not None:
         core = core.filter("_now").drop("_now")
     median = fitted.get("gap_median")

@@ -115,6 +115,9 @@ def plain(c):
     return f'CAST("{c}" AS DOUBLE) AS "{c}"'
 
 
+#: The features that look at the customer's own payments only.
+OWN_FEATURES = [c for c in S.FEATURES if c.startswith("customer_")] + [
+    "avg_daily_spending", "time_since_prev_txn", "rolling_avg_amount", "transaction_velocity", "merchant_diversity", "amount_deviation_from_customer_mean"]
 FEATURE_LIST = ", ".join(f'"{c}"' if c in INTS else plain(c) for c in S.FEATURES)
 
 
@@ -280,6 +283,18 @@ SELECT round(CASE WHEN "Amount" < lo THEN lo WHEN "Amount" > hi THEN hi ELSE "Am
         "features_full": with_(TXN, HIST) + f"SELECT row_id, {FEATURE_LIST} FROM feats",
         "features_orders": with_(ORDERS, HIST) + f"SELECT row_id, {FEATURE_LIST} FROM feats",
         "features_card": with_(CARD, HIST) + f"SELECT row_id, {FEATURE_LIST} FROM feats",
+        "customer_profiles": T + f""", o AS (SELECT *, epoch_us(transaction_datetime) AS us, CAST(transaction_datetime AS DATE) AS d,
+ row_number() OVER (PARTITION BY "User" ORDER BY transaction_datetime DESC, row_id DESC) AS back,
+ max(epoch_us(transaction_datetime)) OVER (PARTITION BY "User") AS last_us FROM txn),
+m AS (SELECT "User", count(*) AS nm FROM (SELECT DISTINCT "User", "Merchant Name" FROM txn) GROUP BY 1)
+SELECT "User", count(*) AS n, CAST(CAST(sum({DEC}) AS VARCHAR) AS DOUBLE) AS s1, CAST(CAST(sum({SQ}) AS VARCHAR) AS DOUBLE) AS s2,
+ CAST(max({DEC}) AS DOUBLE) AS mx, CAST(min({DEC}) AS DOUBLE) AS mn, count(DISTINCT d) AS nd, any_value(nm) AS nm,
+ count(*) FILTER (WHERE us < last_us - 3600000000) AS old, arg_min(row_id, (us, row_id)) AS first_id, arg_max(row_id, (us, row_id)) AS last_id,
+ CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day,
+ CAST(CAST(sum({DEC}) FILTER (WHERE back <= 5) AS VARCHAR) AS DOUBLE) AS tail_sum FROM o JOIN m USING ("User") GROUP BY 1""",
+        "profiled_features": with_(TXN, HIST) + """, o AS (SELECT row_id, epoch_us(transaction_datetime) AS us FROM txn), c AS (SELECT us AS cut FROM (SELECT us, row_number() OVER (ORDER BY us) AS rn FROM o) WHERE rn = (SELECT greatest(1, CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT)) FROM o))
+SELECT row_id, """ + ", ".join("gap AS time_since_prev_txn" if c == "time_since_prev_txn" else f'"{c}"' if c in INTS else plain(c) for c in OWN_FEATURES) + """
+ FROM feats JOIN (SELECT row_id, gap FROM h0) USING (row_id) JOIN o USING (row_id), c WHERE us > cut""",
         "merchant_stats_lines": L + f""", m AS (SELECT "Merchant Name", count(*) AS m_count, CAST(CAST(sum({DEC}) AS VARCHAR) AS DOUBLE) AS s1, CAST(CAST(sum({SQ}) AS VARCHAR) AS DOUBLE) AS s2 FROM txn GROUP BY 1)
 SELECT "Merchant Name", m_count, round(s1 / m_count, 6) AS m_mean, round(sqrt((m_count * s2 - s1 * s1) / (m_count * (m_count - 1))), 4) AS m_std FROM m""",
         "stratified_split": with_(TXN, split("txn")) + "SELECT row_id, is_fraud, split FROM parts",

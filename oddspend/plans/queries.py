@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from oddspend import schema as S
 from oddspend.functions import sampling
 from oddspend.functions.quantiles import exact_quantiles, grouped_quantiles
-from oddspend.operators import clean as C, encode as E, evaluate as A, explain as X, features as B, insights as I, profile as V
-from oddspend.plans.oracle import CORR_COLS, INTS
+from oddspend.operators import clean as C, encode as E, evaluate as A, explain as X, features as B, insights as I, profile as V, profiles as R
+from oddspend.plans.oracle import CORR_COLS, INTS, OWN_FEATURES
 from oddspend.session import materialize, on_release, shared_dir
 from oddspend.sources import readers, views, writers
 
@@ -153,6 +153,30 @@ def feat_time_since_prev(spark, d):
     return rounded(B.fill_first_gap(h, B.gap_median(h)), ["time_since_prev_txn"], (S.ROW_ID,))
 
 
+def _stretches(spark, d):
+    """Payments in three stretches of time: the first 40 %, up to 80 %, and the rest."""
+    us = F.unix_micros(F.col(S.TS).cast("timestamp"))
+    parts = sampling.time_split(txn(spark, d), us)
+    old = sampling.time_split(parts.filter("split = 'train'").drop("split"), us, 0.5)
+    return [old.filter("split = 'train'").drop("split"), old.filter("split = 'test'").drop("split"), parts.filter("split = 'test'").drop("split")]
+
+
+def customer_profiles(spark, d):
+    """Stored profiles of three stretches, merged: the state of every customer."""
+    a, b, c = map(R.build, _stretches(spark, d))
+    p = R.merge(R.merge(a, b), c).customers
+    return p.select(S.USER, "n", *[F.col(x).cast("double").alias(x) for x in ("s1", "s2", "mx", "mn")], "nd", "nm", "old", "first_id", "last_id",
+                    F.col("first_day").cast("string").alias("first_day"), F.col("last_day").cast("string").alias("last_day"),
+                    F.aggregate("tail", F.lit(0).cast("decimal(28,6)"), lambda s, t: (s + t["amount"]).cast("decimal(28,6)")).cast("double").alias("tail_sum"))
+
+
+def profiled_features(spark, d):
+    """Customer features of the last stretch, from the merged profiles of the earlier two."""
+    a, b, c = _stretches(spark, d)
+    rows = B.customer_history(c, profiles=R.merge(R.build(a), R.build(b)))
+    return rounded(rows, OWN_FEATURES, (S.ROW_ID,))
+
+
 def _merchant(col):
     return lambda spark, d: rounded(B.merchant_features(txn(spark, d)), [col], (S.ROW_ID,))
 
@@ -270,6 +294,8 @@ def queries() -> dict:
         "features_full": lambda spark, d: rounded(B.engineer(txn(spark, d)), S.FEATURES, (S.ROW_ID,)),
         "features_orders": lambda spark, d: rounded(B.engineer(views.txn_orders(spark, d)), S.FEATURES, (S.ROW_ID,)),
         "features_card": lambda spark, d: rounded(card_features(spark, d), S.FEATURES, (S.ROW_ID,)),
+        "customer_profiles": customer_profiles,
+        "profiled_features": profiled_features,
         "merchant_stats_lines": _lines(lambda t: B.merchant_stats(t).select(
             F.col(f"`{S.MERCHANT}`"), "m_count", r6("m_mean"), F.round("m_std", 4).alias("m_std"))),
         "stratified_split": lambda spark, d: sampling.stratified_split(txn(spark, d), S.ROW_ID, S.LABEL).select(S.ROW_ID, S.LABEL, "split"),

@@ -16,6 +16,7 @@ from oddspend.operators.models.iforest import IsolationForest, grow, score_toget
 from oddspend.operators.models.linear import EllipticEnvelope, Mahalanobis, PcaReconstruction
 from oddspend.operators.models.lof import LocalOutlierFactor
 from oddspend.operators.models.ocsvm import OneClassSvm
+from oddspend.operators.profiles import Profiles
 from oddspend.session import materialize
 
 MODELS = {m.name: m for m in (IsolationForest, LocalOutlierFactor, OneClassSvm, Autoencoder, EllipticEnvelope,
@@ -89,18 +90,19 @@ def compare_models(models: dict, test_rows: DataFrame):
 
 
 def score_transactions(raw: DataFrame, prepared: Prepared, models: dict, name: str, stats: str = "batch",
-                       history: DataFrame | None = None) -> DataFrame:
+                       history: DataFrame | None = None, profiles: Profiles | None = None) -> DataFrame:
     """Raw rows plus features, anomaly_score, anomaly_score_normalized, is_anomaly.
 
     stats='batch' recomputes medians, clip bounds and merchant statistics on these
-    rows; 'fitted' uses those of training. history: cleaned earlier rows."""
+    rows; 'fitted' uses those of training. history: cleaned earlier rows; profiles:
+    what is stored of them (profiles.build, profiles.merge), so that they are not read again."""
     if name not in models:
         raise ValueError(f"model '{name}' is not available; have {sorted(models)}")
     if stats not in ("batch", "fitted"):
         raise ValueError("stats is 'batch' or 'fitted'")
     fixed = stats == "fitted"
     rows, _ = C.clean(raw, prepared.clean if fixed else None)
-    feats = B.engineer(rows, prepared.fitted() if fixed else None, history)
+    feats = B.engineer(rows, prepared.fitted() if fixed else None, history, profiles)
     return models[name].score_batch(prepared.encoder.matrix(feats))
 
 
