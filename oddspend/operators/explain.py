@@ -66,9 +66,10 @@ def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID,
     gives sample_size, among so many).
 
     score maps a frame with `features` to the frame plus `anomaly_score`. Rows are
-    numbered once. Each (input, repeat) takes the values of the rows at (a k + b) mod n,
-    with a and n coprime: a permutation that is a join on row numbers, so no window holds
-    the rows of a run."""
+    numbered once. Each repeat pairs row k with row (a k + b) mod n, a and n coprime: a
+    permutation that is a join on row numbers, so no window holds the rows of a run. All
+    inputs of a repeat take their values from the same partner, one input at a time, inside
+    the task that scores them: rows move once a repeat, not once an input and repeat."""
     import math
     import random
 
@@ -80,18 +81,17 @@ def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID,
     base = score(rows).select("_k", F.col("anomaly_score").alias("_base"))
     base = materialize(base, "base_scores")
     shifts = []
-    for j in range(d):
-        for r in range(n_repeats):
+    for r in range(n_repeats):
+        a = rng.randrange(1, max(2, n))
+        while math.gcd(a, max(n, 1)) != 1:
             a = rng.randrange(1, max(2, n))
-            while math.gcd(a, max(n, 1)) != 1:
-                a = rng.randrange(1, max(2, n))
-            shifts.append((j, r, a, rng.randrange(max(1, n))))
-    shifts = F.broadcast(rows.sparkSession.createDataFrame(shifts, "_j int, _r int, _a long, _b long"))  # inputs x repeats
-    runs = rows.join(base, "_k").crossJoin(shifts)
+        shifts.append(F.struct(F.lit(r).alias("r"), F.lit(a).cast("long").alias("a"), F.lit(rng.randrange(max(1, n))).cast("long").alias("b")))
+    runs = rows.join(base, "_k").withColumn("_s", F.explode(F.array(*shifts))).withColumn("_r", F.col("_s.r"))
     # exact products: row numbers may have more than 31 bits
-    target = ((F.col("_a").cast("decimal(19,0)") * F.col("_k") + F.col("_b")) % F.lit(max(n, 1))).cast("long")
+    target = ((F.col("_s.a").cast("decimal(19,0)") * F.col("_k") + F.col("_s.b")) % F.lit(max(n, 1))).cast("long")
     moved = rows.select(F.col("_k").alias("_from"), F.col("features").alias("_other"))
-    shuffled = runs.withColumn("_from", target).join(moved, "_from").withColumn("_new", F.get("_other", F.col("_j")))
+    pairs = runs.withColumn("_from", target).join(moved, "_from").select("_r", "_base", "features", "_other")
+    shuffled = pairs.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(d - 1)))).withColumn("_new", F.get("_other", F.col("_j")))
     shuffled = shuffled.withColumn("features", F.transform("features", lambda x, i: F.when(i == F.col("_j"), F.col("_new")).otherwise(x)))
     delta = score(shuffled.select("_j", "_r", "_base", "features"))
     per_run = delta.groupBy("_j", "_r").agg(F.avg(F.abs(F.col("anomaly_score") - F.col("_base"))).alias("_d"))
