@@ -27,6 +27,37 @@ def test_tree_on_held_out_layouts(tree):
     assert right / total > 0.95
 
 
+PROSE = "The long prose of a paragraph that tells of things at some length, with commas and a full stop at its very end."
+LESS = "A second paragraph is shorter than that but still holds a sentence of its own."
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        # names that may stand around main text
+        (f"<article><h1>T</h1><p class='tags'>{PROSE}</p></article>", ["T", PROSE]),
+        (f"<div class='legal-article'><p>The court held. {PROSE}</p><p>So ordered.</p></div>", [f"The court held. {PROSE}", "So ordered."]),
+        (f"<article><h1>T</h1><p>{LESS}</p><section id='discussion'><h2>Discussion</h2><p>{PROSE}</p></section></article>", ["T", LESS, "Discussion", PROSE]),
+        # layouts that the labelled pages do not have
+        (f"<body><form id='aspnet'><div><a href='/'>Home</a> <a href='/n'>News</a></div><main><h1>Of the town</h1><p>{PROSE}</p></main></form></body>", ["Of the town", PROSE]),
+        (f"<article class='post comments-open'><div class='row no-sidebar'><p>{PROSE}</p></div></article><div class='comment-list'><p>{LESS}</p></div>", [PROSE]),
+        (f"<div><div><a href='/'>Home</a></div><div><a href='/n'>News and more</a></div></div><div><h2>Of the town</h2><div>{PROSE}</div><div>{LESS}</div></div><div><a href='/i'>Imprint</a></div>", ["Of the town", PROSE, LESS]),
+        (f"<table><tr><td><a href='/'>Home</a></td></tr></table><section role='main' class='story'><h1>Of the town</h1><blockquote>{PROSE}</blockquote><p>{LESS}</p><ol><li>{LESS}</li></ol></section><ul class='social'><li><a href='/s'>Share</a></li></ul>", ["Of the town", PROSE, LESS, LESS]),
+        (f"<article><h1>T</h1><p>{PROSE}</p><div class='tags'>Tags: <a href='/x'>one</a>, <a href='/y'>two</a></div><div class='ad'>{PROSE}</div></article><section class='reader-comments'><p>{PROSE}</p></section>", ["T", PROSE]),
+    ],
+)
+def test_pages_in_other_layouts(tree, page, texts):
+    assert page_text.main_text(tree, page) == "\n\n".join(texts)
+
+
+def test_tree_uses_counts_and_neighbours(tree):
+    def used(node):
+        return {page_text.FEATURES[node[0]]} | used(node[2]) | used(node[3]) if isinstance(node, tuple) else set()
+
+    found = used(tree)
+    assert {"words", "links", "group_words", "group_links"} <= found and any(x.endswith(("_before", "_after")) for x in found)
+
+
 def test_what_is_left_out_and_how_text_is_joined(tree):
     page = """<!DOCTYPE html><html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body class="post">
     <header><a href="/">Home</a></header><nav><ul><li><a href="/a">A</a></li></ul></nav>
