@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from oddspend.functions.lookup import lookup_join
 from oddspend.operators.knn import knn
 from oddspend.operators.models.base import OffsetModel
+from oddspend.operators.neighbour_graph import neighbour_graph
 from oddspend.session import materialize
 
 _TINY = 1e-10  # fixed value: keeps the density of identical rows finite
@@ -33,11 +34,16 @@ def outlier_factor(edges: DataFrame, own: DataFrame, reference: DataFrame, n: in
 
 class LocalOutlierFactor(OffsetModel):
     """All training rows are the reference. Training rows do not count themselves
-    as neighbours; include_self=True does count them."""
+    as neighbours; include_self=True does count them. neighbours="graph" takes the training
+    rows' neighbours from the approximate graph, for tables too large for the exact join;
+    rows that come later meet the reference by the exact join."""
     name = "local_outlier_factor"
 
-    def __init__(self, n_neighbors=35, include_self=False, block_rows=None, contamination=0.02, seed=42):
+    def __init__(self, n_neighbors=35, include_self=False, block_rows=None, contamination=0.02, seed=42, neighbours="exact"):
         super().__init__(contamination, seed)
+        if neighbours not in ("exact", "graph"):
+            raise ValueError(f"neighbours must be exact or graph, not {neighbours}")
+        self.neighbours = neighbours
         self.n_neighbors, self.include_self, self.block_rows = n_neighbors, include_self, block_rows
         self.reference, self._edges, self._n, self._k = None, None, 0, n_neighbors
 
@@ -45,7 +51,11 @@ class LocalOutlierFactor(OffsetModel):
         rows = materialize(df.select("row_id", "features"), "lof_rows")
         self._n = rows.count()
         self._k = min(self.n_neighbors, max(1, self._n - 1))
-        edges = materialize(knn(rows, rows, self._k, block_rows=self.block_rows), "lof_edges")
+        if self.neighbours == "graph":
+            found = neighbour_graph(rows, self._k, seed=self.seed).edges
+        else:
+            found = knn(rows, rows, self._k, block_rows=self.block_rows)
+        edges = materialize(found, "lof_edges")
         kdist = edges.groupBy("id").agg(F.max("dist").alias("kdist"))
         lrd = reach_density(edges, kdist, self._n)
         self.reference = materialize(
@@ -67,7 +77,8 @@ class LocalOutlierFactor(OffsetModel):
         return df.join(lof, "row_id")
 
     def _settings(self):
-        return {"n_neighbors": self.n_neighbors, "include_self": self.include_self, "block_rows": self.block_rows}
+        return {"n_neighbors": self.n_neighbors, "include_self": self.include_self, "block_rows": self.block_rows,
+                "neighbours": self.neighbours}
 
     def save(self, spark, path):
         super().save(spark, path)

@@ -8,6 +8,7 @@ from oddspend import schema as S
 from oddspend.operators import explain as X
 from oddspend.operators.encode import Encoder
 from oddspend.operators.knn import knn
+from oddspend.operators.neighbour_graph import neighbour_graph as near_graph
 from oddspend.operators.models.iforest import IsolationForest
 from oddspend.operators.models.linear import Mahalanobis
 from oddspend.operators.models.lof import LocalOutlierFactor, outlier_factor
@@ -41,6 +42,10 @@ def knn_edges(spark, d):
     return knn(v, v, 35).select("id", "nbr", "rank", F.round("dist", 6).alias("dist"))
 
 
+def neighbour_graph(spark, d):
+    return near_graph(views.vectors(spark, d), 35).edges.select("id", "nbr", "rank", F.round("dist", 6).alias("dist"))
+
+
 def lof_score(spark, d):
     m = LocalOutlierFactor().fit(views.vectors(spark, d))
     own = m.reference
@@ -128,6 +133,7 @@ def stream_model_score(spark, d):
 def model_queries() -> dict:
     return {
         "knn_edges": knn_edges,
+        "neighbour_graph": neighbour_graph,
         "lof_score": lof_score,
         "mahalanobis_score": mahalanobis_score,
         "iforest_score": _scores("isolation_forest"),

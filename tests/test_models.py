@@ -7,6 +7,7 @@ from oddspend.operators import evaluate as A, explain as X
 from oddspend.operators.knn import knn
 from oddspend.operators.models.iforest import IsolationForest, path_length
 from oddspend.operators.models.lof import LocalOutlierFactor
+from oddspend.operators.neighbour_graph import measured_recall, neighbour_graph
 from oddspend.operators.models.ocsvm import OneClassSvm
 from oddspend.plans.scoring import MODELS
 
@@ -216,6 +217,28 @@ def test_knn_blocks_equal_brute_force(spark, block):
     np.testing.assert_allclose(got.dist.to_numpy().reshape(300, 6), dist, rtol=1e-12, atol=1e-12)
 
 
+def test_neighbour_graph_against_brute_force(spark):
+    """Clusters in 12 dimensions and a quarter of exact copies, in many small blocks."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(10, 12))[rng.integers(10, size=1200)] * 3 + rng.normal(size=(1200, 12))
+    x[900:] = x[0]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id long, features array<double>")
+    g = neighbour_graph(df.union(df.limit(1).selectExpr("cast(null as long) row_id", "features")), 8, block=64)
+    got = g.edges.orderBy("id", "rank").toPandas()
+    assert len(got) == 1200 * 8 and not (got.id == got.nbr).any() and not got.duplicated(["id", "nbr"]).any()
+    assert np.allclose(got.dist, np.sqrt(((x[got.id] - x[got.nbr]) ** 2).sum(axis=1)))
+    far = brute_knn(x, 8)[1][:, -1]
+    recall = (got.dist.to_numpy() <= far[got.id] * (1 + 1e-9)).mean()
+    assert recall >= 0.95 and g.changed <= 0.002
+    assert abs(measured_recall(g.edges, df, 8, queries=1200) - recall) < 1e-9
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_neighbour_graph_of_few_rows(spark, n):
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(n)], "row_id long, features array<double>")
+    assert neighbour_graph(df, 5).edges.count() == n * (n - 1)
+
+
 def test_lof_equals_definition(spark, data):
     rows = data.orderBy("row_id").collect()
     x = np.array([r.features for r in rows])
