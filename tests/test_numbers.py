@@ -9,6 +9,7 @@ from oddspend import schema as S
 from oddspend.functions import quantiles as Q, sampling
 from oddspend.functions.lookup import lookup_join
 from oddspend.functions.running import running_totals
+from oddspend.operators import insights
 
 
 def frame(spark, values, groups=None):
@@ -69,6 +70,53 @@ def test_grouped_quantiles_with_a_hot_group(spark):
         np.testing.assert_allclose(got[k][1], np.percentile(v[g == k], [25, 50, 75]), rtol=1e-12)
 
 
+def test_a_rank_between_two_heavy_values_ends_the_search(spark):
+    v = [25.0] * 600 + [26.0] * 600 + [27.0] * 3
+    seen = []
+
+    def spy(vals, targets, keys, on_range, join=Q._join_targets):
+        seen.append(len(targets))
+        assert len(seen) < 20, "the bracket does not shrink"
+        return join(vals, targets, keys, on_range)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Q, "_join_targets", spy)
+        for data in (v[:1200], v):
+            want = [float(np.percentile(data, p)) for p in (0, 49.9, 50, 100)]
+            assert Q.exact_quantiles(frame(spark, data), "v", [0, 0.499, 0.5, 1], small=100) == want
+            seen.clear()
+            assert Q.column_quantiles(frame(spark, data), ["v"], [0, 0.499, 0.5, 1], small=100)["v"] == want
+            assert seen[0] == 1  # ranks with one bracket share a pass
+            seen.clear()
+        assert Q.order_statistic(frame(spark, data), F.col("v").cast("long"), 599, small=100) == 25
+
+
+def test_a_column_is_computed_once_for_all_passes(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(x):
+        made.add(1)
+        return x
+
+    df = frame(spark, range(2000)).withColumn("c", costly("v"))
+    assert Q.exact_quantiles(df, "c", [0.5], small=100) == [999.5]
+    assert made.value == 2000
+
+
+def test_box_stats_compute_their_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(x):
+        made.add(1)
+        return x
+
+    df = frame(spark, range(500), [i % 2 for i in range(500)]).withColumn("c", costly("v"))
+    assert [r.n for r in insights.box_stats(df, "g", "c").collect()] == [250, 250]
+    assert made.value == 500
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
     assert Q.exact_quantiles(df, "v", [0.5]) == [2.0]
