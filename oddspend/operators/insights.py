@@ -44,12 +44,12 @@ def log_amount(col=S.AMOUNT):
 
 def box_stats(df: DataFrame, category: str, amount: str = S.AMOUNT) -> DataFrame:
     """Quartiles and 1.5 IQR whiskers per category, biggest category first."""
+    df = materialize(df.select(_q(category), _q(amount).cast("double").alias(amount)), "box_rows")  # read three times
     q = grouped_quantiles(df, [category], amount, [0.25, 0.5, 0.75]).select(
         _q(category), "n", F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    a = _q(amount).cast("double")
     q = materialize(q, "box")
-    rows = df.select(_q(category), a.alias("_a"), F.monotonically_increasing_id().alias("_i"))
+    rows = df.select(_q(category), _q(amount).alias("_a"), F.monotonically_increasing_id().alias("_i"))
     near = lookup_join(rows, q.withColumn("_w", F.col("n")), category, q.count(), "_w", "_i")
     ends = near.groupBy(category).agg(
         F.min(F.when(F.col("_a") >= F.col("q1") - reach, F.col("_a"))).alias("whisker_low"),
