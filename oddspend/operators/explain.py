@@ -61,7 +61,7 @@ def explain_text(rows: DataFrame, stats, row_id: str = S.ROW_ID) -> DataFrame:
 
 
 def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID, n_repeats: int = 5,
-                           sample_size: int | None = None, seed: int = 42) -> DataFrame:
+                           sample_size: int | None = None, seed: int = 42, effects=None) -> DataFrame:
     """Mean |score change| when one input is shuffled among all rows (or, if the caller
     gives sample_size, among so many).
 
@@ -69,7 +69,11 @@ def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID,
     numbered once. Each repeat pairs row k with row (a k + b) mod n, a and n coprime: a
     permutation that is a join on row numbers, so no window holds the rows of a run. All
     inputs of a repeat take their values from the same partner, one input at a time, inside
-    the task that scores them: rows move once a repeat, not once an input and repeat."""
+    the task that scores them: rows move once a repeat, not once an input and repeat.
+
+    effects, if a model has it (IsolationForest.swap_effects), is a function of the columns
+    (features, partner's features) that gives the score changes of all inputs at once; then no
+    swapped row is made."""
     import math
     import random
 
@@ -78,29 +82,41 @@ def permutation_importance(df: DataFrame, names, score, row_id: str = S.ROW_ID,
     rows = running_totals(rows.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0)), ["_all"], row_id, ["_one"])
     rows = materialize(rows.select(row_id, "features", (F.col("cum__one") - 1).cast("long").alias("_k")), "ranked")
     n, rng, d = rows.count(), random.Random(seed), len(names)
-    base = score(rows).select("_k", F.col("anomaly_score").alias("_base"))
-    base = materialize(base, "base_scores")
     shifts = []
     for r in range(n_repeats):
         a = rng.randrange(1, max(2, n))
         while math.gcd(a, max(n, 1)) != 1:
             a = rng.randrange(1, max(2, n))
         shifts.append(F.struct(F.lit(r).alias("r"), F.lit(a).cast("long").alias("a"), F.lit(rng.randrange(max(1, n))).cast("long").alias("b")))
-    runs = rows.join(base, "_k").withColumn("_s", F.explode(F.array(*shifts))).withColumn("_r", F.col("_s.r"))
+    own = rows
+    if effects is None:
+        base = materialize(score(rows).select("_k", F.col("anomaly_score").alias("_base")), "base_scores")
+        own = rows.join(base, "_k")
+    runs = own.withColumn("_s", F.explode(F.array(*shifts))).withColumn("_r", F.col("_s.r"))
     # exact products: row numbers may have more than 31 bits
     target = ((F.col("_s.a").cast("decimal(19,0)") * F.col("_k") + F.col("_s.b")) % F.lit(max(n, 1))).cast("long")
     moved = rows.select(F.col("_k").alias("_from"), F.col("features").alias("_other"))
-    pairs = runs.withColumn("_from", target).join(moved, "_from").select("_r", "_base", "features", "_other")
-    shuffled = pairs.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(d - 1)))).withColumn("_new", F.get("_other", F.col("_j")))
-    shuffled = shuffled.withColumn("features", F.transform("features", lambda x, i: F.when(i == F.col("_j"), F.col("_new")).otherwise(x)))
-    delta = score(shuffled.select("_j", "_r", "_base", "features"))
-    per_run = delta.groupBy("_j", "_r").agg(F.avg(F.abs(F.col("anomaly_score") - F.col("_base"))).alias("_d"))
+    pairs = runs.withColumn("_from", target).join(moved, "_from")
+    if effects is None:
+        per_run = _rescored(pairs, score, d)
+    else:
+        changes = pairs.select("_r", effects("features", "_other").alias("_c"))
+        means = changes.groupBy("_r").agg(F.array(*[F.avg(F.get("_c", F.lit(j))) for j in range(d)]).alias("_m"))
+        per_run = means.select(F.posexplode("_m").alias("_j", "_d"))
     feature = F.get(F.array(*[F.lit(c) for c in names]), F.col("_j"))
     return per_run.groupBy("_j").agg(F.avg("_d").alias("importance")).select(
         feature.alias("feature"), "importance", base_feature(feature).alias("base_feature"),
         describe(base_feature(feature), False).alias("description")).orderBy(F.col("importance").desc(), "feature")
 
 
+def _rescored(pairs: DataFrame, score, d: int) -> DataFrame:
+    """(_j, _r, _d): mean |score change| of a repeat, from a row for every input that is scored anew."""
+    shuffled = pairs.select("_r", "_base", "features", "_other").withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(d - 1)))).withColumn("_new", F.get("_other", F.col("_j")))
+    shuffled = shuffled.withColumn("features", F.transform("features", lambda x, i: F.when(i == F.col("_j"), F.col("_new")).otherwise(x)))
+    delta = score(shuffled.select("_j", "_r", "_base", "features"))
+    return delta.groupBy("_j", "_r").agg(F.avg(F.abs(F.col("anomaly_score") - F.col("_base"))).alias("_d"))
+
+
 def reconstruction_breakdown(errors: DataFrame, names, top_n: int = 5, row_id: str = S.ROW_ID) -> DataFrame:
     """Inputs an autoencoder rebuilt worst, per row. errors has (row_id, feature_errors)."""
     items = F.transform("feature_errors", lambda e, i: F.struct((-e).alias("neg"), i.alias("pos"), e.alias("error")))

@@ -105,7 +105,7 @@ def param_sweep(spark, d):
 
 def permutation_importance(spark, d):
     m = model(spark, d, "isolation_forest")
-    return X.permutation_importance(Q.encoded(spark, d), Q.encoder(spark, d).feature_columns(), m.score)
+    return X.permutation_importance(Q.encoded(spark, d), Q.encoder(spark, d).feature_columns(), m.score, effects=m.swap_effects(spark))
 
 
 def _worst(spark, d):
