@@ -8,6 +8,7 @@ from oddspend.operators.knn import knn
 from oddspend.operators.models.iforest import IsolationForest, path_length
 from oddspend.operators.models.lof import LocalOutlierFactor
 from oddspend.operators.neighbour_graph import measured_recall, neighbour_graph
+from oddspend.operators.models.base import matrix_udf
 from oddspend.operators.models.ocsvm import OneClassSvm
 from oddspend.plans.scoring import MODELS
 
@@ -263,3 +264,57 @@ def test_permutation_importance_of_a_linear_score(spark, data):
     x = np.array([r.features[0] for r in data.collect()])
     expected = 3 * np.abs(x[:, None] - x[None]).mean()
     assert abs(got[0].importance - expected) < 0.25 * expected
+
+
+def test_forest_effects_equal_scoring_every_swapped_row(spark, data):
+    m = IsolationForest(n_estimators=20).fit(data)
+    names = [f"x{i}" for i in range(m.n_features)]
+    calls = []
+
+    def score(rows):
+        calls.append(rows)
+        return m.score(rows)
+
+    slow = {r.feature: r.importance for r in X.permutation_importance(data, names, score).collect()}
+    assert calls
+    calls.clear()
+    fast = {r.feature: r.importance for r in X.permutation_importance(data, names, score, effects=m.swap_effects(spark)).collect()}
+    assert not calls and set(fast) == set(names)
+    for name in names:
+        assert fast[name] == pytest.approx(slow[name], rel=1e-9, abs=1e-15)
+
+
+def test_svm_maps_the_rows_twice_a_step(spark, data, monkeypatch):
+    passes = []
+    real = OneClassSvm._map
+
+    def counted(self):
+        passes.append(1)
+        return real(self)
+
+    monkeypatch.setattr(OneClassSvm, "_map", counted)
+    rows = spark.sparkContext.accumulator(0)
+
+    def counting(self, w):
+        z = real(self)
+
+        def project(x):
+            rows.add(len(x))
+            return z(x) @ w
+
+        return matrix_udf(project)
+
+    monkeypatch.setattr(OneClassSvm, "_projection", counting)
+    m = OneClassSvm(nu=0.1, max_steps=3)
+    m.n_features = len(data.first().features)
+    m._fit(data)
+    steps = len(passes) - 1  # one mean map of all rows, then one a step
+    assert rows.value == data.count() * (steps + 1)  # a projection a step, and that of rho
+
+
+def test_svm_of_equal_rows_keeps_its_mean(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0, 3.0]) for i in range(300)], "row_id long, features array<double>")
+    m = OneClassSvm(nu=0.1)
+    m.n_features = 3
+    m._fit(same)
+    assert m.converged and abs(m.rho - float(m.weights @ m.weights)) < 1e-9
