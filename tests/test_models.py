@@ -218,6 +218,47 @@ def test_knn_blocks_equal_brute_force(spark, block):
     np.testing.assert_allclose(got.dist.to_numpy().reshape(300, 6), dist, rtol=1e-12, atol=1e-12)
 
 
+def test_knn_meetings_emit_only_rows_within_reach(spark, monkeypatch):
+    from oddspend.operators import knn as K
+
+    rng, n, k = np.random.default_rng(3), 1500, 5
+    x = np.repeat(rng.normal(0, 50, (10, 6)), n // 10, axis=0) + rng.normal(0, 1, (n, 6))
+    x[::50] = x[0]  # equal distances
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "row_id long, features array<double>")
+    emitted, real = spark.sparkContext.accumulator(0), K._neighbours
+
+    def counted(*options):
+        meet = real(*options)
+
+        def run(q, r):
+            out = meet(q, r)
+            emitted.add(out.num_rows)
+            return out
+
+        return run
+
+    monkeypatch.setattr(K, "_neighbours", counted)
+    got = {}
+    for r in K.knn(df, df, k, block_rows=30).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.nbr
+    d = np.zeros((n, n))
+    for c in range(6):
+        d += (x[:, None, c] - x[None, :, c]) ** 2
+    d = np.sqrt(d)
+    for i in range(n):
+        order = [j for j in np.lexsort((np.arange(n), d[i])) if j != i][:k]
+        assert [got[i][q] for q in range(1, k + 1)] == order
+    assert emitted.value < 4 * k * n  # a block of every meeting gave k before: over 10 k n
+
+
+def test_rows_that_are_not_finite_are_no_neighbours():
+    from oddspend.operators.knn import _nearest
+
+    y = np.array([[0.0], [np.nan], [1.0], [3.0]])
+    i, j, dist = _nearest(np.array([[0.0], [np.nan]]), y, 4, np.array([2.0, 2.0]))
+    assert (i.tolist(), j.tolist(), dist.tolist()) == ([0, 0], [0, 2], [0.0, 1.0])
+
+
 def test_neighbour_graph_against_brute_force(spark):
     """Clusters in 12 dimensions and a quarter of exact copies, in many small blocks."""
     rng = np.random.default_rng(4)
