@@ -44,7 +44,7 @@ class PcaReconstruction(OutlierModel):
 def _distance_udf(center, precision):
     def score(x):
         c = x - center
-        return np.einsum("ij,jk,ik->i", c, precision, c)
+        return ((c @ precision) * c).sum(axis=1)
     return matrix_udf(score)
 
 
