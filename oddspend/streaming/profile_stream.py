@@ -1,22 +1,23 @@
 """Scores payments as they arrive against a running profile of each customer.
 
-State per customer lives in the state store: counters and exact sums, the last
-amounts, the distinct merchants as map keys, per-timestamp counts of the latest
-velocity hour, and payments that wait for their turn. A payment waits until the
-watermark has passed it, when nothing earlier can arrive any more; then it meets
-the profile in event time, ties by row_id, whatever order it came in. An
-event-time timer releases what waits when its customer stays silent. Payments
-behind the watermark are dropped by Spark.
+State per customer lives in the state store: counters, exact sums, the last amounts
+and per-timestamp counts of the latest velocity hour as one value, with the distinct
+merchants; many merchants lie in buckets, of which a batch reads those it meets; and
+payments that wait for their turn, in chunks. A batch so makes a few calls a customer to the store, not
+some a payment. A payment waits until the watermark has passed it, when nothing
+earlier can arrive any more; then it meets the profile in event time, ties by row_id,
+whatever order it came in. An event-time timer releases what waits when its customer
+stays silent. Payments behind the watermark are dropped by Spark.
 
 `score_stream` gives the customer features; `clean_stream` and `model_scores`
 make a path from raw rows to the score of a fitted model.
 """
 
 import uuid
+from collections import deque
 from decimal import Decimal
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -37,6 +38,19 @@ OUT = StructType([
 OUT_ROWS = StructType([*OUT.fields, StructField("us", LongType()), StructField("row", StringType())])
 _DAY = 86_400_000_000
 _NO_MERCHANT = -(1 << 63)  # stands for null, so that identifiers stay whole numbers
+CHUNK = 1024  # waiting payments of one entry of the store
+BUCKET = 512  # merchants kept in the profile; a customer with more has buckets of so many in the mean
+_ROW = Row(*OUT_ROWS.fieldNames())
+_NEW = (0, "0", "0", None, None, None, 0, [], 0, [], 0, [], [], 0, None)
+
+
+def _in_order(row):
+    return row[:3]
+
+
+def _place(merchant, buckets):
+    """One of the buckets, a power of two, by the middle bits of a product: ids may share their low bits."""
+    return (merchant * 0x9E3779B97F4A7C15 >> 32) & (buckets - 1)
 
 
 class CustomerProfile(StatefulProcessor):
@@ -49,57 +63,80 @@ class CustomerProfile(StatefulProcessor):
         self.handle = handle
         # sums are integers in millionths, as text: exact and unbounded
         self.profile = handle.getValueState(
-            "profile", "n long, s1 string, s2 string, mx long, mn long, last long, days long, recent array<long>, merchants long")
-        self.merchants = handle.getMapState("merchants", "merchant long", "seen boolean")
-        self.hour = handle.getMapState("hour", "us long", "n long")
-        self.waiting = handle.getMapState("waiting", "us long, row_id long, k long", "micro long, merchant long, row string")
-        self.order = handle.getValueState("order", "arrived long, timer long")
+            "profile", "n long, s1 string, s2 string, mx long, mn long, last long, days long, recent array<long>, merchants long, "
+            "own array<long>, buckets long, hour array<long>, hour_n array<long>, arrived long, timer long")
+        # merchants of a customer with more than BUCKET; own holds them up to there
+        self.merchants = handle.getMapState("merchants", "bucket long", "ids array<long>")
+        # us: the earliest time of the chunk; rows in order
+        self.waiting = handle.getMapState(
+            "waiting", "us long, row_id long, k long", "us array<long>, row_id array<long>, k array<long>, micro array<long>, merchant array<long>, row array<string>")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows))
-        arrived, timer = self.order.get() if self.order.exists() else (0, None)
-        fresh = {}
-        for k, (rid, us, micro, merchant, row) in enumerate(zip(pdf[S.ROW_ID], pdf["us"], pdf["micro"], pdf["merchant"], pdf["row"])):
-            fresh[int(us), int(rid), arrived + k] = (int(micro), int(merchant), row)
-        yield self._release(key, fresh, arrived + len(fresh), timer, timerValues)
+        *profile, arrived, timer = self.profile.get() or _NEW
+        fresh = [(r.us, r[S.ROW_ID], arrived + k, r.micro, r.merchant, r.row) for k, r in enumerate(rows)]
+        yield from self._release(key, fresh, profile, arrived + len(fresh), timer, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        arrived, _ = self.order.get()
-        yield self._release(key, {}, arrived, None, timerValues)
+        *profile, arrived, _ = self.profile.get()
+        yield from self._release(key, [], profile, arrived, None, timerValues)
 
-    def _release(self, key, fresh, arrived, timer, timerValues):
+    def _release(self, key, fresh, profile, arrived, timer, timerValues):
         """Scores all rows that the watermark has passed, in order; keeps the others."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        stored = {tuple(k): tuple(v) for k, v in self.waiting.iterator()}
-        ready = sorted((k, v) for k, v in [*stored.items(), *fresh.items()] if k[0] <= passed)
-        for k in stored:
-            if k[0] <= passed:
+        ready, later, due = [r for r in fresh if r[0] <= passed], [r for r in fresh if r[0] > passed], []
+        if arrived > len(fresh):
+            for k, chunk in list(self.waiting.iterator()):
+                if k[0] > passed:
+                    due.append(k[0])
+                    continue
                 self.waiting.removeKey(k)
-        for k, v in fresh.items():
-            if k[0] > passed:
-                self.waiting.updateValue(k, v)
-        due = min((k[0] for k in [*stored, *fresh] if k[0] > passed), default=None)
-        due = None if due is None else -(-due // 1000)
+                for r in zip(*chunk):
+                    (ready if r[0] <= passed else later).append(r)
+        later.sort(key=_in_order)
+        for at in range(0, len(later), CHUNK):
+            part = later[at:at + CHUNK]
+            self.waiting.updateValue(part[0][:3], tuple(list(c) for c in zip(*part)))
+            due.append(part[0][0])
+        due = -(-min(due) // 1000) if due else None
         if due != timer:
             if timer is not None:
                 self.handle.deleteTimer(timer)
             if due is not None:
                 self.handle.registerTimer(due)
-        self.order.update((arrived, due))
+        ready.sort(key=_in_order)
         if self.unique:
-            ready = list({(k[0], *v): (k, v) for k, v in reversed(ready)}.values())[::-1]
-        return pd.DataFrame(self._score(key[0], ready) if ready else [], columns=OUT_ROWS.fieldNames())
-
-    def _score(self, user, ready):
-        if self.profile.exists():
-            n, s1, s2, mx, mn, last, days, recent, merchants = self.profile.get()
-            s1, s2, recent = int(s1), int(s2), list(recent)
-        else:
-            n, s1, s2, mx, mn, last, days, recent, merchants = 0, 0, 0, None, None, None, 0, [], 0
-        hour = {k[0]: v[0] for k, v in self.hour.iterator()}
-        stored, out = dict(hour), []
-        for (us, rid, _), (a, merchant, row) in ready:
-            hour = {k: v for k, v in hour.items() if k >= us - self.span}
+            ready = list({(r[0], *r[3:]): r for r in reversed(ready)}.values())[::-1]
+        out, profile = self._score(key[0], ready, profile) if ready else ([], profile)
+        self.profile.update((*profile, arrived, due))
+        return out
+
+    def _bucket(self, i):
+        return set(self.merchants.getValue((i,))[0]) if self.merchants.containsKey((i,)) else set()
+
+    def _add_merchants(self, buckets, count, found):
+        """found: {bucket: merchants} as they are now; without buckets, all under -1. Returns (merchants
+        to keep beside the profile, number of buckets), doubled while they are too full."""
+        if count <= BUCKET:
+            return sorted(found[-1]), 0
+        wanted = max(1, buckets)
+        while count > BUCKET * wanted:
+            wanted *= 2
+        if wanted > buckets:
+            every = found[-1] if not buckets else [m for i in range(buckets) for m in (found[i] if i in found else self._bucket(i))]
+            found = {i: [] for i in range(wanted)}
+            for m in every:
+                found[_place(m, wanted)].append(m)
+        for i, ids in found.items():
+            self.merchants.updateValue((i,), (sorted(ids),))
+        return [], wanted
+
+    def _score(self, user, ready, profile):
+        n, s1, s2, mx, mn, last, days, recent, merchants, own, buckets, times, counts = profile
+        s1, s2, recent, hour = int(s1), int(s2), list(recent), deque(zip(times, counts))
+        within, out, known, added = sum(counts), [], {-1: set(own)}, {}
+        for us, rid, _, a, merchant, row in ready:
+            while hour and hour[0][0] < us - self.span:
+                within -= hour.popleft()[1]
             x = a / 1e6
             mean = (s1 / 1e6) / n if n else x
             dev = 0.0
@@ -108,28 +145,33 @@ class CustomerProfile(StatefulProcessor):
                 var = (n * f2 - f1 * f1) / (n * (n - 1))
                 dev = (x - mean) / var ** 0.5 if var > 0 else 0.0
             d = max(1, days)
-            out.append((
+            out.append(_ROW(
                 rid, user, mean, mx / 1e6 if n else x, n, s1 / 1e6 / d,
                 None if last is None else (us - last) / 6e7,
                 sum(recent) / 1e6 / len(recent) if recent else x,
-                sum(hour.values()), merchants, float(n) / d, dev, us, row))
+                within, merchants, float(n) / d, dev, us, row))
             if last is None or us // _DAY != last // _DAY:
                 days += 1
             n, s1, s2 = n + 1, s1 + a, s2 + a * a
             mx, mn = (a, a) if mx is None else (max(mx, a), min(mn, a))
             recent = (recent + [a])[-self.window:]
-            hour[us] = hour.get(us, 0) + 1
+            if hour and hour[-1][0] == us:
+                hour[-1] = (us, hour[-1][1] + 1)
+            else:
+                hour.append((us, 1))
+            within += 1
             last = us
-            if merchant != _NO_MERCHANT and not self.merchants.containsKey((merchant,)):
-                self.merchants.updateValue((merchant,), (True,))
-                merchants += 1
-        for k in stored.keys() - hour.keys():
-            self.hour.removeKey((k,))
-        for k, v in hour.items():
-            if stored.get(k) != v:
-                self.hour.updateValue((k,), (v,))
-        self.profile.update((n, str(s1), str(s2), mx, mn, last, days, recent, merchants))
-        return out
+            if merchant != _NO_MERCHANT:
+                at = _place(merchant, buckets) if buckets else -1
+                if at not in known:
+                    known[at] = self._bucket(at)
+                if merchant not in known[at]:
+                    known[at].add(merchant)
+                    added[at] = known[at]
+                    merchants += 1
+        if added:
+            own, buckets = self._add_merchants(buckets, merchants, added)
+        return out, (n, str(s1), str(s2), mx, mn, last, days, recent, merchants, own, buckets, [h[0] for h in hour], [h[1] for h in hour])
 
     def close(self) -> None:
         pass
@@ -140,7 +182,7 @@ def _profiles(txns: DataFrame, watermark: str, row, **options) -> DataFrame:
         F.coalesce(S.ROW_ID, F.lit(-1)).alias(S.ROW_ID), S.USER, "event", F.unix_micros("event").alias("us"),
         F.coalesce((F.col(S.AMOUNT).cast("decimal(18,6)") * F.lit(Decimal(1000000))).cast("long"), F.lit(0)).alias("micro"),
         F.coalesce(F.col(f"`{S.MERCHANT}`").cast("long"), F.lit(_NO_MERCHANT)).alias("merchant"), row.alias("row"))
-    return rows.groupBy(S.USER).transformWithStateInPandas(
+    return rows.groupBy(S.USER).transformWithState(
         statefulProcessor=CustomerProfile(**options), outputStructType=OUT_ROWS, outputMode="Append", timeMode="EventTime")
 
 

@@ -161,3 +161,46 @@ def test_release_removes_only_intermediate_tables(spark, tmp_path, monkeypatch):
     path = session._written[0]
     assert df.count() == 5 and session.release(spark) == 1
     assert not os.path.exists(path.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
+
+
+def test_state_store_is_asked_a_few_times_a_customer(monkeypatch):
+    """Not some times a payment; merchants move into more buckets and none is counted twice."""
+    from types import SimpleNamespace as Fake
+
+    from pyspark.sql import Row
+
+    calls = []
+
+    class Value(Fake):
+        kept = None
+
+        def get(self):
+            calls.append("get")
+            return self.kept
+
+        def update(self, value):
+            calls.append("update")
+            self.kept = value
+
+    class Map(dict):
+        def iterator(self):
+            calls.append("iterator")
+            return iter(list(self.items()))
+
+        def __getattr__(self, name):
+            do = {"updateValue": self.__setitem__, "removeKey": self.__delitem__, "containsKey": self.__contains__, "getValue": self.__getitem__}[name]
+            return lambda *x: calls.append(name) or do(*x)
+
+    count = lambda *x: calls.append("timer")
+    monkeypatch.setattr(stream, "BUCKET", 40, raising=False)
+    profile = stream.CustomerProfile()
+    profile.init(Fake(getValueState=lambda *x: Value(), getMapState=lambda *x: Map(), registerTimer=count, deleteTimer=count))
+    rows = [Row(row_id=i, us=i * 10_000_000, micro=1_000_000 + i, merchant=(i % 300) * 1024, row=None) for i in range(900)]
+    seen, now = [], Fake(getCurrentWatermarkInMs=lambda: -1)
+    for at in (0, 300, 600, 900):
+        seen += profile.handleInputRows((7,), iter(rows[at:at + 300]), now) if at < 900 else profile.handleExpiredTimer((7,), now, None)
+        now = Fake(getCurrentWatermarkInMs=lambda at=at: (at + 300) * 10_000 - 1)
+    assert [r.row_id for r in seen] == list(range(900)) and len(calls) < 100
+    assert [r.merchant_diversity for r in seen] == [min(i, 300) for i in range(900)]
+    assert [r.transaction_velocity for r in seen] == [min(i, 360) for i in range(900)]
+    assert len(profile.merchants) == 8 and sum(len(v[0]) for v in profile.merchants.values()) == 300 and not profile.waiting
