@@ -199,6 +199,34 @@ def test_autoencoder_gradient():
         assert abs(num - g[i]) < 1e-6
 
 
+def test_autoencoder_packs_every_row_once():
+    import pyarrow as pa
+
+    from oddspend.operators.models import autoencoder as mod
+
+    x, held = np.arange(42.0).reshape(14, 3), np.arange(14) % 4 == 0
+    batches = [pa.RecordBatch.from_pydict({"features": x[i:j].tolist(), "held": held[i:j]}) for i, j in ((0, 9), (9, 10), (10, 14))]
+    blocks = list(mod._pack(iter(batches)))
+    got = [np.concatenate([v for b in blocks for v in mod._unpacked(b.column(i), 3)]) for i in (0, 1)]
+    np.testing.assert_array_equal(got[0], x[~held])
+    np.testing.assert_array_equal(got[1], x[held])
+
+
+def test_autoencoder_gradient_in_single_precision():
+    """Steps run in the precision of the weights, with the same draws and the same result up to rounding."""
+    from oddspend.operators.models.autoencoder import Net
+
+    rng = np.random.default_rng(0)
+    net = Net([5, 8, 4, 8, 5], 0.3)
+    flat, x = net.start(rng), rng.normal(size=(64, 5))
+    loss, g = net.gradient(flat.copy(), x, np.random.default_rng(1))
+    small = flat.astype(np.float32)
+    low, h = net.gradient(small, x.astype(np.float32), np.random.default_rng(1))
+    assert h.dtype == small.dtype == np.float32 and g.dtype == float
+    np.testing.assert_allclose(h, g, atol=1e-5)
+    assert abs(low - loss) < 1e-5
+
+
 def brute_knn(x, k):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     np.fill_diagonal(d, np.inf)
