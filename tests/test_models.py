@@ -199,6 +199,24 @@ def test_autoencoder_gradient():
         assert abs(num - g[i]) < 1e-6
 
 
+def test_rows_of_large_samples_are_written_once_and_not_once_a_tree(spark, data, monkeypatch):
+    from oddspend.operators.models import iforest as mod
+
+    written, real = [], mod.materialize
+
+    def counted(df, *a, **options):
+        table = real(df, *a, **options)
+        written.append(table.count())
+        return table
+
+    monkeypatch.setattr(mod, "GROUP", 25)
+    monkeypatch.setattr(mod, "materialize", counted)
+    m = mod.IsolationForest(n_estimators=12, max_samples=0.5)
+    m.n_features = 6
+    m._fit(data)
+    assert m.nodes[0].count() > 12 and max(written) <= data.count()
+
+
 def test_autoencoder_packs_every_row_once():
     import pyarrow as pa
 
