@@ -1,5 +1,7 @@
 """Running totals along one global order without a single-task window."""
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F, Window
 
@@ -11,11 +13,11 @@ def value_cuts(df: DataFrame, col: str, buckets: int):
     balance of the buckets depends on them, never a result."""
     probs = [i / buckets for i in range(1, buckets)]
     got = df.agg(F.percentile_approx(col, probs, max(10000, 20 * buckets)).alias("q")).first().q or []
-    return [float("-inf"), *sorted({float(v) for v in got}), float("inf")]
+    return [float("-inf"), *sorted({float(v) for v in got if math.isfinite(v)}), float("inf")]
 
 
 def bucket_of(df: DataFrame, col: str, cuts, out: str) -> DataFrame:
-    """Index of the interval [cut, next cut) that holds the value (binary search)."""
+    """Index of the interval [cut, next cut) that holds the value (binary search); NaN has one of its own."""
     if len(cuts) < 3:
         return df.withColumn(out, F.lit(0))
     b = Bucketizer(splits=cuts, inputCol=col, outputCol=out, handleInvalid="keep")
@@ -33,7 +35,8 @@ def running_totals(df: DataFrame, keys, order: str, sums, descending=False, smal
         w = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums})
     cuts = value_cuts(df.withColumn("_o", F.col(order).cast("double")), "_o", max(2, -(-4 * n // small)))
-    cut = bucket_of(df.withColumn("_o", F.col(order).cast("double")), "_o", cuts, "_b").drop("_o")
+    cut = bucket_of(df.withColumn("_o", F.col(order).cast("double")), "_o", cuts, "_b")
+    cut = cut.withColumn("_b", F.when(F.col("_o").isNull(), -1).otherwise(F.col("_b"))).drop("_o")  # null is lowest in Spark's order
     wb = Window.partitionBy(*keys).orderBy(F.col("_b").desc() if descending else F.col("_b").asc()).rowsBetween(
         Window.unboundedPreceding, -1)
     totals = cut.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

@@ -133,6 +133,14 @@ def test_running_totals_in_buckets(spark, descending):
     assert got.cum_x.tolist() == want.groupby("g").x.cumsum().tolist()
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_of_null_nan_and_infinite_values(spark, descending):
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    df = spark.createDataFrame([(g, v, 1) for g in "ab" for v in values], "g string, o double, x long")
+    whole, cut = ({(r.g, str(r.o)): r.cum_x for r in running_totals(df, ["g"], "o", ["x"], descending, small=n).collect()} for n in (100, 4))
+    assert whole == cut and len(cut) == 20
+
+
 def test_samples_have_exact_size_and_are_whole(spark):
     df = frame(spark, range(1000), [i % 37 for i in range(1000)])
     for k in (0, 1, 250, 1000, 5000):
