@@ -90,7 +90,13 @@ class Encoder:
 
     def matrix(self, df: DataFrame) -> DataFrame:
         """transform plus `features` ARRAY<DOUBLE> in feature_columns order."""
-        return self.transform(df).withColumn("features", F.array(*[F.col(f"`{c}`") for c in self.feature_columns()]))
+        if self.freq is None:
+            raise RuntimeError("encoder used before fit")
+        return self.assemble(self.encode_frequencies(df))
+
+    def assemble(self, looked_up: DataFrame) -> DataFrame:
+        """matrix of rows that encode_frequencies went over: no join, arithmetic inside the row."""
+        return scale(looked_up, self.scaler).withColumn("features", F.array(*[F.col(f"`{c}`") for c in self.feature_columns()]))
 
     def save(self, path: str):
         spark = self.freq.sparkSession

@@ -16,14 +16,19 @@ _tables: dict = {}
 on_release(_tables.clear)
 
 
-def shared(spark, folder, name, build, parallel=False) -> DataFrame:
-    """A derived table several queries start from, written once per session and folder."""
+def once(spark, folder, name, build):
+    """What several queries start from, built once per session and folder."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _tables:
-        _tables[key] = materialize(build(), name, parallel)
+        _tables[key] = build()
     return _tables[key]
 
 
+def shared(spark, folder, name, build, parallel=False) -> DataFrame:
+    """A derived table several queries start from, written once per session and folder."""
+    return once(spark, folder, name, lambda: materialize(build(), name, parallel))
+
+
 def r6(c, alias=None):
     return F.round(F.col(f"`{c}`"), 6).alias(alias or c)
 
@@ -41,7 +46,7 @@ def features(spark, d):
 
 
 def card(spark, d):
-    return shared(spark, d, "card", lambda: C.clean(views.raw_card(spark, d))[0])
+    return once(spark, d, "card", lambda: C.clean(views.raw_card(spark, d))[0])  # clipping over a table that cleaning wrote
 
 
 def card_features(spark, d):
@@ -49,18 +54,21 @@ def card_features(spark, d):
 
 
 def card_split(spark, d):
-    return shared(spark, d, "card_split", lambda: sampling.stratified_split(card_features(spark, d), S.ROW_ID, S.LABEL))
+    # a condition on the id's hash, cheaper to compute than to write
+    return once(spark, d, "card_split", lambda: sampling.stratified_split(card_features(spark, d), S.ROW_ID, S.LABEL))
 
 
 def encoder(spark, d):
-    key = (spark.sparkContext.applicationId, d, "encoder")
-    if key not in _tables:
-        _tables[key] = E.Encoder().fit(card_split(spark, d).filter("split = 'train'"))
-    return _tables[key]
+    return once(spark, d, "encoder", lambda: E.Encoder().fit(card_split(spark, d).filter("split = 'train'")))
+
+
+def looked_up(spark, d):
+    return shared(spark, d, "looked_up", lambda: encoder(spark, d).encode_frequencies(card_split(spark, d)), parallel=True)
 
 
 def encoded(spark, d):
-    return shared(spark, d, "encoded", lambda: encoder(spark, d).matrix(card_split(spark, d)), parallel=True)
+    """Only what needs a join is written; scaling and the array are arithmetic on it."""
+    return once(spark, d, "encoded", lambda: encoder(spark, d).assemble(looked_up(spark, d)))
 
 
 def two_scores(spark, d):

@@ -204,3 +204,26 @@ def test_state_store_is_asked_a_few_times_a_customer(monkeypatch):
     assert [r.merchant_diversity for r in seen] == [min(i, 300) for i in range(900)]
     assert [r.transaction_velocity for r in seen] == [min(i, 360) for i in range(900)]
     assert len(profile.merchants) == 8 and sum(len(v[0]) for v in profile.merchants.values()) == 300 and not profile.waiting
+
+
+def _written_by(build):
+    """Names of the intermediate tables a call writes, with their columns."""
+    from oddspend import session
+
+    first = len(session._written)
+    build()
+    return {p.rsplit("/", 1)[-1].rsplit("-", 1)[0]: p for p in session._written[first:]}
+
+
+def test_shared_rows_are_not_copied_for_arithmetic(spark):
+    from oddspend.plans import queries as Q
+
+    folder = f"{TINY}/"  # a key of its own, so that the tables are built here
+    names = _written_by(lambda: Q.encoded(spark, folder))
+    assert not {"card", "card_split", "encoded"} & set(names)
+    kept = spark.read.parquet(names["looked_up"]).columns
+    assert "features" not in kept and not [c for c in kept if c.endswith("_scaled")]
+    a = Q.encoded(spark, folder).select("row_id", "split", "features").orderBy("row_id").toPandas()
+    b = Q.encoder(spark, folder).matrix(Q.card_split(spark, folder)).select("row_id", "split", "features").orderBy("row_id").toPandas()
+    assert len(a) > 0 and a["row_id"].equals(b["row_id"]) and a["split"].equals(b["split"])
+    assert [list(x) for x in a["features"]] == [list(x) for x in b["features"]]
