@@ -99,7 +99,7 @@ class OutlierModel:
         self.n_features = len(head.features)
         self._fit(df)
         self.fit_seconds = round(time.perf_counter() - start, 4)
-        cut = exact_quantiles(materialize(self._training_score(df).select("_raw"), "scores"), "_raw", [1 - self.contamination])[0]
+        cut = exact_quantiles(self._training_score(df), "_raw", [1 - self.contamination])[0]
         self._set_threshold(cut)
         return self
 
@@ -129,10 +129,12 @@ class OutlierModel:
         self._check()
         return scored.withColumn("is_anomaly", (F.col("anomaly_score") >= F.lit(float(self.threshold))).cast("int"))
 
-    def score_batch(self, df: DataFrame) -> DataFrame:
+    def score_batch(self, df: DataFrame, keep_features: bool = True) -> DataFrame:
         """anomaly_score, anomaly_score_normalized (min-max of this batch) and is_anomaly.
-        Rows are scored once, written, and the rest is derived from the table."""
-        return self.flag(normalize(materialize(self.score(df), "scored")))
+        Rows are scored once, written with all their columns (without `features`, if the caller
+        has no use for it), and the rest is derived from the table."""
+        scored = self.score(df)
+        return self.flag(normalize(materialize(scored if keep_features else scored.drop("features"), "scored")))
 
     def params(self):
         return {"name": self.name, "contamination": self.contamination, "seed": self.seed, "threshold": self.threshold,

@@ -31,7 +31,7 @@ def model(spark, d, name):
 def _scores(name):
     def run(spark, d):
         m = model(spark, d, name)
-        return m.score_batch(Q.encoded(spark, d)).select(
+        return m.score_batch(Q.encoded(spark, d).select(S.ROW_ID, "split", "features"), keep_features=False).select(
             S.ROW_ID, "split", F.round("anomaly_score", 6).alias("anomaly_score"),
             F.round("anomaly_score_normalized", 6).alias("anomaly_score_normalized"), "is_anomaly")
     return run
@@ -84,7 +84,7 @@ def score_batch(spark, d):
     model(spark, d, "isolation_forest").save(spark, f"{folder}/forest")
     prepared = P.Prepared(Q.encoded(spark, d), Encoder.load(spark, f"{folder}/encoder"), None, 0.0, None, 0)
     models = {"isolation_forest": IsolationForest.load(spark, f"{folder}/forest")}
-    out = P.score_transactions(readers.read_csv(spark, source), prepared, models, "isolation_forest").drop("features")
+    out = P.score_transactions(readers.read_csv(spark, source), prepared, models, "isolation_forest", keep_features=False)
     path = writers.write_csv(out, writers.scored_path(source, "isolation_forest"))
     return spark.read.schema(out.schema).option("header", True).csv(path)
 

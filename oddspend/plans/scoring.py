@@ -90,8 +90,9 @@ def compare_models(models: dict, test_rows: DataFrame):
 
 
 def score_transactions(raw: DataFrame, prepared: Prepared, models: dict, name: str, stats: str = "batch",
-                       history: DataFrame | None = None, profiles: Profiles | None = None) -> DataFrame:
-    """Raw rows plus features, anomaly_score, anomaly_score_normalized, is_anomaly.
+                       history: DataFrame | None = None, profiles: Profiles | None = None, keep_features: bool = True) -> DataFrame:
+    """Raw rows plus features, anomaly_score, anomaly_score_normalized, is_anomaly. Without
+    keep_features the array `features` is left out; its parts are columns anyway.
 
     stats='batch' recomputes medians, clip bounds and merchant statistics on these
     rows; 'fitted' uses those of training. history: cleaned earlier rows; profiles:
@@ -103,7 +104,7 @@ def score_transactions(raw: DataFrame, prepared: Prepared, models: dict, name: s
     fixed = stats == "fitted"
     rows, _ = C.clean(raw, prepared.clean if fixed else None)
     feats = B.engineer(rows, prepared.fitted() if fixed else None, history, profiles)
-    return models[name].score_batch(prepared.encoder.matrix(feats))
+    return models[name].score_batch(prepared.encoder.matrix(feats), keep_features)
 
 
 def save(path: str, prepared: Prepared, models: dict):

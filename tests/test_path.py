@@ -227,3 +227,16 @@ def test_shared_rows_are_not_copied_for_arithmetic(spark):
     b = Q.encoder(spark, folder).matrix(Q.card_split(spark, folder)).select("row_id", "split", "features").orderBy("row_id").toPandas()
     assert len(a) > 0 and a["row_id"].equals(b["row_id"]) and a["split"].equals(b["split"])
     assert [list(x) for x in a["features"]] == [list(x) for x in b["features"]]
+
+
+def test_scores_are_written_without_their_inputs(spark):
+    from oddspend.plans import model_queries as M, queries as Q
+
+    Q.encoded(spark, TINY), M.model(spark, TINY, "pca_reconstruction")
+    names = _written_by(lambda: M._scores("pca_reconstruction")(spark, TINY))
+    assert set(spark.read.parquet(names["scored"]).columns) == {"row_id", "split", "anomaly_score"}
+    m = M.model(spark, TINY, "pca_reconstruction")
+    whole = m.score_batch(Q.encoded(spark, TINY)).orderBy("row_id").toPandas()
+    short = m.score_batch(Q.encoded(spark, TINY), keep_features=False).orderBy("row_id").toPandas()
+    assert "features" in whole and "features" not in short
+    assert whole.drop(columns="features").equals(short)
