@@ -4,7 +4,9 @@ nearly all blocks (many dimensions).
 A forest of random projections gives the start: every tree cuts the rows into blocks of bounded
 size, in which all distances are compared. Rounds of NN-descent (Dong et al. 2011) then let the
 neighbours of a row, and those that it is a neighbour of, meet each other. A round that changes
-less than `settled` of the edges is the last. Work and shuffle grow with rows x k.
+less than `settled` of the edges is the last. Work and shuffle grow with rows x k: the meetings
+of a block of the first tree are one group, to which a vector goes once for all its meetings there;
+vectors that single precision holds exactly travel in it. Distances are in double precision.
 
 Null ids take no part; ids must be unique; ties in distance go to the lower id. Exact copies fall
 into blocks by the hash of their id, so that no block grows with them.
@@ -46,6 +48,16 @@ def _grow(x: np.ndarray, depth: int, rng) -> list:
     return planes
 
 
+def _matrix(col) -> np.ndarray:
+    return to_matrix(col).astype(float, copy=False)
+
+
+def _single(rows: DataFrame) -> DataFrame:
+    """Rows with `features` in single precision if that loses no digit of any of them."""
+    lossy = F.exists("features", lambda v: v.cast("float").cast("double") != v.cast("double"))
+    return rows if not rows.filter(lossy).isEmpty() else rows.withColumn("features", F.col("features").cast("array<float>"))
+
+
 def _leaves(forest: list, depth: int):
     """(tree, leaf, place along a direction of the tree) of a row, for every tree."""
     ways = [np.array([w for w, _ in planes]) for planes, _ in forest]
@@ -53,7 +65,7 @@ def _leaves(forest: list, depth: int):
 
     @F.arrow_udf("array<struct<tree:int,leaf:int,place:double>>")
     def assign(col: pa.Array) -> pa.Array:
-        x = to_matrix(col) if len(col) else np.zeros((0, 1))
+        x = _matrix(col) if len(col) else np.zeros((0, 1))
         trees, leaf, place = [], [], []
         for t, (_, along) in enumerate(forest):
             at = np.zeros(len(x), dtype=np.int64)
@@ -102,7 +114,7 @@ def _best(dist, ids, k):
 
 def _compare_block(k):
     def run(rows: pa.Table) -> pa.Table:
-        ids, x = rows["id"].to_numpy(), to_matrix(rows["features"])
+        ids, x = rows["id"].to_numpy(), _matrix(rows["features"])
         dist = _distances(x, x)
         i, j = _best(dist, ids, k)
         return pa.table([ids[i], ids[j], dist[i, j]], schema=_SHAPE)
@@ -110,34 +122,44 @@ def _compare_block(k):
 
 
 def _meet(k):
-    """Members of each meeting of a group are compared; what is no farther than a member's k-th
-    neighbour goes out, once a group."""
+    """Members of each meeting of a group are compared; of what is no farther than a member's k-th
+    neighbour, its k nearest go out, once a group."""
     def run(rows: pa.Table) -> pa.Table:
-        host, ids = rows["host"].to_numpy(), rows["id"].to_numpy()
-        limit, x = rows["kdist"].to_numpy(), to_matrix(rows["features"])
-        order = np.lexsort((ids, host))
+        hosts = rows["hosts"].combine_chunks()
+        host, at = hosts.flatten().to_numpy(), np.repeat(np.arange(len(rows)), hosts.value_lengths().to_numpy())
+        ids, limit, x = rows["id"].to_numpy(), rows["kdist"].to_numpy(), _matrix(rows["features"])
+        order = np.lexsort((ids[at], host))
+        host, at = host[order], at[order]
         out = []
-        for part in np.split(order, np.flatnonzero(np.diff(host[order])) + 1):
+        for part in np.split(at, np.flatnonzero(np.diff(host)) + 1):
             part = part[np.r_[True, np.diff(ids[part]) != 0]]  # neighbours in both directions
             dist = _distances(x[part], x[part])
             i, j = _best(dist, part, k)
             near = dist[i, j] <= limit[part[i]]
             i, j = i[near], j[near]
             out.append((ids[part[i]], ids[part[j]], dist[i, j]))
-        if not out:
-            return _SHAPE.empty_table()
         a, b, d = (np.concatenate(v) for v in zip(*out))
         order = np.lexsort((b, a))
-        first = order[np.r_[True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)]] if len(order) else order
-        return pa.table([a[first], b[first], d[first]], schema=_SHAPE)
+        a, b, d = a[order], b[order], d[order]
+        once = np.r_[True, (np.diff(a) != 0) | (np.diff(b) != 0)] if len(a) else order
+        a, b, d = a[once], b[once], d[once]
+        order = np.lexsort((b, d, a))
+        a, b, d = a[order], b[order], d[order]
+        starts = np.flatnonzero(np.r_[True, np.diff(a) != 0]) if len(a) else order
+        place = np.arange(len(a)) - np.repeat(starts, np.diff(np.r_[starts, len(a)]))
+        return pa.table([a[place < k], b[place < k], d[place < k]], schema=_SHAPE)
     return run
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each id among (id, nbr, dist), with rank."""
-    once = found.groupBy("id", "nbr").agg(F.min("dist").alias("dist"))
-    ranked = top_per_group(once, ["id"], [F.col("dist"), F.col("nbr")], k)
-    return ranked.select("id", "nbr", "dist")
+    """The k nearest of each id among (id, nbr, dist, new); `gain` marks new ones nearer than the
+    k-th that is not new. Rows move once, by id."""
+    once = found.repartition("id").groupBy("id", "nbr").agg(F.min("dist").alias("dist"), F.min("new").alias("new"))
+    own = Window.partitionBy("id")
+    old = F.when(~F.col("new"), F.col("dist"))
+    kdist = F.when(F.count(old).over(own) >= k, F.max(old).over(own)).otherwise(float("inf"))
+    ranked = top_per_group(once.withColumn("gain", F.col("new") & (F.col("dist") < kdist)), ["id"], [F.col("dist"), F.col("nbr")], k)
+    return ranked.select("id", "nbr", "dist", "gain")
 
 
 def neighbour_graph(rows: DataFrame, k: int, row_id: str = "row_id", trees: int = 6, max_rounds: int = 6,
@@ -148,23 +170,25 @@ def neighbour_graph(rows: DataFrame, k: int, row_id: str = "row_id", trees: int
     n = rows.count()
     if n == 0:
         return Graph(rows.sparkSession.createDataFrame([], "id long, nbr long, rank long, dist double"), 0, 0.0)
+    rows = _single(rows)
     block = max(block, 4 * k)
     key = ["tree", "leaf", "stretch", "salt"]
-    start = _blocks(rows, n, trees, block, seed).groupBy(*key).applyInArrow(_compare_block(k), "id long, nbr long, dist double")
-    edges = materialize(_top(start, k), "graph_edges")
-    rounds, changed, parts = 0, 1.0, max(1, n // 256)
+    blocks = _blocks(rows, n, trees, block, seed)
+    homes = materialize(blocks.filter("tree = 0").select(F.col("id").alias("host"), F.xxhash64("leaf", "stretch", "salt").alias("part")), "graph_homes")
+    start = blocks.groupBy(*key).applyInArrow(_compare_block(k), "id long, nbr long, dist double")
+    edges = materialize(_top(start.withColumn("new", F.lit(True)), k), "graph_edges")
+    rounds, changed = 0, 1.0
     while rounds < max_rounds and changed > settled:
         back = top_per_group(edges.select(F.col("nbr").alias("host"), F.col("id"), "dist"), ["host"], [F.col("dist"), F.col("id")], k)
         members = edges.select(F.col("id").alias("host"), F.col("nbr").alias("id")).union(back.select("host", "id"))
-        members = members.union(rows.select(F.col("id").alias("host"), "id"))
+        members = members.join(homes, "host").union(homes.select("host", F.col("host").alias("id"), "part"))
+        members = members.groupBy("part", "id").agg(F.collect_list("host").alias("hosts"))  # at most a block of them, twice
         own = rows.join(edges.groupBy("id").agg(F.when(F.count("*") >= k, F.max("dist")).otherwise(float("inf")).alias("kdist")), "id", "left")
         own = own.withColumn("kdist", F.coalesce("kdist", F.lit(float("inf"))))
-        met = members.join(own, "id").withColumn("part", F.pmod(F.xxhash64("host"), F.lit(parts)))
-        found = met.groupBy("part").applyInArrow(_meet(k), "id long, nbr long, dist double")
-        better = materialize(_top(edges.union(found), k), "graph_edges")
-        fresh = better.join(edges.select("id", "nbr"), ["id", "nbr"], "left_anti")
-        fresh = fresh.join(own.select("id", "kdist"), "id").filter("dist < kdist").count()  # equals that change places are no gain
-        edges, rounds, changed = better, rounds + 1, fresh / max(1, n * min(k, n - 1))
+        found = members.join(own, "id").groupBy("part").applyInArrow(_meet(k), "id long, nbr long, dist double")
+        found = edges.select("id", "nbr", "dist").withColumn("new", F.lit(False)).union(found.withColumn("new", F.lit(True)))
+        edges = materialize(_top(found, k), "graph_edges")
+        rounds, changed = rounds + 1, edges.filter("gain").count() / max(1, n * min(k, n - 1))  # equals that change places are no gain
     place = F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr")).cast("long")
     return Graph(edges.withColumn("rank", place).select("id", "nbr", "rank", "dist"), rounds, changed)
 

@@ -405,3 +405,29 @@ def test_svm_of_equal_rows_keeps_its_mean(spark):
     m.n_features = 3
     m._fit(same)
     assert m.converged and abs(m.rho - float(m.weights @ m.weights)) < 1e-9
+
+
+def test_neighbour_graph_sends_a_vector_once_a_group():
+    """A vector in every meeting of a group comes once, and no more than k rows an id go out."""
+    import pyarrow as pa
+    from oddspend.operators.neighbour_graph import _meet
+
+    x = np.random.default_rng(7).normal(size=(12, 3)).astype(np.float32)
+    hosts = [[100, 101, 102]] * 6 + [[101]] * 6
+    rows = pa.table({"id": pa.array(range(12), pa.int64()), "features": pa.array(x.tolist(), pa.list_(pa.float32())),
+                     "kdist": pa.array([np.inf] * 12), "hosts": pa.array(hosts, pa.list_(pa.int64()))})
+    got = _meet(2)(rows).to_pandas()
+    gap = np.sqrt(((x[:, None].astype(float) - x[None].astype(float)) ** 2).sum(axis=2))
+    np.fill_diagonal(gap, np.inf)
+    want = {(i, int(j)) for i in range(12) for j in np.argsort(gap[i])[:2]}
+    assert set(zip(got.id, got.nbr)) == want and len(got) == 24
+    assert np.allclose(got.dist, gap[got.id, got.nbr], rtol=1e-15)
+
+
+def test_neighbour_graph_rounds_single_precision_only_where_exact(spark):
+    from oddspend.operators.neighbour_graph import _single
+
+    exact = spark.createDataFrame([(1, [0.5, float("nan")])], "id long, features array<double>")
+    other = spark.createDataFrame([(1, [0.5, 0.1])], "id long, features array<double>")
+    assert _single(exact).schema["features"].dataType.elementType.typeName() == "float"
+    assert _single(other).schema["features"].dataType.elementType.typeName() == "double"
