@@ -35,10 +35,14 @@ RUNS, FIXED = 4, 3
 NO_ID = -(1 << 63)
 
 
+def masked(text: Column) -> Column:
+    """The text with `<*>` for every field that holds a digit. A field is looked for at the blank
+    before it (`\\s` is BLANKS), not at each of its characters, and in the whole text at once."""
+    return F.regexp_replace(text, r"(^|\s)[^\s0-9]*+[0-9]\S*+", "$1<*>")
+
+
 def templates(line: Column) -> Column:
-    """Hashes of the templates of a line; an empty array for lines that have none."""
-    # a field with a digit, found from its start on so that long fields are read once
-    masked = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")
+    """Hashes of the templates of a line of a masked text; an empty array for lines that have none."""
 
     def of(t: Column) -> Column:
         n = F.size(t)
@@ -51,7 +55,7 @@ def templates(line: Column) -> Column:
         whole = F.when(F.element_at(t, 1) != "", F.array(F.xxhash64(n, t))).otherwise(F.array().cast("array<bigint>"))  # an empty line splits into one empty token
         return F.when(n > FIXED, F.array(*[opened(k) for k in range(RUNS)])).otherwise(whole)
 
-    return let(F.split(masked, r"[\x20\x09-\x0D]+"), of)
+    return let(F.split(F.btrim(line, F.lit(BLANKS)), r"[\x20\x09-\x0D]+"), of)
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,7 +65,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False,
     ident, body, gone, number, found = own("_id"), own("_hash"), own("_gone"), own("n_lines"), own("n_dropped")
     docs = docs.withColumn(ident, F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))).withColumn(body, F.xxhash64(text))
     lines = docs.filter(F.col(text).isNotNull()).select(
-        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(text, "\n"), templates).alias("lines")
+        F.col(ident).alias("id"), F.col(body).alias("body"), F.transform(F.split(masked(F.col(text)), "\n"), templates).alias("lines")
     )
     lines = materialize(lines, "line_templates")  # hashes only; counted first, joined back next
     counts = lines.select("id", F.explode(F.array_distinct(F.flatten("lines"))).alias("template"))
@@ -74,7 +78,8 @@ def drop_recurring(docs: DataFrame, min_docs: int = 2, keep_first: bool = False,
     dropped = hits.groupBy("id", "body").agg(F.collect_set("place").alias("places"))
     dropped = dropped.select(F.col("id").alias(own("_id2")), F.col("body").alias(own("_hash2")), F.col("places").alias(gone))
     rows = docs.join(dropped, (F.col(ident) == F.col(own("_id2"))) & (F.col(body) == F.col(own("_hash2"))), "left")
-    kept = let(F.coalesce(F.col(gone), F.array().cast("array<int>")), lambda g: F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(g, i)))
+    # the places left, found by hash: time in proportion to the lines, however many are dropped
+    kept = let(F.split(text, "\n"), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(gone)), lambda i: F.get(x, i)))
     cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return rows.select(
         *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in names],
