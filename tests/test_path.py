@@ -70,6 +70,21 @@ def test_param_sweep(spark, prepared):
     assert len(got) == 3 and got == sorted(got, key=lambda r: -(r.roc_auc or 0))
 
 
+def test_param_sweep_query_tries_all_declared_settings(spark, prepared, monkeypatch):
+    from oddspend.plans import model_queries as M
+
+    tried = []
+
+    def scores(models, train, test):
+        tried.extend((m.n_estimators, m.max_samples, m.max_features) for m in models)
+        return test.select(F.explode(F.array(*[F.lit(str(i)) for i in range(len(models))])).alias("model"), "row_id",
+                           F.rand(1).alias("score"), F.col(S.LABEL).alias("label"))
+
+    monkeypatch.setattr(M.Q, "encoded", lambda spark, d: prepared.rows)
+    monkeypatch.setattr(P, "_sweep_forests", scores)
+    assert M.param_sweep(spark, "nowhere").count() == len(set(tried)) == P.SEARCH["isolation_forest"][1] == 10
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = fixtures.card_rows(spark)
     path = writers.write_csv(fixtures.raw(spark, rows).drop("row_id").coalesce(1), str(tmp_path / "raw.csv"))
