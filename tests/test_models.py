@@ -297,6 +297,50 @@ def test_knn_meetings_emit_only_rows_within_reach(spark, monkeypatch):
     assert emitted.value < 4 * k * n  # a block of every meeting gave k before: over 10 k n
 
 
+def test_knn_sends_a_query_only_where_its_reach_goes(spark, monkeypatch):
+    """A query came to every block of every cell the pivots could not rule out; now to pieces whose box it reaches."""
+    from oddspend.operators import knn as K
+
+    x = np.random.default_rng(6).uniform(0, 100, (3000, 2))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, features array<double>")
+    sent, real = spark.sparkContext.accumulator(0), K._neighbours
+
+    def counted(*options):
+        meet = real(*options)
+
+        def run(q, r):
+            sent.add(sum(len(v) for v in q.column("ids").to_pylist()) // 8)
+            return meet(q, r)
+
+        return run
+
+    monkeypatch.setattr(K, "_neighbours", counted)
+    got = K.knn(df, df, 4, block_rows=100).orderBy("id", "rank").toPandas()
+    assert (got.nbr.to_numpy().reshape(3000, 4) == brute_knn(x, 4)[0]).all()
+    assert 0 < sent.value < 2 * 3000
+
+
+def test_knn_of_copies_that_no_region_can_part(spark, monkeypatch):
+    """More copies than a region may hold lie in several pieces, and pairs are trimmed on the way."""
+    from oddspend.operators import knn as K
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([np.ones((500, 3)), rng.normal(0, 1e6, (200, 3)), rng.normal(0, 1e17, (60, 3))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, [0.0, float("nan"), 1.0])], "row_id long, features array<double>")
+    monkeypatch.setattr(K, "QUERIES", 40)
+    got = K.knn(df, df, 5, block_rows=60).orderBy("id", "rank").toPandas()
+    order, dist = brute_knn(x, 5)
+    assert (got.nbr.to_numpy().reshape(760, 5) == order).all()
+    np.testing.assert_allclose(got.dist.to_numpy().reshape(760, 5), dist, rtol=1e-12)
+    monkeypatch.setattr(K, "HELD", 1000)
+    monkeypatch.setattr(K, "LEAF", 16)
+    for reach in (np.inf, 2e6):
+        i, j, near = K._nearest(x, x, 6, np.full(760, reach))
+        for q in range(0, 760, 7):
+            mine, full = near[i == q], np.sort(np.sqrt(((x - x[q]) ** 2).sum(axis=1)))[:6]
+            np.testing.assert_allclose(mine, full[full <= reach], rtol=1e-12)
+
+
 def test_rows_that_are_not_finite_are_no_neighbours():
     from oddspend.operators.knn import _nearest
 
