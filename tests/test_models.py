@@ -443,6 +443,39 @@ def test_svm_maps_the_rows_twice_a_step(spark, data, monkeypatch):
     assert rows.value == data.count() * (steps + 1)  # a projection a step, and that of rho
 
 
+def test_svm_screens_rows_in_single_precision_and_keeps_double_results():
+    """Projections that may lie below the bound are those of double precision; the others lie above it."""
+    from oddspend.operators.models.ocsvm import _screened
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(3000, 5)), rng.normal(size=(20, 5)) * 1e5, [[np.nan] * 5, [1e300] * 5]])
+    freq, phase, w = rng.normal(size=(5, 64)), rng.uniform(0, 6, 64), rng.normal(size=64)
+    full = np.sqrt(2 / 64) * np.cos(x @ freq + phase) @ w
+    bound = np.nanquantile(full, 0.1)
+    got = _screened(freq, phase, np.sqrt(2 / 64))(x, w, bound)
+    low = full <= bound
+    np.testing.assert_allclose(got[low], full[low], rtol=1e-12, atol=1e-13)
+    assert (got[~low & np.isfinite(full)] > bound).all() and np.isnan(got[-2])
+    assert (np.abs(got - full)[~np.isnan(full)] > 1e-12).mean() > 0.8
+
+
+def test_svm_fit_does_not_depend_on_the_probe(spark, data, monkeypatch):
+    import oddspend.operators.models.ocsvm as mod
+
+    def fitted(bound=None):
+        m = OneClassSvm(nu=0.1, max_steps=4)
+        m.n_features = len(data.first().features)
+        if bound is not None:
+            monkeypatch.setattr(mod.OneClassSvm, "_bound", lambda self, w: bound)
+        m._fit(data)
+        return m
+
+    a, b, c = fitted(), fitted(np.inf), fitted(-1e9)  # guessed, all in double precision, too low a guess
+    for m in (b, c):
+        np.testing.assert_allclose(m.weights, a.weights, rtol=1e-12, atol=1e-14)
+        assert abs(m.rho - a.rho) < 1e-12
+
+
 def test_svm_of_equal_rows_keeps_its_mean(spark):
     same = spark.createDataFrame([(i, [1.0, 2.0, 3.0]) for i in range(300)], "row_id long, features array<double>")
     m = OneClassSvm(nu=0.1)
