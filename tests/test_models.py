@@ -199,6 +199,40 @@ def test_autoencoder_gradient():
         assert abs(num - g[i]) < 1e-6
 
 
+def test_levels_grow_as_nodes_one_by_one(spark):
+    """The same forest in distribution, complete trees, and no Python step for every node."""
+    from oddspend.operators.models import iforest as mod
+
+    rng = np.random.default_rng(1)
+    x = np.stack([rng.normal(size=900), rng.integers(0, 3, 900), np.ones(900), rng.exponential(size=900)], axis=1)
+    x[:100] = x[0]
+    columns, calls = np.arange(4), []
+
+    class Counted:
+        def __init__(self, seed):
+            self.rng = np.random.default_rng(seed)
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.rng, name)
+
+    def depths(found):
+        f, s, left, right, v = (np.asarray(c) for c in found)
+        tree = {"roots": [0], "feature": np.where(f < 0, 0, f), "split": np.where(f < 0, np.inf, s), "child": np.stack([left, right], axis=1).ravel(), "value": v}
+        return mod.forest_depths(x, depth=12, **tree)
+
+    one = np.mean([depths(zip(*mod.grow_tree(x, np.random.default_rng(i), 2, 10, columns))) for i in range(150)], axis=0)
+    levels = [mod.grow_levels(x, np.random.default_rng(i), 2, 10, columns) for i in range(150)]
+    many = np.mean([depths(f) for f in levels], axis=0)
+    assert np.corrcoef(one, many)[0, 1] > 0.95 and abs(one.mean() / many.mean() - 1) < 0.03
+    for f, _, left, right, _ in levels[:5]:
+        inner = f >= 0
+        assert sorted([0, *left[inner], *right[inner]]) == list(range(len(f))) and 2 not in f
+    nodes = len(mod.grow_levels(x, Counted(0), 2, 10, columns)[0])
+    assert nodes > 100 and len(calls) < 80
+    assert [len(c) for c in mod.grow_levels(np.ones((5, 2)), rng, 1, 9, np.arange(2))] == [1] * 5
+
+
 def test_rows_of_large_samples_are_written_once_and_not_once_a_tree(spark, data, monkeypatch):
     from oddspend.operators.models import iforest as mod
 
